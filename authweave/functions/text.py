@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from authweave.schemas import UNKNOWN
 
-# Account is what stands before the first @, domain what follows it.
-ACCOUNT_PATTERN = r"^([^@]+)"
+AT = "@"
+# Fixed value: the domain is what follows the first @, as long as it is on one line.
 DOMAIN_PATTERN = r"@(.+)$"
 
 
@@ -20,14 +20,14 @@ def optional_text(value: Column) -> Column:
     return F.coalesce(required_text(value), F.lit(UNKNOWN))
 
 
-def _captured(value: Column, pattern: str) -> Column:
-    found = F.nullif(F.regexp_extract(value, pattern, 1), F.lit(""))
-    return F.coalesce(found, F.lit(UNKNOWN))
+def _known(value: Column) -> Column:
+    return F.coalesce(F.nullif(value, F.lit("")), F.lit(UNKNOWN))
 
 
 def account_of(user: Column) -> Column:
-    return _captured(user, ACCOUNT_PATTERN)
+    """Text before the first @, or all of it without one."""
+    return _known(F.substring_index(user, AT, 1))
 
 
 def domain_of(user: Column) -> Column:
-    return _captured(user, DOMAIN_PATTERN)
+    return _known(F.regexp_extract(user, DOMAIN_PATTERN, 1))

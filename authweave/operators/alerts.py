@@ -7,6 +7,7 @@ from authweave.functions.flags import flag
 from authweave.operators.ids import number_rows, running_total
 from authweave.operators.redteam import normalize_events
 from authweave.operators.sizing import join_checked
+from authweave.workspace import pinned
 
 EDGE = ["src_user", "dst_computer"]
 TOP_ANOMALIES = 20
@@ -14,9 +15,12 @@ THRESHOLD_SHARE = 0.95
 
 
 def score_edges(edge_table: DataFrame) -> DataFrame:
-    """Score of an edge: the share of its user's activity that goes to other hosts."""
-    totals = edge_table.groupBy("src_user").agg(F.sum("auth_count").alias("user_total"))
-    scored = edge_table.join(totals, "src_user")
+    """Score of an edge: the share of its user's activity that goes to other hosts.
+
+    `edge_table` is read twice and should be pinned. One row per user is joined back.
+    """
+    totals = pinned(edge_table.groupBy("src_user").agg(F.sum("auth_count").alias("user_total")))
+    scored = join_checked(edge_table, totals, ["src_user"], "inner", totals)
     share = F.col("auth_count") / F.col("user_total")
     return scored.withColumn("score", F.round(1 - share, 6)).drop("user_total")
 
@@ -45,10 +49,9 @@ def score_distribution(scored: DataFrame) -> DataFrame:
 def score_threshold(distribution: DataFrame, share: float = THRESHOLD_SHARE) -> DataFrame:
     """One row: the smallest score that at least `share` of all rows do not exceed."""
     total = distribution.agg(F.sum("rows").alias("total")).scalar()
-    reached = F.col("rows_so_far") >= F.ceil(F.lit(share) * total)
-    return distribution.agg(
-        F.min(F.when(reached, F.col("score"))).alias("threshold"),
-        F.sum("rows").alias("scored_rows"),
+    reached = distribution.filter(F.col("rows_so_far") >= F.ceil(F.lit(share) * total))
+    return reached.agg(
+        F.min("score").alias("threshold"), F.max("rows_so_far").alias("scored_rows")
     )
 
 
@@ -62,7 +65,7 @@ def evaluate(flagged: DataFrame, redteam: DataFrame) -> DataFrame:
     attacked = normalize_events(redteam).select(
         F.col("user").alias("src_user"), "dst_computer"
     ).distinct().withColumn("_attack", F.lit(True))
-    judged = join_checked(flagged.select(*EDGE, "flagged"), attacked, EDGE, "left")
+    judged = join_checked(flagged.select(*EDGE, "flagged"), attacked, EDGE, "left", redteam)
     hit, attack = F.col("flagged") == 1, F.col("_attack").isNotNull()
     counts = judged.agg(
         F.count_if(hit & attack).alias("true_positives"),

@@ -1,5 +1,8 @@
 """From the raw authentication log to the 25-column clean table. Map-only."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +21,13 @@ def normalize_fields(auth: DataFrame) -> DataFrame:
 
 
 def keep_critical(auth: DataFrame) -> DataFrame:
-    """Rows that can be placed in time and between two hosts."""
-    return auth.na.drop(subset=["time", *REQUIRED])
+    """Rows that can be placed in time and between two hosts; raw or normalized names.
+
+    Plain conjunctions on the columns themselves, so the null tests reach the scan and
+    names are not normalized for rows that are dropped.
+    """
+    named = [F.trim(F.col(name)) != "" for name in REQUIRED]
+    return auth.filter(reduce(and_, [F.col("time").isNotNull(), *named]))
 
 
 def add_user_parts(auth: DataFrame) -> DataFrame:
@@ -68,8 +76,8 @@ def add_relation_flags(auth: DataFrame) -> DataFrame:
 def clean_auth(auth: DataFrame) -> DataFrame:
     """The whole transform; works on batch and streaming input alike."""
     return (
-        auth.transform(normalize_fields)
-        .transform(keep_critical)
+        auth.transform(keep_critical)
+        .transform(normalize_fields)
         .transform(add_time_parts)
         .transform(add_user_parts)
         .transform(add_result_flags)

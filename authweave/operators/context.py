@@ -1,4 +1,7 @@
-"""Process activity around events: same host, at most 300 seconds apart."""
+"""Process activity around events: same host, at most 300 seconds apart.
+
+The events are read several times: hand them over pinned, or as a small file.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +27,13 @@ def _near(process_time: Column, event_time: Column, window: int) -> Column:
     return F.abs(process_time - event_time) <= window
 
 
+def _within_reach(process: DataFrame, events: DataFrame, window: int) -> DataFrame:
+    """Rows between the first and the last event, window included; filtered at the scan."""
+    low = events.agg(F.min("time") - window).scalar()
+    high = events.agg(F.max("time") + window).scalar()
+    return process.filter(F.col("time").between(low, high))
+
+
 def process_context(
     events: DataFrame, process: DataFrame, id_name: str = "redteam_id",
     window: int = CONTEXT_WINDOW_SECONDS,
@@ -34,7 +44,6 @@ def process_context(
     candidates of a busy host stay within three slots. The outer time bounds reach the
     process scan as a filter.
     """
-    edges = events.agg((F.min("time") - window).alias("low"), (F.max("time") + window).alias("high"))
     reach = _hosts(events).select(
         id_name,
         F.col("time").alias("redteam_time"),
@@ -44,15 +53,13 @@ def process_context(
         F.col("_host").alias("computer"),
         _spread(F.col("time"), window).alias("_slot"),
     )
-    rows = process.filter(
-        F.col("time").between(edges.select("low").scalar(), edges.select("high").scalar())
-    ).select(
+    rows = _within_reach(process, events, window).select(
         F.col("time").alias("process_time"),
         F.col("user").alias("process_user"),
         "computer", "process", "event_type",
         floor_div(F.col("time"), window).alias("_slot"),
     )
-    pairs = join_checked(rows, reach, ["computer", "_slot"], "inner").filter(
+    pairs = join_checked(rows, reach, ["computer", "_slot"], "inner", events).filter(
         _near(F.col("process_time"), F.col("redteam_time"), window)
     )
     role = F.when(F.col("computer") == F.col("redteam_src_computer"), "source_host")
@@ -76,7 +83,8 @@ def _pair_count(events: DataFrame, process: DataFrame, extra: list[str], window:
         .withColumn("_slot", _spread(F.col("event_time"), window))
     )
     rows = (
-        process.groupBy(*keys, "time").agg(F.count("*").alias("rows"))
+        _within_reach(process, events, window)
+        .groupBy(*keys, "time").agg(F.count("*").alias("rows"))
         .withColumn("_slot", floor_div(F.col("time"), window))
     )
     return (
@@ -108,7 +116,8 @@ def process_evidence(
     Process rows are counted per host, second, user and kind before the join.
     """
     rows = (
-        process.groupBy("computer", "time", F.col("user").alias("process_user"), "process")
+        _within_reach(process, alerts, window)
+        .groupBy("computer", "time", F.col("user").alias("process_user"), "process")
         .agg(F.count("*").alias("rows"))
         .withColumn("_slot", floor_div(F.col("time"), window))
     )
@@ -116,7 +125,7 @@ def process_evidence(
         id_name, "user", F.col("time").alias("event_time"), F.col("_host").alias("computer"),
         _spread(F.col("time"), window).alias("_slot"),
     )
-    near = join_checked(rows, reach, ["computer", "_slot"], "inner").filter(
+    near = join_checked(rows, reach, ["computer", "_slot"], "inner", alerts).filter(
         _near(F.col("time"), F.col("event_time"), window)
     )
     own = F.when(F.col("process_user") == F.col("user"), F.col("rows")).otherwise(0)

@@ -57,8 +57,8 @@ def edge_index(
     """Edges by node number; edges first seen from `split_day` on are test edges."""
     user_ids = users.select(F.col("node").alias("src_user"), F.col("node_id").alias("user_id"))
     host_ids = hosts.select(F.col("node").alias("dst_computer"), F.col("node_id").alias("host_id"))
-    named = join_checked(all_edges, user_ids, ["src_user"], "inner")
-    both = join_checked(named, host_ids, ["dst_computer"], "inner")
+    named = join_checked(all_edges, user_ids, ["src_user"], "inner", users)
+    both = join_checked(named, host_ids, ["dst_computer"], "inner", hosts)
     return both.select(
         "user_id", "host_id", "auth_count", "failed_count",
         F.when(F.col("first_day") < split_day, "train").otherwise("test").alias("split"),
@@ -86,6 +86,6 @@ def label_rows(clean: DataFrame, redteam: DataFrame) -> DataFrame:
         F.col("time"), F.col("user").alias("src_user"), "src_computer", "dst_computer"
     )
     known = events.distinct().withColumn("_attack", F.lit(True))
-    return join_checked(clean.select(*AUTH_KEY), known, AUTH_KEY, "left").select(
+    return join_checked(clean.select(*AUTH_KEY), known, AUTH_KEY, "left", redteam).select(
         *AUTH_KEY, flag(F.col("_attack")).alias("label")
     )

@@ -1,4 +1,6 @@
-"""Dense row numbers without sending all rows through one task."""
+"""Dense row numbers and running totals without sending all rows through one task."""
+
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,42 +24,34 @@ def _ordered_partitions(frame: DataFrame, order: list[str | Column]) -> DataFram
     return rows.withColumns({_PARTITION: part, _PLACE: place})
 
 
+def _before(placed: DataFrame, amount: Column) -> Column:
+    """Sum of `amount` over all earlier partitions: one number per partition is collected."""
+    found = placed.groupBy(_PARTITION).agg(amount.alias("amount")).collect()
+    amounts = {row[_PARTITION]: row.amount for row in found}
+    last = max(amounts, default=0)
+    starts = list(accumulate((amounts.get(part, 0) for part in range(last)), initial=0))
+    return F.element_at(F.array(*map(F.lit, starts)).cast("array<bigint>"), F.col(_PARTITION) + 1)
+
+
 def number_rows(frame: DataFrame, order: list[str | Column], name: str, start: int) -> DataFrame:
     """Adds `name` = start, start+1, ... over the whole table in the given order.
 
-    Rows equal in `order` get consecutive numbers in no particular order. The table
-    of partition sizes has one row per partition, hence the broadcast.
+    Rows equal in `order` get consecutive numbers in no particular order.
     """
     placed = _ordered_partitions(frame, order)
-    sizes = placed.groupBy(_PARTITION).agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy(_PARTITION).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        _PARTITION, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_skipped")
-    )
-    return (
-        placed.join(F.broadcast(starts), _PARTITION)
-        .withColumn(name, F.col("_skipped") + F.col(_PLACE) + F.lit(start))
-        .select(name, *frame.columns)
-    )
+    number = _before(placed, F.count("*")) + F.col(_PLACE) + F.lit(start)
+    return placed.withColumn(name, number).select(name, *frame.columns)
 
 
 def running_total(frame: DataFrame, order: list[str | Column], value: str, name: str) -> DataFrame:
     """Adds `name` = sum of `value` over all rows up to this one.
 
-    Partition totals (one row per partition) are added to the running sum inside each
-    range partition. Rows should be distinct in `order`, so no partition is oversized.
+    Partition totals are added to the running sum inside each range partition. Rows
+    should be distinct in `order`, so no partition is oversized.
     """
     placed = _ordered_partitions(frame, order)
-    totals = placed.groupBy(_PARTITION).agg(F.sum(value).alias("_total"))
-    earlier = Window.orderBy(_PARTITION).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        _PARTITION, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_skipped")
-    )
     so_far = Window.partitionBy(_PARTITION).orderBy(_PLACE).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        placed.join(F.broadcast(starts), _PARTITION)
-        .withColumn(name, F.col("_skipped") + F.sum(value).over(so_far))
-        .select(*frame.columns, name)
-    )
+    total = _before(placed, F.sum(value)) + F.sum(value).over(so_far)
+    return placed.withColumn(name, total).select(*frame.columns, name)

@@ -8,6 +8,7 @@ from authweave.operators.clean import before_day
 from authweave.operators.ids import number_rows
 from authweave.operators.sizing import is_small, join_checked
 from authweave.schemas import AUTH_KEY, AUTH_TEXT_COLUMNS, REDTEAM_KEY, REDTEAM_TEXT_COLUMNS
+from authweave.workspace import pinned
 
 FIRST_EVENTS = 10
 
@@ -27,7 +28,7 @@ def first_events(redteam: DataFrame, count: int = FIRST_EVENTS) -> DataFrame:
     """The first events in file order, ids from 1. The window sees `count` rows at most."""
     order = file_order(redteam)
     first = redteam.filter(F.col("time").isNotNull()).orderBy(*order).limit(count)
-    number = F.row_number().over(Window.orderBy(*order))
+    number = F.row_number().over(Window.orderBy(*order)).cast("long")
     return first.select(number.alias("redteam_id"), *REDTEAM_KEY)
 
 
@@ -48,7 +49,7 @@ def raw_matches(auth: DataFrame, events: DataFrame) -> DataFrame:
     """
     last = events.groupBy(*_auth_key(events)).agg(F.max("redteam_id").alias("redteam_id"))
     rows = auth.select("time", *AUTH_TEXT_COLUMNS)
-    return join_checked(rows, last, AUTH_KEY, "inner").select(
+    return join_checked(rows, last, AUTH_KEY, "inner", events).select(
         "redteam_id",
         F.col("time").alias("redteam_time"),
         F.col("src_user").alias("redteam_user"),
@@ -59,19 +60,20 @@ def raw_matches(auth: DataFrame, events: DataFrame) -> DataFrame:
 def matches_per_event(log: DataFrame, events: DataFrame) -> DataFrame:
     """Every event with the number of log rows that equal it, 0 when there is none.
 
-    Works on counts per key, never on pairs of rows: with few attack keys the log is
-    filtered first and then counted; otherwise it is counted first, so that repeated
-    keys shrink before the shuffle.
+    Works on counts per key, never on pairs of rows: with few events the log is filtered
+    first and then counted; otherwise it is counted first, so that repeated keys shrink
+    before the shuffle. `events` should be pinned or a small file.
     """
-    keyed = events.select("*", *[key.alias(f"_{name}") for key, name in zip(_auth_key(events), AUTH_KEY)])
     names = [f"_{name}" for name in AUTH_KEY]
-    keys = keyed.select(names).distinct()
-    rows = log.select([F.col(name).alias(f"_{name}") for name in AUTH_KEY])
-    if is_small(keys):
-        kept = rows.join(F.broadcast(keys), names, "left_semi")
-        counts = F.broadcast(kept.groupBy(names).agg(F.count("*").alias("matches")))
+    keyed = events.withColumns(dict(zip(names, map(F.col, REDTEAM_KEY))))
+    rows = log.select([F.col(name).alias(key) for name, key in zip(AUTH_KEY, names)])
+    count = F.count("*").alias("matches")
+    if is_small(events):
+        kept = rows.join(F.broadcast(keyed.select(names)), names, "left_semi")
+        counts = F.broadcast(kept.groupBy(names).agg(count))
     else:
-        counts = rows.groupBy(names).agg(F.count("*").alias("matches")).join(keys, names, "left_semi")
+        keys = keyed.select(names).distinct()
+        counts = pinned(rows.groupBy(names).agg(count).join(keys, names, "left_semi"))
     return keyed.join(counts, names, "left").select(
         *events.columns, F.coalesce("matches", F.lit(0)).cast("long").alias("matches")
     )
@@ -93,15 +95,19 @@ def match_rate(auth: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def preservation(clean: DataFrame, redteam: DataFrame, days: int) -> DataFrame:
-    """Attacks of the first `days` days, each with its matches in the clean table."""
-    events = number_events(before_day(redteam, days), "event_id", 0)
+def events_preserved(clean: DataFrame, events: DataFrame) -> DataFrame:
+    """Events with their matches in the clean table, compared as normalized text."""
     counted = matches_per_event(clean, normalize_events(events))
     return counted.withColumnRenamed("matches", "processed_match_count").withColumn(
         "preserved", flag(F.col("processed_match_count") > 0)
     )
 
 
+def preservation(clean: DataFrame, redteam: DataFrame, days: int) -> DataFrame:
+    """Attacks of the first `days` days, numbered from 0, each with its matches."""
+    return events_preserved(clean, number_events(before_day(redteam, days), "event_id", 0))
+
+
 def preservation_summary(preserved: DataFrame) -> DataFrame:
     """One row; passes only when there are attacks and all of them were found."""
     events = F.count("*")

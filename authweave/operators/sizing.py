@@ -6,11 +6,13 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+from authweave.workspace import pinned
 
+BROADCAST_BYTES = 16 * 1024 * 1024
 
-def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """True when the values of the whole frame take at most `limit` bytes.
+
+def is_small(frame: DataFrame) -> bool:
+    """True when the values of the whole frame take at most BROADCAST_BYTES.
 
     One distributed sum; call it on frames that are cheap to read (pinned or small files).
     """
@@ -19,10 +21,18 @@ def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
         for name in frame.columns
     ]
     size = frame.agg(F.sum(reduce(add, widths).cast("long")).alias("size")).first().size
-    return (size or 0) <= limit
+    return (size or 0) <= BROADCAST_BYTES
+
 
+def join_checked(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, source: DataFrame
+) -> DataFrame:
+    """Join with a side derived row by row from `source` (a few rows for each at most).
 
-def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Broadcast `right` when it is small; else a shuffle join, whose skewed partitions
-    adaptive execution splits."""
-    return left.join(F.broadcast(right) if is_small(right) else right, on, how)
+    Small: broadcast, the left side is not moved. Otherwise a shuffle join; the right side
+    is pinned first, so it is read through a shuffle of its own, which is what adaptive
+    execution needs to split the partitions of a hot key.
+    """
+    if is_small(source):
+        return left.join(F.broadcast(right), on, how)
+    return left.join(pinned(right), on, how)

@@ -7,6 +7,9 @@ window) is fixed, so both engines start from the same rows.
 
 from pyspark.sql import DataFrame, SparkSession
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
 SPARK_SECONDS = "timestampdiff(SECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)"
 DUCKDB_SECONDS = "date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts)"
 
@@ -81,7 +84,7 @@ FROM <REDTEAM>
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def _derived(spark: SparkSession, folder: str, text: str) -> DataFrame:

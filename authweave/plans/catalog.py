@@ -151,8 +151,9 @@ def match_count(spark, folder):
     return counted.filter(F.col("matches") > 0).select("redteam_id", F.col("matches").alias("n"))
 
 
-def preserved(spark, folder, days):
-    return redteam.preservation(cleaned(spark, folder), attacks(spark, folder), days)
+def preservation_summary(spark, folder):
+    events = pinned(clean.before_day(attacks(spark, folder), WEEK))
+    return redteam.preservation_summary(redteam.events_preserved(cleaned(spark, folder), events))
 
 
 def cross_dataset_report(spark, folder):
@@ -195,7 +196,8 @@ def _written_table(spark, folder):
 def validation_checks(spark, folder):
     path = _written_table(spark, folder)
     table = tables.read_clean_table(spark, path)
-    found = redteam.preservation(table, attacks(spark, folder), ALL_DAYS)
+    events = pinned(clean.before_day(attacks(spark, folder), ALL_DAYS))
+    found = redteam.events_preserved(table, events)
     return quality.validation_checks(
         table, tables.list_day_files(spark, path), redteam.preservation_summary(found),
         staging.staging_counts(auth(spark, folder), ALL_DAYS), ALL_DAYS,
@@ -258,8 +260,12 @@ def edge_index(spark, folder):
     )
 
 
+def scored_edges(spark, folder):
+    return alerts.score_edges(pinned(edges_of(spark, folder)))
+
+
 def flagged_edges(spark, folder):
-    scored = pinned(alerts.score_edges(edges_of(spark, folder)))
+    scored = scored_edges(spark, folder)
     limit = alerts.score_threshold(alerts.score_distribution(scored))
     return alerts.flag_scores(scored, limit)
 
@@ -287,8 +293,6 @@ def _on(source: Query, operator, *arguments) -> Query:
 
 def queries() -> dict[str, Query]:
     pinned_attacks = lambda spark, folder: pinned(attacks(spark, folder))
-    scored = _on(edges_of, alerts.score_edges)
-    pinned_scores = _on(scored, pinned)
     activity = _on(cleaned, behavior.user_activity)
     return {
         "daily_overview": daily_overview,
@@ -339,15 +343,15 @@ def queries() -> dict[str, Query]:
         "unmatched_redteam": lambda spark, folder: redteam.unmatched_events(
             auth(spark, folder), numbered_attacks(spark, folder)
         ),
-        "redteam_preservation": lambda spark, folder: preserved(spark, folder, WEEK),
-        "preservation_summary": lambda spark, folder: redteam.preservation_summary(
-            preserved(spark, folder, WEEK)
+        "redteam_preservation": lambda spark, folder: redteam.preservation(
+            cleaned(spark, folder), attacks(spark, folder), WEEK
         ),
+        "preservation_summary": preservation_summary,
         "process_context": lambda spark, folder: context.process_context(
             numbered_attacks(spark, folder), process(spark, folder)
         ),
         "context_summary": lambda spark, folder: context.context_summary(
-            attacks(spark, folder), process(spark, folder)
+            pinned_attacks(spark, folder), process(spark, folder)
         ),
         "cross_dataset_report": cross_dataset_report,
         "integrity_report": _on(cleaned, quality.integrity_report, ALL_DAYS),
@@ -379,10 +383,10 @@ def queries() -> dict[str, Query]:
         ),
         "edge_index": edge_index,
         "node_features": _on(edges_of, graph.node_features),
-        "ranked_anomalies": _on(scored, alerts.ranked_anomalies),
-        "score_distribution": _on(pinned_scores, alerts.score_distribution),
+        "ranked_anomalies": _on(scored_edges, alerts.ranked_anomalies),
+        "score_distribution": _on(scored_edges, alerts.score_distribution),
         "score_threshold": lambda spark, folder: alerts.score_threshold(
-            alerts.score_distribution(pinned_scores(spark, folder))
+            alerts.score_distribution(scored_edges(spark, folder))
         ),
         "evaluation": lambda spark, folder: alerts.evaluate(
             flagged_edges(spark, folder), pinned_attacks(spark, folder)
