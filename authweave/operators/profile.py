@@ -11,14 +11,21 @@ def missing_values(log: DataFrame, names: list[str]) -> DataFrame:
     return log.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in names])
 
 
+def distinct_value_columns(names: list[str], null_counts: bool) -> dict[str, Column]:
+    """Distinct-count expression per column; null is one more value when `null_counts`."""
+    known = {name: F.count_distinct(F.col(name)) for name in names}
+    if not null_counts:
+        return known
+    return {
+        name: count + F.coalesce(F.max(F.col(name).isNull().cast("long")), F.lit(0))
+        for name, count in known.items()
+    }
+
+
 def distinct_values(log: DataFrame, names: list[str], null_counts: bool) -> DataFrame:
-    """One row: distinct values per column; null is one more value when `null_counts`."""
-    def count(name: str) -> Column:
-        known = F.count_distinct(F.col(name))
-        if null_counts:
-            known = known + F.coalesce(F.max(F.col(name).isNull().cast("long")), F.lit(0))
-        return known.alias(f"unique_{name}")
-    return log.agg(*[count(name) for name in names])
+    """One row: distinct values per column."""
+    counts = distinct_value_columns(names, null_counts)
+    return log.agg(*[count.alias(f"unique_{name}") for name, count in counts.items()])
 
 
 def frequencies(log: DataFrame, name: str) -> DataFrame:

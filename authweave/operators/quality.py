@@ -14,6 +14,10 @@ CONTRADICTIONS = [
     "invalid_host_relationship", "failure_flag_mismatch_1",
     "failure_flag_mismatch_2", "simultaneous_logon_logoff",
 ]
+CHECKS = [
+    "physical_output", "schema", "day_coverage", "row_integrity", "critical_nulls",
+    "binary_fields", "temporal_ranges", "logical_consistency", "redteam_preservation",
+]
 
 
 def _outside(name: str, low: int, high: int) -> Column:
@@ -102,11 +106,11 @@ def _all_zero(names: list[str]) -> Column:
     return reduce(and_, [F.col(name) == 0 for name in names])
 
 
-def validation_checks(
+def measure(
     clean: DataFrame, files: DataFrame, redteam_summary: DataFrame,
     staged_total: DataFrame | None, days: int,
 ) -> DataFrame:
-    """Nine named checks and the overall verdict, one row each.
+    """One row: the integrity measures, one boolean per check, and `overall`.
 
     `files` is the listing of the table's data files, `staged_total` one row with
     `total_valid_rows` or None when nothing is known about staging.
@@ -115,7 +119,7 @@ def validation_checks(
     kept = F.col("processed_rows") > 0
     if staged_total is not None:
         kept = kept & (F.col("processed_rows") <= staged_total.select("total_valid_rows").scalar())
-    checks = {
+    verdicts = {
         "physical_output": absent == 0,
         "schema": F.lit(schema_matches(clean)),
         "day_coverage": day_coverage(clean, days).scalar(),
@@ -130,6 +134,11 @@ def validation_checks(
         "logical_consistency": _all_zero(CONTRADICTIONS),
         "redteam_preservation": redteam_summary.select("pass").scalar(),
     }
-    wide = integrity_report(clean, days).select(*[c.alias(name) for name, c in checks.items()])
-    overall = wide.withColumn("overall", reduce(and_, [F.col(name) for name in checks]))
-    return overall.unpivot([], [*checks, "overall"], "check", "passed")
+    measured = integrity_report(clean, days).withColumns(verdicts)
+    return measured.withColumn("overall", reduce(and_, [F.col(name) for name in CHECKS]))
+
+
+def validation_checks(measured: DataFrame) -> DataFrame:
+    """The nine checks and the overall verdict of a `measure` row, one row each."""
+    names = [*CHECKS, "overall"]
+    return measured.select(*names).unpivot([], names, "check", "passed")

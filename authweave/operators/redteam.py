@@ -83,18 +83,22 @@ def unmatched_events(auth: DataFrame, events: DataFrame) -> DataFrame:
     return matches_per_event(auth, events).filter(F.col("matches") == 0).drop("matches")
 
 
-def match_rate(auth: DataFrame, events: DataFrame) -> DataFrame:
-    """One row: events tested, events found, share found in percent."""
+def match_summary(counted: DataFrame) -> DataFrame:
+    """One row over events with `matches`: tested, found, share found in percent."""
     tested = F.count("*")
     found = F.count_if(F.col("matches") > 0)
     share = F.coalesce(F.try_divide(found, tested) * 100, F.lit(0.0))
-    return matches_per_event(auth, events).agg(
+    return counted.agg(
         tested.alias("redteam_events_tested"),
         found.alias("redteam_events_with_exact_auth_match"),
         F.round(share, 2).alias("exact_auth_match_rate_percent"),
     )
 
 
+def match_rate(auth: DataFrame, events: DataFrame) -> DataFrame:
+    return match_summary(matches_per_event(auth, events))
+
+
 def events_preserved(clean: DataFrame, events: DataFrame) -> DataFrame:
     """Events with their matches in the clean table, compared as normalized text."""
     counted = matches_per_event(clean, normalize_events(events))

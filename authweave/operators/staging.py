@@ -62,11 +62,10 @@ def daily_retention(staged_days: DataFrame, clean_days: DataFrame, days: int) ->
     )
 
 
-def retention(staged_total: DataFrame, clean: DataFrame) -> DataFrame:
-    """One row; `staged_total` is one row with `total_valid_rows`."""
+def retention(staged_total: DataFrame, processed: DataFrame) -> DataFrame:
+    """One row. Inputs are one-row tables with `total_valid_rows` and `processed_rows`."""
     staged = staged_total.select("total_valid_rows").scalar()
-    counted = clean.agg(F.count("*").alias("processed_rows"))
-    return counted.withColumn("staged_rows", staged).select(
+    return processed.withColumn("staged_rows", staged).select(
         "staged_rows",
         "processed_rows",
         (F.col("staged_rows") - F.col("processed_rows")).alias("removed_rows"),

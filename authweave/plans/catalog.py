@@ -183,7 +183,8 @@ def daily_retention(spark, folder):
 
 def retention(spark, folder):
     return staging.retention(
-        staging.staging_counts(auth(spark, folder), ALL_DAYS), cleaned(spark, folder)
+        staging.staging_counts(auth(spark, folder), ALL_DAYS),
+        cleaned(spark, folder).agg(F.count("*").alias("processed_rows")),
     )
 
 
@@ -198,10 +199,10 @@ def validation_checks(spark, folder):
     table = tables.read_clean_table(spark, path)
     events = pinned(clean.before_day(attacks(spark, folder), ALL_DAYS))
     found = redteam.events_preserved(table, events)
-    return quality.validation_checks(
+    return quality.validation_checks(quality.measure(
         table, tables.list_day_files(spark, path), redteam.preservation_summary(found),
         staging.staging_counts(auth(spark, folder), ALL_DAYS), ALL_DAYS,
-    )
+    ))
 
 
 # files

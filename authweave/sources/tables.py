@@ -59,3 +59,11 @@ def size_per_day(files: DataFrame) -> DataFrame:
         F.count("*").alias("files"),
         F.round(F.sum("length") / (1024 * 1024), 2).alias("size_mb"),
     )
+
+
+def reported_days(report: DataFrame) -> DataFrame:
+    """(day_index, rows) from the per-day object of a staging report."""
+    per_day = F.from_json(F.to_json("rows_per_day"), "map<string, bigint>")
+    return report.select(F.explode(per_day).alias("day", "rows")).select(
+        F.col("day").cast("int").alias("day_index"), "rows"
+    )
