@@ -26,8 +26,9 @@ def keep_critical(auth: DataFrame) -> DataFrame:
     Plain conjunctions on the columns themselves, so the null tests reach the scan and
     names are not normalized for rows that are dropped.
     """
+    present = [F.col(name).isNotNull() for name in ("time", *REQUIRED)]
     named = [F.trim(F.col(name)) != "" for name in REQUIRED]
-    return auth.filter(reduce(and_, [F.col("time").isNotNull(), *named]))
+    return auth.filter(reduce(and_, [*present, *named]))
 
 
 def add_user_parts(auth: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from authweave.functions.clock import day_index
-from authweave.schemas import MISSING_MARK
+from authweave.functions.clock import day_index, floor_div
+from authweave.schemas import MISSING_MARK, SECONDS_PER_HOUR
 
 
 def _mode(overwrite: bool) -> str:
@@ -14,10 +14,13 @@ def _mode(overwrite: bool) -> str:
 def _per_day(frame: DataFrame) -> DataFrame:
     """Days side by side, a large day split over several tasks; rows in time order.
 
-    REBALANCE lets adaptive execution cut a day into pieces of the advisory size, where
-    a plain repartition on the day would hand the whole day to one task.
+    The hour as second key spreads a day even when a single task read it (a gzip file);
+    REBALANCE lets adaptive execution join small pieces and cut large ones to the
+    advisory size. A plain repartition on the day would hand a whole day to one task.
     """
-    return frame.hint("rebalance", "day_index").sortWithinPartitions("day_index", "time")
+    hour = floor_div(F.col("time"), SECONDS_PER_HOUR)
+    spread = frame.withColumn("_hour", hour).hint("rebalance", "day_index", "_hour")
+    return spread.drop("_hour").sortWithinPartitions("day_index", "time")
 
 
 def _csv(writer, path: str, header: bool) -> None:

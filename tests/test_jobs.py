@@ -2,6 +2,7 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from authweave.operators import clean
 from authweave.plans import jobs
@@ -140,15 +141,26 @@ def test_replacing_a_day_keeps_the_others(spark, folder, table):
     assert counts == {0: rows.filter("day_index = 0").count(), 1: 1}
 
 
-def test_a_large_day_is_split(spark, folder, table):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2000")
-    path = str(folder / "split")
+@pytest.mark.parametrize("readers", [1, 8])
+def test_a_large_day_is_split(spark, folder, table, readers):
+    row = tables.read_clean_table(spark, table).limit(1)
+    (values,) = row.collect()
+    day = spark.range(0, 60_000, 1, readers).select(
+        (F.col("id") % DAY).alias("time"), F.lit(0).alias("day_index"),
+        F.hex(F.xxhash64("id")).alias("src_user"),
+        *[F.lit(values[n]).alias(n) for n in row.columns if n not in ("time", "day_index", "src_user")],
+    ).select(*row.columns)
+    path = str(folder / f"split{readers}")
+    sizes = {"advisoryPartitionSizeInBytes": "200000", "coalescePartitions.minPartitionSize": "1"}
+    for name, size in sizes.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", size)
     try:
-        big = tables.read_clean_table(spark, table).filter("day_index = 0").crossJoin(spark.range(400)).drop("id")
-        writers.write_clean_table(big.repartition(8), path)
+        writers.write_clean_table(day, path)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert tables.list_day_files(spark, path).count() > 1
+        for name in sizes:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    assert tables.list_day_files(spark, path).count() > 3
+    assert tables.read_clean_table(spark, path).count() == 60_000
 
 
 def test_stream_equals_batch(spark, folder, staged):
