@@ -126,5 +126,6 @@ def triage(alerts: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 def alert_documents(triaged: DataFrame) -> DataFrame:
-    """One JSON document per alert."""
-    return triaged.select("priority", F.to_json(F.struct(*triaged.columns)).alias("alert"))
+    """One JSON document per alert, empty fields included."""
+    document = F.to_json(F.struct(*triaged.columns), {"ignoreNullFields": "false"})
+    return triaged.select("priority", document.alias("alert"))

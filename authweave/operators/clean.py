@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from authweave.functions import clock, flags, text
@@ -13,77 +13,74 @@ REQUIRED = ["src_user", "src_computer", "dst_computer"]
 OPTIONAL = ["dst_user", "auth_type", "logon_type", "auth_orientation", "success"]
 
 
-def normalize_fields(auth: DataFrame) -> DataFrame:
-    """Required names become null when blank, optional ones UNKNOWN."""
-    required = {name: text.required_text(F.col(name)) for name in REQUIRED}
-    optional = {name: text.optional_text(F.col(name)) for name in OPTIONAL}
-    return auth.withColumns({**required, **optional})
-
-
 def keep_critical(auth: DataFrame) -> DataFrame:
     """Rows that can be placed in time and between two hosts; raw or normalized names.
 
-    Plain conjunctions on the columns themselves, so the null tests reach the scan and
-    names are not normalized for rows that are dropped.
+    A null name fails the comparison too. The test is on the columns as they come, so
+    names of dropped rows are never normalized.
     """
-    present = [F.col(name).isNotNull() for name in ("time", *REQUIRED)]
     named = [F.trim(F.col(name)) != "" for name in REQUIRED]
-    return auth.filter(reduce(and_, [*present, *named]))
+    return auth.filter(reduce(and_, [F.col("time").isNotNull(), *named]))
 
 
-def add_user_parts(auth: DataFrame) -> DataFrame:
-    return auth.withColumns({
-        f"{user}_{part}": take(F.col(user))
-        for user in ("src_user", "dst_user")
-        for part, take in (("account", text.account_of), ("domain", text.domain_of))
-    })
+def normalized_fields() -> dict[str, Column]:
+    """Required names become null when blank, optional ones UNKNOWN."""
+    required = {name: text.required_text(F.col(name)) for name in REQUIRED}
+    optional = {name: text.optional_text(F.col(name)) for name in OPTIONAL}
+    return {**required, **optional}
 
 
-def add_time_parts(auth: DataFrame) -> DataFrame:
+def time_parts() -> dict[str, Column]:
     second = clock.second_of_day(F.col("time"))
-    return auth.withColumns({
+    return {
         "day_index": clock.day_index(F.col("time")),
         "second_of_day": second,
         "hour": clock.hour_of(second),
-    })
+    }
+
+
+def user_parts() -> dict[str, Column]:
+    return {
+        f"{user}_{part}": take(F.col(user))
+        for user in ("src_user", "dst_user")
+        for part, take in (("account", text.account_of), ("domain", text.domain_of))
+    }
 
 
-def add_result_flags(auth: DataFrame) -> DataFrame:
+def result_flags() -> dict[str, Column]:
     outcome = flags.success_flag(F.col("success"))
-    return auth.withColumns({
+    return {
         "success_flag": outcome,
         "is_failure": flags.is_failure(outcome),
         "is_logon": flags.is_logon(F.col("auth_orientation")),
         "is_logoff": flags.is_logoff(F.col("auth_orientation")),
-    })
+    }
 
 
-def add_account_flags(auth: DataFrame) -> DataFrame:
-    return auth.withColumns({
+def account_flags() -> dict[str, Column]:
+    """Needs the user parts."""
+    return {
         f"{side}_is_machine_account": flags.is_machine_account(F.col(f"{side}_user_account"))
         for side in ("src", "dst")
-    })
+    }
 
 
-def add_relation_flags(auth: DataFrame) -> DataFrame:
+def relation_flags() -> dict[str, Column]:
     hosts = F.col("src_computer"), F.col("dst_computer")
-    return auth.withColumns({
+    return {
         "same_user": flags.same(F.col("src_user"), F.col("dst_user")),
         "same_computer": flags.same(*hosts),
         "cross_host": flags.differs(*hosts),
-    })
+    }
 
 
 def clean_auth(auth: DataFrame) -> DataFrame:
     """The whole transform; works on batch and streaming input alike."""
     return (
         auth.transform(keep_critical)
-        .transform(normalize_fields)
-        .transform(add_time_parts)
-        .transform(add_user_parts)
-        .transform(add_result_flags)
-        .transform(add_account_flags)
-        .transform(add_relation_flags)
+        .withColumns(normalized_fields())
+        .withColumns({**time_parts(), **user_parts(), **result_flags()})
+        .withColumns({**account_flags(), **relation_flags()})
         .select(*CLEAN_COLUMNS)
     )
 

@@ -30,7 +30,8 @@ def _before(placed: DataFrame, amount: Column) -> Column:
     amounts = {row[_PARTITION]: row.amount for row in found}
     last = max(amounts, default=0)
     starts = list(accumulate((amounts.get(part, 0) for part in range(last)), initial=0))
-    return F.element_at(F.array(*map(F.lit, starts)).cast("array<bigint>"), F.col(_PARTITION) + 1)
+    listed = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    return F.element_at(listed, F.col(_PARTITION) + 1)
 
 
 def number_rows(frame: DataFrame, order: list[str | Column], name: str, start: int) -> DataFrame:

@@ -42,13 +42,20 @@ def _auth_key(events: DataFrame) -> list[Column]:
     return [F.col(event).alias(auth) for event, auth in zip(REDTEAM_KEY, AUTH_KEY)]
 
 
+def _in_reach(log: DataFrame, events: DataFrame) -> DataFrame:
+    """Log rows between the first and the last event; the bounds filter at the scan."""
+    low = events.agg(F.min("time")).scalar()
+    high = events.agg(F.max("time")).scalar()
+    return log.filter(F.col("time").between(low, high))
+
+
 def raw_matches(auth: DataFrame, events: DataFrame) -> DataFrame:
     """Authentication rows that equal an attack in all four key fields, text as logged.
 
     A row is listed once, under the last of the events that share its key.
     """
     last = events.groupBy(*_auth_key(events)).agg(F.max("redteam_id").alias("redteam_id"))
-    rows = auth.select("time", *AUTH_TEXT_COLUMNS)
+    rows = _in_reach(auth, events).select("time", *AUTH_TEXT_COLUMNS)
     return join_checked(rows, last, AUTH_KEY, "inner", events).select(
         "redteam_id",
         F.col("time").alias("redteam_time"),
@@ -66,7 +73,9 @@ def matches_per_event(log: DataFrame, events: DataFrame) -> DataFrame:
     """
     names = [f"_{name}" for name in AUTH_KEY]
     keyed = events.withColumns(dict(zip(names, map(F.col, REDTEAM_KEY))))
-    rows = log.select([F.col(name).alias(key) for name, key in zip(AUTH_KEY, names)])
+    rows = _in_reach(log, events).select(
+        [F.col(name).alias(key) for name, key in zip(AUTH_KEY, names)]
+    )
     count = F.count("*").alias("matches")
     if is_small(events):
         kept = rows.join(F.broadcast(keyed.select(names)), names, "left_semi")

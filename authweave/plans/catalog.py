@@ -37,13 +37,18 @@ def numbered_attacks(spark, folder):
 
 # cleaning
 
+def kept_fields(spark, folder):
+    return auth(spark, folder).transform(clean.keep_critical).withColumns(clean.normalized_fields())
+
+
 def norm_fields(spark, folder):
-    return auth(spark, folder).transform(clean.normalize_fields)
+    return auth(spark, folder).withColumns(clean.normalized_fields())
 
 
 def critical_filter(spark, folder):
-    kept = norm_fields(spark, folder).transform(clean.keep_critical)
-    return kept.select("event_id", "time", "src_user", "dst_user", "src_computer", "dst_computer")
+    return kept_fields(spark, folder).select(
+        "event_id", "time", "src_user", "dst_user", "src_computer", "dst_computer"
+    )
 
 
 def window_filter(spark, folder):
@@ -52,37 +57,35 @@ def window_filter(spark, folder):
 
 def time_parts(spark, folder):
     timed = auth(spark, folder).filter(F.col("time").isNotNull())
-    return timed.transform(clean.add_time_parts).select(
+    return timed.withColumns(clean.time_parts()).select(
         "event_id", "time", "day_index", "second_of_day", "hour"
     )
 
 
 def user_parts(spark, folder):
-    kept = norm_fields(spark, folder).transform(clean.keep_critical)
-    return kept.transform(clean.add_user_parts).select(
+    return kept_fields(spark, folder).withColumns(clean.user_parts()).select(
         "event_id", "src_user", "src_user_account", "src_user_domain",
         "dst_user", "dst_user_account", "dst_user_domain",
     )
 
 
 def result_flags(spark, folder):
-    return norm_fields(spark, folder).transform(clean.add_result_flags).select(
+    return norm_fields(spark, folder).withColumns(clean.result_flags()).select(
         "event_id", "success", "auth_orientation",
         "success_flag", "is_failure", "is_logon", "is_logoff",
     )
 
 
 def account_flags(spark, folder):
-    kept = norm_fields(spark, folder).transform(clean.keep_critical)
-    return kept.transform(clean.add_user_parts).transform(clean.add_account_flags).select(
+    parts = kept_fields(spark, folder).withColumns(clean.user_parts())
+    return parts.withColumns(clean.account_flags()).select(
         "event_id", "src_user_account", "src_is_machine_account",
         "dst_user_account", "dst_is_machine_account",
     )
 
 
 def relation_flags(spark, folder):
-    kept = norm_fields(spark, folder).transform(clean.keep_critical)
-    return kept.transform(clean.add_relation_flags).select(
+    return kept_fields(spark, folder).withColumns(clean.relation_flags()).select(
         "event_id", "same_user", "same_computer", "cross_host"
     )
 
@@ -157,7 +160,7 @@ def preservation_summary(spark, folder):
 
 
 def cross_dataset_report(spark, folder):
-    """The reference's check of the first ten attacks against both logs."""
+    """The first ten attacks against both logs."""
     events = pinned(redteam.first_events(attacks(spark, folder)))
     rate = redteam.match_rate(auth(spark, folder), events)
     missed = redteam.unmatched_events(auth(spark, folder), events).agg(
@@ -256,7 +259,7 @@ def edge_index(spark, folder):
     table = cleaned(spark, folder)
     everyone = pinned(graph.nodes(table))
     return graph.edge_index(
-        edges_of(spark, folder), graph.node_index(everyone, graph.USER),
+        pinned(edges_of(spark, folder)), graph.node_index(everyone, graph.USER),
         graph.node_index(everyone, graph.HOST), WEEK,
     )
 
@@ -287,6 +290,10 @@ def triage(spark, folder):
     return alerts.triage(found, _evidence(spark, folder, found))
 
 
+def alert_documents(spark, folder):
+    return alerts.alert_documents(triage(spark, folder))
+
+
 def _on(source: Query, operator, *arguments) -> Query:
     """A query that applies one operator to one derived table."""
     return lambda spark, folder: operator(source(spark, folder), *arguments)
@@ -396,4 +403,5 @@ def queries() -> dict[str, Query]:
             spark, folder, _edge_alerts(spark, folder)
         ),
         "triage": triage,
+        "alert_documents": alert_documents,
     }

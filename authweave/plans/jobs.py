@@ -21,10 +21,9 @@ REDTEAM_SAMPLE_ROWS = 20
 
 def _inspect(log, columns, report_of, dataset, sample_path, report_path, rows, overwrite):
     log = log.select(*columns)
-    if rows is not None:
-        log = pinned(profile.first_rows(log, rows, columns[1:]))
-    writers.write_sample_csv(log, sample_path, SAMPLE_ROWS, columns, overwrite)
-    report = report_of(log, dataset)
+    sample = pinned(profile.first_rows(log, rows or SAMPLE_ROWS, columns[1:]))
+    writers.write_sample_csv(sample, sample_path, SAMPLE_ROWS, columns, overwrite)
+    report = report_of(log if rows is None else sample, dataset)
     writers.write_report(report, report_path, overwrite)
     return report
 

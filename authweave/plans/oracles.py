@@ -140,6 +140,16 @@ SELECT a.alert_id, count(*) AS process_events,
   min(p.time) AS first_process_time, max(p.time) AS last_process_time
 FROM alert a JOIN proc_raw p ON upper(trim(p.computer)) = a.dst_computer AND abs(p.time - a.time) <= 300
 GROUP BY 1"""),
+    "triaged": (["alert", "evidence"], """
+SELECT row_number() OVER (ORDER BY risk DESC, score DESC, user, dst_computer) AS priority,
+  CASE risk WHEN 4 THEN 'critical' WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS severity, *
+FROM (SELECT a.*, coalesce(e.process_events, 0) AS process_events,
+        coalesce(e.same_user_process_events, 0) AS same_user_process_events,
+        coalesce(e.distinct_processes, 0) AS distinct_processes, e.first_process_time, e.last_process_time,
+        CAST(failed_count > 0 AS INT) + CAST(cross_host_count > 0 AS INT)
+          + CAST(coalesce(e.process_events, 0) > 0 AS INT)
+          + CAST(coalesce(e.same_user_process_events, 0) > 0 AS INT) AS risk
+      FROM alert a LEFT JOIN evidence e USING (alert_id)) r"""),
 }
 
 
@@ -253,6 +263,11 @@ SELECT * FROM (WITH i AS ({_integrity(30)}), w AS (SELECT {wide} FROM i)
 {' UNION ALL '.join(rows)}) checks""")
 
 
+TRIAGE_COLUMNS = [
+    "priority", "severity", "risk", "alert_id", "time", "user", "dst_computer", "score",
+    "auth_count", "failed_count", "cross_host_count", "process_events",
+    "same_user_process_events", "distinct_processes", "first_process_time", "last_process_time",
+]
 AUTH_COLUMNS = ", ".join(AUTH_SCHEMA.fieldNames())
 PAIRS_10 = "SELECT count(*) FROM context WHERE redteam_id <= 10"
 
@@ -471,14 +486,8 @@ FROM (SELECT count(*) FILTER (WHERE hit AND attack) AS tp, count(*) FILTER (WHER
       FROM (SELECT flagged = 1 AS hit, (src_user, dst_computer) IN
               (SELECT (user, dst_computer) FROM red_norm) AS attack FROM flagged) j) c"""),
         "process_evidence": _all("evidence"),
-        "triage": _sql("alert evidence", """
-SELECT row_number() OVER (ORDER BY risk DESC, score DESC, user, dst_computer) AS priority,
-  CASE risk WHEN 4 THEN 'critical' WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS severity, *
-FROM (SELECT a.*, coalesce(e.process_events, 0) AS process_events,
-        coalesce(e.same_user_process_events, 0) AS same_user_process_events,
-        coalesce(e.distinct_processes, 0) AS distinct_processes, e.first_process_time, e.last_process_time,
-        CAST(failed_count > 0 AS INT) + CAST(cross_host_count > 0 AS INT)
-          + CAST(coalesce(e.process_events, 0) > 0 AS INT)
-          + CAST(coalesce(e.same_user_process_events, 0) > 0 AS INT) AS risk
-      FROM alert a LEFT JOIN evidence e USING (alert_id)) r"""),
+        "triage": _all("triaged"),
+        "alert_documents": _sql("triaged", f"""
+SELECT priority, CAST(to_json({{{', '.join(f"'{n}': {n}" for n in TRIAGE_COLUMNS)}}}) AS VARCHAR) AS alert
+FROM triaged"""),
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from authweave.operators import profile, quality
 from authweave.operators.quality import CHECKS, CONTRADICTIONS, RANGE_COLUMNS
 from authweave.schemas import (
-    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, CLEAN_COLUMNS, CLEAN_SCHEMA, CONTEXT_WINDOW_SECONDS,
+    AUTH_SCHEMA, CLEAN_COLUMNS, CLEAN_SCHEMA, CONTEXT_WINDOW_SECONDS,
     CRITICAL_COLUMNS, FLAG_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY,
 )
 from authweave.sources.tables import expected_days
@@ -203,6 +203,3 @@ def redteam_summary(lines: DataFrame, dataset: str) -> DataFrame:
         F.min(F.when(valid, F.col("time"))).alias("minimum_timestamp"),
         F.max(F.when(valid, F.col("time"))).alias("maximum_timestamp"),
     )
-
-
-SAMPLE_ORDER = {"auth": AUTH_TEXT_COLUMNS, "process": PROCESS_SCHEMA.fieldNames()[1:]}
