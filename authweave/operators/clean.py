@@ -75,16 +75,31 @@ def relation_flags() -> dict[str, Column]:
 
 
 def clean_auth(auth: DataFrame) -> DataFrame:
-    """The whole transform; works on batch and streaming input alike."""
+    """The whole transform; works on batch and streaming input alike.
+
+    The steps are grouped so that Spark puts the later ones into a generated method of
+    their own: in one method they pass the size up to which the JVM compiles it, and the
+    stage runs several times slower.
+    """
     return (
         auth.transform(keep_critical)
         .withColumns(normalized_fields())
-        .withColumns({**time_parts(), **user_parts(), **result_flags()})
-        .withColumns({**account_flags(), **relation_flags()})
+        .withColumns(time_parts())
+        .withColumns(user_parts())
+        .withColumns({**result_flags(), **account_flags(), **relation_flags()})
         .select(*CLEAN_COLUMNS)
     )
 
 
+def clean_keys(auth: DataFrame) -> DataFrame:
+    """Only the key columns of the clean table, for joins that need no others.
+
+    Blank names are gone after the first step, so no value turns null here.
+    """
+    names = [F.upper(F.trim(F.col(name))).alias(name) for name in REQUIRED]
+    return auth.transform(keep_critical).select("time", *names)
+
+
 def before_day(log: DataFrame, days: int) -> DataFrame:
     """Rows of the first `days` days; the cutoff itself is outside."""
     if days <= 0:

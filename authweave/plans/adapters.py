@@ -20,14 +20,14 @@ SELECT event_id,
        WHEN event_id % 89 = 2 THEN '   '
        WHEN event_id % 13 = 0 THEN concat('c', CAST(user_id % 20 AS STRING), '$@dom1')
        WHEN event_id % 17 = 0 THEN '@dom2'
-       WHEN event_id % 3 = 0 THEN concat(' u', CAST(user_id AS STRING), '@dom', CAST(user_id % 3 AS STRING), ' ')
-       ELSE concat('u', CAST(user_id AS STRING), '@dom', CAST(user_id % 3 AS STRING)) END AS src_user,
+       ELSE concat(CASE WHEN event_id % 3 = 0 THEN ' u' ELSE 'u' END, CAST(user_id AS STRING), '@dom',
+                   CAST(user_id % 3 AS STRING), CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END) END AS src_user,
   CASE WHEN event_id % 11 = 4 THEN NULL
        WHEN event_id % 19 = 0 THEN 'u1@dom1@x'
        WHEN event_id % 23 = 0 THEN 'anonymous logon'
        WHEN event_id % 31 = 0 THEN concat('C', CAST(user_id % 20 AS STRING), '$@DOM1')
-       WHEN event_id % 2 = 0 THEN concat('U', CAST(user_id AS STRING), '@DOM', CAST(user_id % 3 AS STRING))
-       ELSE concat('U', CAST(user_id + 1 AS STRING), '@DOM1') END AS dst_user,
+       ELSE concat('U', CAST(user_id + event_id % 2 AS STRING), '@DOM',
+                   CASE WHEN event_id % 2 = 0 THEN CAST(user_id % 3 AS STRING) ELSE '1' END) END AS dst_user,
   CASE WHEN event_id % 101 = 3 THEN '' ELSE concat('c', CAST(user_id % 20 AS STRING)) END AS src_computer,
   CASE WHEN event_id % 103 = 3 THEN NULL ELSE concat('C', CAST((event_id * 7) % 20 AS STRING), ' ') END AS dst_computer,
   CASE event_type WHEN 'click' THEN 'NTLM' WHEN 'view' THEN 'Kerberos' WHEN 'error' THEN 'Negotiate'

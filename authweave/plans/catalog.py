@@ -10,7 +10,7 @@ from authweave.operators import (
 )
 from authweave.plans import adapters
 from authweave.schemas import (
-    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, CLEAN_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY, SECONDS_PER_DAY,
+    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY, SECONDS_PER_DAY,
 )
 from authweave.sinks import writers
 from authweave.sources import lines, raw_logs, tables
@@ -31,6 +31,10 @@ def cleaned(spark, folder):
     return clean.clean_auth(auth(spark, folder))
 
 
+def cleaned_keys(spark, folder):
+    return clean.clean_keys(auth(spark, folder))
+
+
 def numbered_attacks(spark, folder):
     return redteam.number_events(attacks(spark, folder))
 
@@ -156,7 +160,7 @@ def match_count(spark, folder):
 
 def preservation_summary(spark, folder):
     events = pinned(clean.before_day(attacks(spark, folder), WEEK))
-    return redteam.preservation_summary(redteam.events_preserved(cleaned(spark, folder), events))
+    return redteam.preservation_summary(redteam.events_preserved(cleaned_keys(spark, folder), events))
 
 
 def cross_dataset_report(spark, folder):
@@ -352,7 +356,7 @@ def queries() -> dict[str, Query]:
             auth(spark, folder), numbered_attacks(spark, folder)
         ),
         "redteam_preservation": lambda spark, folder: redteam.preservation(
-            cleaned(spark, folder), attacks(spark, folder), WEEK
+            cleaned_keys(spark, folder), attacks(spark, folder), WEEK
         ),
         "preservation_summary": preservation_summary,
         "process_context": lambda spark, folder: context.process_context(
@@ -382,7 +386,7 @@ def queries() -> dict[str, Query]:
         "login_hours": _on(cleaned, behavior.login_hours),
         "baselines": _on(activity, behavior.baselines),
         "redteam_labels": lambda spark, folder: graph.label_rows(
-            cleaned(spark, folder), pinned_attacks(spark, folder)
+            cleaned_keys(spark, folder), pinned_attacks(spark, folder)
         ),
         "graph_nodes": _on(cleaned, graph.nodes),
         "graph_edges": edges_of,

@@ -77,6 +77,15 @@ def test_rows_without_required_names_are_dropped(spark):
     assert clean.clean_auth(auth(spark, with_value(2, None))).first().dst_user == "UNKNOWN"
 
 
+def test_keys_equal_those_of_the_clean_table(spark):
+    rows = [ROW, (1, "", "x", "c1", "c2", None, None, None, None), (None, *ROW[1:]),
+            (2, "a\t ", None, " c9", "c 2", None, None, None, None)]
+    table = auth(spark, *rows)
+    keys = clean.clean_keys(table)
+    assert sorted(map(tuple, keys.collect())) == sorted(
+        map(tuple, clean.clean_auth(table).select(*keys.columns).collect()))
+
+
 def test_window_edge(spark):
     times = column(spark, [604_799, 604_800, None, -1], "bigint").withColumnRenamed("v", "time")
     assert sorted(row.time for row in clean.before_day(times, 7).collect()) == [-1, 604_799]
