@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -21,10 +22,10 @@ NO_WRITE = [
 ]
 
 
-def plan(frame):
+def plan(frame, mode="formatted"):
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        frame.explain("formatted")
+        frame.explain(mode)
     return text.getvalue()
 
 
@@ -48,6 +49,18 @@ def test_cleaning_is_one_stage_with_pushed_null_test(raw):
     assert "IsNotNull(time)" in text
 
 
+@pytest.mark.parametrize("name", ["auth_clean", "integrity_report", "redteam_preservation", "raw_match"])
+def test_generated_methods_can_be_compiled(spark, name):
+    """The JVM does not compile methods of 8000 bytes or more."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(__spark_entry__.queries()[name](spark, FOLDER), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8_000
+
+
 def test_only_needed_columns_are_read(raw):
     text = plan(clean.clean_auth(raw).groupBy("day_index").count())
     assert "ReadSchema: struct<time:bigint,src_user:string,src_computer:string,dst_computer:string>" in text
