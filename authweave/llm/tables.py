@@ -19,6 +19,14 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return kept
 
 
+def again(frame: DataFrame) -> DataFrame:
+    """The same stored table under new column identities, for joins with itself."""
+    session = frame.sparkSession
+    kept = session.read.schema(frame.schema).parquet(frame._stored_path)
+    kept._stored_path = frame._stored_path
+    return kept
+
+
 def forget(*frames: DataFrame) -> None:
     """Deletes the files behind tables made by `stored` that nobody reads any more."""
     for frame in frames:
