@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authweave.llm.components import components
+from authweave.llm.filters import filter_of, held
 from authweave.llm.rolling import LOWERED, SPACES, Spans, chunks, mix
 from authweave.llm.tables import again, forget, stored
 
 CHUNK = 1 << 20  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
-FILTER_BITS = 1 << 26  # largest filter of sought documents (8 MB)
 ENTRIES = 1_000_000  # prefix tokens of an index part, about
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
 COSTS = (64, 1024)  # estimated candidates from which one more and two more matches are asked
@@ -329,49 +329,10 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     return rows.join(open_tokens, "token", "left_semi").groupBy("token").applyInPandas(cross, PAIR)
 
 
-def _bits_of(nodes: DataFrame) -> np.ndarray:
-    """A filter of names, two bits each; at most FILTER_BITS, of which a share is set."""
-    number = nodes.count()
-    bits = min(FILTER_BITS, 1 << max(16, int(16 * number).bit_length()))
-
-    def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros(bits // 64, np.uint64)
-        for frame in frames:
-            _set(words, frame["node"].to_numpy(np.int64))
-        some = np.flatnonzero(words)
-        yield pd.DataFrame({"place": some, "word": words[some].view(np.int64)})
-
-    rows = (
-        nodes.mapInPandas(part, "place long, word long").groupBy("place")
-        .agg(F.bit_or("word").alias("word"))
-    )
-    words = np.zeros(bits // 64, np.int64)
-    found = rows.toPandas()  # at most FILTER_BITS / 64 rows
-    words[found["place"].to_numpy(np.int64)] = found["word"].to_numpy(np.int64)
-    return words.view(np.uint64)
-
-
-def _two(names: np.ndarray, bits: int) -> list[np.ndarray]:
-    names = names.view(np.uint64)
-    return [(names & np.uint64(bits - 1)), ((names >> np.uint64(32)) & np.uint64(bits - 1))]
-
-
-def _set(words: np.ndarray, names: np.ndarray) -> None:
-    for bit in _two(names, len(words) * 64):
-        np.bitwise_or.at(words, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-
-
-def _held(words: np.ndarray, names: np.ndarray) -> np.ndarray:
-    held = np.ones(len(names), bool)
-    for bit in _two(names, len(words) * 64):
-        held &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-    return held
-
-
 def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """(node, tokens) of the sets that pairs name; the fixed-size filter lets few others pass."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bits = documents.sparkSession.sparkContext.broadcast(_bits_of(nodes))
+    bits = documents.sparkSession.sparkContext.broadcast(filter_of(nodes, "node"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -379,7 +340,7 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             for _, made in _runs(frame["text"], words):
                 names = made.name.view(np.int64)
                 out = []
-                for k in np.flatnonzero(_held(bits.value, names)):
+                for k in np.flatnonzero(held(bits.value, names)):
                     if int(names[k]) in seen:
                         continue
                     seen.add(int(names[k]))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from authweave.llm import (
-    embedding_dedup, html_text, ngram_join, packing, sentencepiece_bpe, topk, toxicity, url_filter, warc,
+    embedding_dedup, html_text, ngram_join, packing, sentencepiece_bpe, suffix_dedup, topk, toxicity, url_filter, warc,
 )
 from authweave.llm.tables import table
 
@@ -42,6 +42,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(documents, size=200, with_text=False)
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=75)
 
@@ -62,7 +67,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_topk, op2_url_filter, op3_toxicity, op4_embedding_dedup, op5_warc, op7_ngram_join, op8_packing, op9_html,
+        op1_topk, op2_url_filter, op3_toxicity, op4_embedding_dedup, op5_warc, op6_suffix_dedup, op7_ngram_join, op8_packing, op9_html,
         op10_sentencepiece,
     ]
     return {query.__name__: query for query in found}
