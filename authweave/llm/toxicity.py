@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from authweave.llm.tables import stored
 
 SAMPLE = 20_000  # labelled rows the model is fitted on, about; scoring covers all rows
-TREES, DEPTH = 20, 3
-LEXICON = 3000  # entries at most, the strongest first
-SUPPORT = 5  # labelled documents an entry occurs in, at least
-STEMS = (4, 6)  # lengths of word beginnings that can be entries
+TREES, DEPTH = 15, 3
+CANDIDATES = 50_000  # units the lexicon is chosen from, at most
+SUPPORT = 5  # toxic documents of the sample an entry occurs in, at least
+OFTEN = 5  # occurrences that count in one text
+STEMS = (3, 4, 5, 6, 7, 8)  # lengths of word beginnings that can be entries
+STRONG = 3.0  # weight from which an entry alone says much
 NEAR = 5  # words between an entry and a second-person word that is near it
 KNOWN = 200_000  # words whose entry a task remembers
 THRESHOLD = 0.3
@@ -36,7 +38,7 @@ DISGUISE = str.maketrans({
     "7": "t", "+": "t", "8": "b",
 })
 FEATURES = (
-    "entry_density entry_weight entry_log distinct_log strongest near_share second_density "
+    "entry_density entry_weight strong_density strong_log entry_log distinct_log strongest near_share second_density "
     "disguised_entry_density capitals shouted_words punctuation exclamations repeated_marks "
     "disguised_words symbols digits words_log word_length"
 ).split()
@@ -59,41 +61,69 @@ def units(word: str) -> Iterator[str]:
             yield word[:size] + "-"
 
 
-def lexicon(labelled: DataFrame) -> dict[str, float]:
-    """Words and word beginnings by the log-odds of toxic documents that hold them.
+def occurrences(text: str) -> Counter:
+    """How often each unit occurs in a text; at most OFTEN, so that no text decides alone."""
+    words = Counter(plain(w) for w in WORD.findall(text.lower()))
+    found: Counter = Counter()
+    for word, number in words.items():
+        for unit in units(word):
+            found[unit] += number
+    return Counter({unit: min(number, OFTEN) for unit, number in found.items()})
 
-    Counted over distinct texts of the training sample, within tasks first. Kept are those in
-    at least SUPPORT (and 0.3 % of) toxic documents that are far commoner there than elsewhere.
-    """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: list[Counter] = [Counter(), Counter()]
-        for frame in frames:
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                words = {plain(w) for w in WORD.findall(text.lower())}
-                seen[int(toxic)].update({u for w in words for u in units(w)})
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pd.DataFrame({
-            "unit": names, "clean": [seen[0][u] for u in names], "toxic": [seen[1][u] for u in names],
-        })
+def lexicon(labelled: DataFrame) -> dict[str, float]:
+    """Words and word beginnings by the log of how much commoner they are in toxic texts.
 
+    Counted over distinct texts of the training sample: units that at least SUPPORT (and
+    0.2 %) of the toxic texts hold, at most CANDIDATES, then those units in the other texts.
+    Kept are units commoner by a factor of 3 and beyond chance.
+    """
     texts = labelled.select("text", "toxic").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    totals = dict(texts.groupBy("toxic").count().collect())
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic or not clean:
+    sizes = texts.withColumn("words", F.size(F.split("text", r"\s+"))).groupBy("toxic").agg(
+        F.count("*").alias("texts"), F.sum("words").alias("words")
+    )
+    totals = {row.toxic: row for row in sizes.collect()}
+    if len(totals) < 2:
         return {}
-    counted = (
-        texts.mapInPandas(count, "unit string, clean long, toxic long")
-        .groupBy("unit").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where(F.col("toxic") >= max(SUPPORT, 0.003 * toxic))
-        .withColumn(
-            "weight",
-            F.log((F.col("toxic") + 0.5) / toxic) - F.log((F.col("clean") + 1.0) / clean),
+
+    def counter(wanted: set[str] | None):
+        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held, number = Counter(), Counter()
+            for frame in frames:
+                for text in frame["text"]:
+                    found = occurrences(text)
+                    if wanted is not None:
+                        found = Counter({u: found[u] for u in found.keys() & wanted})
+                    held.update(found.keys())
+                    number.update(found)
+            names = list(held)
+            yield pd.DataFrame({
+                "unit": names, "texts": [held[u] for u in names], "n": [number[u] for u in names],
+            })
+        return count
+
+    def counted(kind: int, wanted: set[str] | None) -> DataFrame:
+        return (
+            texts.where(F.col("toxic") == kind).select("text")
+            .mapInPandas(counter(wanted), "unit string, texts long, n long")
+            .groupBy("unit").agg(F.sum("texts").alias("texts"), F.sum("n").alias("n"))
         )
-        .where(F.col("weight") >= math.log(8))
-        .orderBy(F.desc(F.col("weight") * F.log1p("toxic")), "unit").limit(LEXICON)
-    )
-    return {row.unit: row.weight for row in counted.select("unit", "weight").collect()}
+
+    support = max(SUPPORT, 0.002 * totals[1].texts)
+    toxic = {
+        row.unit: row.n for row in
+        counted(1, None).where(F.col("texts") >= support)
+        .orderBy(F.desc("texts"), "unit").limit(CANDIDATES).collect()
+    }
+    clean = {row.unit: row.n for row in counted(0, set(toxic)).collect()}
+    share = totals[1].words / totals[0].words
+    found = {}
+    for unit, number in toxic.items():
+        expected = (clean.get(unit, 0) + 0.5) * share
+        weight = math.log((number + 0.5) / (expected + 0.5))
+        if weight >= math.log(3) and number - expected >= 4 * math.sqrt(expected + 1):
+            found[unit] = weight
+    return found
 
 
 class Features:
@@ -127,6 +157,7 @@ class Features:
             if word in SECOND_PERSON:
                 second.append(place)
         weights = [w for _, w, _ in hits]
+        strong = [w for w in weights if w >= STRONG]
         near = 0
         if hits and second:
             places = np.array(second)
@@ -145,13 +176,15 @@ class Features:
         marks = int(number[33:48].sum() + number[58:65].sum() + number[91:97].sum() + number[123:127].sum())
         symbols = int(number[[35, 36, 37, 38, 42, 43, 64, 94, 124, 126]].sum())
         return [
-            len(hits) / n, sum(weights) / n, math.log1p(len(hits)),
+            len(hits) / n, sum(weights) / n, len(strong) / n, math.log1p(len(strong)),
+            math.log1p(len(hits)),
             math.log1p(len({w for _, _, w in hits})), max(weights, default=0.0),
             near / (len(hits) or 1), len(second) / n, disguised_hits / n,
             upper / letters, sum(w.isupper() and len(w) > 1 for w in words) / n if upper else 0.0,
             marks / size, int(number[33]) / size, len(REPEATED.findall(text)) / n,
             len(DISGUISED.findall(text)) / n if symbols or number[48:58].any() else 0.0,
-            symbols / size, int(number[48:58].sum()) / size, math.log1p(len(words)), letters / n,
+            symbols / size, int(number[48:58].sum()) / size, math.log1p(len(words)),
+            letters / n if words else 0.0,
         ]
 
 
@@ -195,7 +228,7 @@ def fit(labelled: DataFrame) -> ToxicityModel:
     n = rows.count()
     if n > SAMPLE:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1_000_000 * SAMPLE // n)
-    rows = stored(rows.repartition(12, F.xxhash64("text")), "labelled")
+    rows = stored(rows.repartition(6, F.xxhash64("text")), "labelled")
     totals = dict(rows.groupBy("toxic").count().collect())
     toxic, both = totals.get(1, 0), sum(totals.values())
     base = toxic / both if both else 0.0
