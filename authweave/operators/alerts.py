@@ -10,6 +10,7 @@ from authweave.operators.sizing import join_checked
 from authweave.workspace import pinned
 
 EDGE = ["src_user", "dst_computer"]
+ALERT = ["user", "dst_computer"]
 TOP_ANOMALIES = 20
 THRESHOLD_SHARE = 0.95
 
@@ -20,7 +21,7 @@ def score_edges(edge_table: DataFrame) -> DataFrame:
     `edge_table` is read twice and should be pinned. One row per user is joined back.
     """
     totals = pinned(edge_table.groupBy("src_user").agg(F.sum("auth_count").alias("user_total")))
-    scored = join_checked(edge_table, totals, ["src_user"], "inner", totals)
+    scored = join_checked(edge_table, totals, ["src_user"], "inner")
     share = F.col("auth_count") / F.col("user_total")
     return scored.withColumn("score", F.round(1 - share, 6)).drop("user_total")
 
@@ -61,12 +62,16 @@ def flag_scores(scored: DataFrame, threshold: DataFrame) -> DataFrame:
 
 
 def evaluate(flagged: DataFrame, redteam: DataFrame) -> DataFrame:
-    """One row: confusion counts and rates of flagged edges against attacked edges."""
+    """One row: confusion counts and rates of flagged edges against attacked edges.
+
+    An attacked pair without an edge is an attack that was missed.
+    """
     attacked = normalize_events(redteam).select(
         F.col("user").alias("src_user"), "dst_computer"
     ).distinct().withColumn("_attack", F.lit(True))
-    judged = join_checked(flagged.select(*EDGE, "flagged"), attacked, EDGE, "left", redteam)
-    hit, attack = F.col("flagged") == 1, F.col("_attack").isNotNull()
+    judged = flagged.select(*EDGE, "flagged").join(attacked, EDGE, "full")
+    hit = F.coalesce(F.col("flagged") == 1, F.lit(False))
+    attack = F.col("_attack").isNotNull()
     counts = judged.agg(
         F.count_if(hit & attack).alias("true_positives"),
         F.count_if(hit & ~attack).alias("false_positives"),
@@ -90,15 +95,18 @@ def evaluate(flagged: DataFrame, redteam: DataFrame) -> DataFrame:
 
 
 def edge_alerts(flagged: DataFrame) -> DataFrame:
-    """Flagged edges as alerts, numbered from the highest score, at their first contact."""
-    chosen = flagged.filter(F.col("flagged") == 1).select(
+    """Flagged edges as alerts by user and destination host, with the time of the first contact."""
+    return flagged.filter(F.col("flagged") == 1).select(
         F.col("first_time").alias("time"),
         F.col("src_user").alias("user"),
-        F.col("dst_computer").alias("src_computer"),
         "dst_computer", "score", "auth_count", "failed_count", "cross_host_count",
     )
-    order = [F.desc("score"), F.asc("user"), F.asc("dst_computer")]
-    return number_rows(chosen, order, "alert_id", 1)
+
+
+def alert_contacts(clean: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The rows of the clean table behind the alerts: user, time and both hosts."""
+    rows = clean.select(F.col("src_user").alias("user"), "time", "src_computer", "dst_computer")
+    return join_checked(rows, alerts.select(*ALERT), ALERT, "left_semi")
 
 
 def triage(alerts: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -107,7 +115,7 @@ def triage(alerts: DataFrame, evidence: DataFrame) -> DataFrame:
     One point each for failures, cross-host use, process activity nearby and process
     activity by the same user. Priority 1 is the most urgent.
     """
-    found = alerts.join(evidence, "alert_id", "left")
+    found = alerts.join(evidence, ALERT, "left")
     counts = ["process_events", "same_user_process_events", "distinct_processes"]
     filled = found.na.fill(0, counts)
     signals = ["failed_count", "cross_host_count", "process_events", "same_user_process_events"]
@@ -119,7 +127,7 @@ def triage(alerts: DataFrame, evidence: DataFrame) -> DataFrame:
     rated = filled.withColumn("risk", risk).withColumn("severity", severity)
     order = [F.desc("risk"), F.desc("score"), F.asc("user"), F.asc("dst_computer")]
     return number_rows(rated, order, "priority", 1).select(
-        "priority", "severity", "risk", "alert_id", "time", "user", "dst_computer", "score",
+        "priority", "severity", "risk", "time", "user", "dst_computer", "score",
         "auth_count", "failed_count", "cross_host_count", *counts,
         "first_process_time", "last_process_time",
     )

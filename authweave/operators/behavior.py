@@ -87,20 +87,25 @@ def login_hours(clean: DataFrame) -> DataFrame:
 def baselines(activity: DataFrame, days: int = BASELINE_DAYS) -> DataFrame:
     """Each active day of a user against the active days among the `days` before it.
 
-    Mean and deviation come from integer sums, so they do not depend on row order. The
-    z-score is null with fewer than two earlier days or without any spread.
+    Mean and deviation come from whole-number sums, so they do not depend on row order; the
+    squares are decimals, which hold the sums of any count. The z-score is null with fewer
+    than two earlier days or without any spread.
     """
     before = Window.partitionBy("src_user").orderBy("day_index").rangeBetween(-days, -1)
     count = F.col("auth_count")
+    wide = lambda value: value.cast("decimal(19,0)")
     sums = activity.select(
         "src_user", "day_index", "auth_count",
         F.count("*").over(before).alias("n"),
         F.sum(count).over(before).alias("total"),
-        F.sum(count * count).over(before).alias("squares"),
+        F.sum((wide(count) * wide(count)).cast("decimal(38,0)")).over(before).alias("squares"),
     )
     mean = F.try_divide("total", "n")
     spread = F.try_divide(
-        F.col("n") * F.col("squares") - F.col("total") * F.col("total"),
+        (
+            (F.col("n").cast("decimal(6,0)") * F.col("squares").cast("decimal(31,0)")).cast("decimal(38,0)")
+            - (wide(F.col("total")) * wide(F.col("total"))).cast("decimal(38,0)")
+        ).cast("double"),
         F.col("n") * (F.col("n") - 1),
     )
     deviation = F.sqrt(spread)

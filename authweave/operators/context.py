@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from authweave.functions.clock import floor_div
 from authweave.operators.sizing import join_checked
 from authweave.schemas import CONTEXT_WINDOW_SECONDS
+from authweave.workspace import pinned
 
 
 def _hosts(events: DataFrame) -> DataFrame:
@@ -28,10 +29,18 @@ def _near(process_time: Column, event_time: Column, window: int) -> Column:
 
 
 def _within_reach(process: DataFrame, events: DataFrame, window: int) -> DataFrame:
-    """Rows between the first and the last event, window included; filtered at the scan."""
-    low = events.agg(F.min("time") - window).scalar()
-    high = events.agg(F.max("time") + window).scalar()
-    return process.filter(F.col("time").between(low, high))
+    """Rows between the first and the last event, window included.
+
+    The bounds are fetched first, so the scan gets them as literals.
+    """
+    bounds = events.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+    return _between(process, bounds.low, bounds.high, window)
+
+
+def _between(process: DataFrame, low: int | None, high: int | None, window: int) -> DataFrame:
+    if low is None:
+        return process.filter(F.lit(False))
+    return process.filter(F.col("time").between(low - window, high + window))
 
 
 def process_context(
@@ -59,7 +68,7 @@ def process_context(
         "computer", "process", "event_type",
         floor_div(F.col("time"), window).alias("_slot"),
     )
-    pairs = join_checked(rows, reach, ["computer", "_slot"], "inner", events).filter(
+    pairs = join_checked(rows, reach, ["computer", "_slot"], "inner").filter(
         _near(F.col("process_time"), F.col("redteam_time"), window)
     )
     role = F.when(F.col("computer") == F.col("redteam_src_computer"), "source_host")
@@ -74,66 +83,77 @@ def process_context(
     )
 
 
-def _pair_count(events: DataFrame, process: DataFrame, extra: list[str], window: int) -> DataFrame:
-    """Number of pairs, from counts per host and second instead of the pairs."""
-    keys = ["computer", *extra]
+def context_summary(
+    events: DataFrame, process: DataFrame, window: int = CONTEXT_WINDOW_SECONDS
+) -> DataFrame:
+    """One row: pairs in reach, and those by the attacking user.
+
+    One pass over counts per host, second and user, instead of the pairs.
+    """
     reach = (
-        _hosts(events).withColumnRenamed("_host", "computer")
-        .groupBy(*keys, F.col("time").alias("event_time")).agg(F.count("*").alias("events"))
+        _hosts(events).groupBy(
+            F.col("_host").alias("computer"), F.col("user").alias("event_user"),
+            F.col("time").alias("event_time"),
+        ).agg(F.count("*").alias("events"))
         .withColumn("_slot", _spread(F.col("event_time"), window))
     )
     rows = (
         _within_reach(process, events, window)
-        .groupBy(*keys, "time").agg(F.count("*").alias("rows"))
+        .groupBy("computer", "user", "time").agg(F.count("*").alias("rows"))
         .withColumn("_slot", floor_div(F.col("time"), window))
     )
+    pairs = F.col("events") * F.col("rows")
+    same_user = F.when(F.col("user") == F.col("event_user"), pairs)
     return (
-        rows.join(reach, [*keys, "_slot"])
+        rows.join(reach, ["computer", "_slot"])
         .filter(_near(F.col("time"), F.col("event_time"), window))
-        .agg(F.coalesce(F.sum(F.col("events") * F.col("rows")), F.lit(0)).alias("pairs"))
-    )
-
-
-def context_summary(
-    events: DataFrame, process: DataFrame, window: int = CONTEXT_WINDOW_SECONDS
-) -> DataFrame:
-    """One row: pairs in reach, and those by the attacking user."""
-    total = _pair_count(events, process, [], window)
-    same_user = _pair_count(events, process, ["user"], window)
-    return total.select(
-        F.col("pairs").alias("process_context_events_found"),
-        same_user.scalar().alias("same_user_process_context_events"),
-        F.lit(window).alias("process_context_window_seconds"),
+        .agg(
+            F.coalesce(F.sum(pairs), F.lit(0)).alias("process_context_events_found"),
+            F.coalesce(F.sum(same_user), F.lit(0)).alias("same_user_process_context_events"),
+            F.lit(window).alias("process_context_window_seconds"),
+        )
     )
 
 
 def process_evidence(
-    alerts: DataFrame, process: DataFrame, id_name: str = "alert_id",
+    contacts: DataFrame, process: DataFrame, keys: list[str],
     window: int = CONTEXT_WINDOW_SECONDS,
 ) -> DataFrame:
-    """Per alert: process rows near it, those by its user, kinds of process, time span.
-
-    Process rows are counted per host, second, user and kind before the join.
+    """Per alert (`keys`): process rows near any of its contacts, on either host involved.
+
+    `contacts` has the keys, user, time, src_computer and dst_computer. Counted are process
+    rows, those by the contact's user, kinds of process, and the time span; a row near
+    several contacts counts once. Of the contacts only the first and last per host and
+    300-second slot matter: whether a row is near a contact of its own slot or a neighbouring
+    one is decided by these two. Process rows are counted per host, second, user and kind
+    before the join.
     """
+    named = list(dict.fromkeys([*keys, "user"]))
+    slots = pinned(
+        _hosts(contacts)
+        .groupBy(*named, F.col("_host").alias("computer"), floor_div(F.col("time"), window).cast("long").alias("_at"))
+        .agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
+    )
+    bounds = slots.agg(F.min("_first").alias("low"), F.max("_last").alias("high")).first()
     rows = (
-        _within_reach(process, alerts, window)
+        _between(process, bounds.low, bounds.high, window)
         .groupBy("computer", "time", F.col("user").alias("process_user"), "process")
         .agg(F.count("*").alias("rows"))
         .withColumn("_slot", floor_div(F.col("time"), window))
     )
-    reach = _hosts(alerts).select(
-        id_name, "user", F.col("time").alias("event_time"), F.col("_host").alias("computer"),
-        _spread(F.col("time"), window).alias("_slot"),
-    )
-    near = join_checked(rows, reach, ["computer", "_slot"], "inner", alerts).filter(
-        _near(F.col("time"), F.col("event_time"), window)
+    reach = slots.withColumn("_slot", F.explode(F.sequence(F.col("_at") - 1, F.col("_at") + 1)))
+    near = join_checked(rows, reach, ["computer", "_slot"], "inner").filter(
+        (F.col("_last") >= F.col("time") - window) & (F.col("_first") <= F.col("time") + window)
     )
     own = F.when(F.col("process_user") == F.col("user"), F.col("rows")).otherwise(0)
-    kinds = near.groupBy(id_name, "process").agg(
-        F.sum("rows").alias("rows"), F.sum(own).alias("own"),
+    once = near.groupBy(*keys, "computer", "time", "process_user", "process").agg(
+        F.max("rows").alias("rows"), F.max(own).alias("own")
+    )
+    kinds = once.groupBy(*keys, "process").agg(
+        F.sum("rows").alias("rows"), F.sum("own").alias("own"),
         F.min("time").alias("first_time"), F.max("time").alias("last_time"),
     )
-    return kinds.groupBy(id_name).agg(
+    return kinds.groupBy(*keys).agg(
         F.sum("rows").alias("process_events"),
         F.sum("own").alias("same_user_process_events"),
         F.count("process").alias("distinct_processes"),

@@ -14,7 +14,11 @@ HOST = "host"
 
 
 def nodes(clean: DataFrame) -> DataFrame:
-    """Users and hosts with the number of rows they are source or destination of."""
+    """Users and hosts with the number of rows they are source or destination of.
+
+    Only the destination user is ever filled in by the cleaning, so only there the fill
+    value stands for nobody; a source user or a host of that name is a node like others.
+    """
     ends = [(USER, "src_user", 1), (USER, "dst_user", 0), (HOST, "src_computer", 1), (HOST, "dst_computer", 0)]
     roles = F.array(*[
         F.struct(
@@ -24,7 +28,7 @@ def nodes(clean: DataFrame) -> DataFrame:
     ])
     return (
         clean.select(F.inline(roles))
-        .filter(F.col("node") != UNKNOWN)
+        .filter(~((F.col("node_type") == USER) & (F.col("source") == 0) & (F.col("node") == UNKNOWN)))
         .groupBy("node_type", "node")
         .agg(
             F.count_if(F.col("source") == 1).alias("as_source"),
@@ -57,8 +61,8 @@ def edge_index(
     """Edges by node number; edges first seen from `split_day` on are test edges."""
     user_ids = users.select(F.col("node").alias("src_user"), F.col("node_id").alias("user_id"))
     host_ids = hosts.select(F.col("node").alias("dst_computer"), F.col("node_id").alias("host_id"))
-    named = join_checked(all_edges, user_ids, ["src_user"], "inner", users)
-    both = join_checked(named, host_ids, ["dst_computer"], "inner", hosts)
+    named = join_checked(all_edges, user_ids, ["src_user"], "inner")
+    both = join_checked(named, host_ids, ["dst_computer"], "inner")
     return both.select(
         "user_id", "host_id", "auth_count", "failed_count",
         F.when(F.col("first_day") < split_day, "train").otherwise("test").alias("split"),
@@ -86,6 +90,6 @@ def label_rows(clean: DataFrame, redteam: DataFrame) -> DataFrame:
         F.col("time"), F.col("user").alias("src_user"), "src_computer", "dst_computer"
     )
     known = events.distinct().withColumn("_attack", F.lit(True))
-    return join_checked(clean.select(*AUTH_KEY), known, AUTH_KEY, "left", redteam).select(
+    return join_checked(clean.select(*AUTH_KEY), known, AUTH_KEY, "left").select(
         *AUTH_KEY, flag(F.col("_attack")).alias("label")
     )

@@ -51,7 +51,8 @@ def first_rows(log: DataFrame, count: int, order: list[str]) -> DataFrame:
 
     With many rows asked for, each task would hand its own first `count` to the last
     sort. So the second in which the last wanted row lies is found from row counts per
-    second, and later rows are filtered out at the scan.
+    second, and later rows are filtered out at the scan: the bound is fetched first and so a
+    literal. The sums over seconds run in one task, over `count` rows at most.
     """
     seconds = log.filter(F.col("time").isNotNull()).groupBy("time").agg(F.count("*").alias("rows"))
     candidates = seconds.orderBy("time").limit(count)
@@ -60,9 +61,8 @@ def first_rows(log: DataFrame, count: int, order: list[str]) -> DataFrame:
     bounds = needed.filter(F.col("before") < count).agg(
         F.max("time").alias("last"), F.sum("rows").alias("rows")
     )
-    # fewer timed rows than wanted: rows without a time fill up the rest
-    last = F.when(F.col("rows") >= count, F.col("last"))
-    cutoff = bounds.select(F.coalesce(last, F.lit(2**63 - 1)).alias("cutoff")).scalar()
-    untimed = bounds.select(F.coalesce(F.col("rows") < count, F.lit(True)).alias("short")).scalar()
-    near = log.filter((F.col("time") <= cutoff) | (F.col("time").isNull() & untimed))
+    found = bounds.first()
+    # with fewer timed rows than wanted, rows without a time fill up the rest
+    enough = found.rows is not None and found.rows >= count
+    near = log.filter(F.col("time") <= found.last) if enough else log
     return near.orderBy(F.asc_nulls_last("time"), *[F.asc_nulls_last(name) for name in order]).limit(count)

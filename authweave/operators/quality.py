@@ -6,13 +6,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from authweave.functions.clock import floor_div
 from authweave.schemas import CLEAN_SCHEMA, CRITICAL_COLUMNS, FLAG_COLUMNS, SECONDS_PER_DAY
 from authweave.sources.tables import missing_days
 
+# Names of ranges, contradictions and checks in the report format.
 RANGE_COLUMNS = ["time", "day_index", "second_of_day", "hour"]
 CONTRADICTIONS = [
     "invalid_host_relationship", "failure_flag_mismatch_1",
-    "failure_flag_mismatch_2", "simultaneous_logon_logoff",
+    "failure_flag_mismatch_2", "simultaneous_logon_logoff", "day_time_mismatch",
 ]
 CHECKS = [
     "physical_output", "schema", "day_coverage", "row_integrity", "critical_nulls",
@@ -28,8 +30,7 @@ def _not_in(name: str, values: list[int]) -> Column:
     return F.col(name).isNull() | ~F.col(name).isin(values)
 
 
-def integrity_report(clean: DataFrame, days: int) -> DataFrame:
-    """32 measures of the whole table in one pass, one row."""
+def _measures(days: int) -> list[Column]:
     extremes = [
         pick(name).alias(f"{label}_{name}")
         for name in RANGE_COLUMNS
@@ -47,9 +48,15 @@ def integrity_report(clean: DataFrame, days: int) -> DataFrame:
         "failure_flag_mismatch_1": (outcome == 0) & (F.col("is_failure") != 1),
         "failure_flag_mismatch_2": (outcome != 0) & (F.col("is_failure") != 0),
         "simultaneous_logon_logoff": (F.col("is_logon") == 1) & (F.col("is_logoff") == 1),
+        "day_time_mismatch": F.col("day_index") != floor_div(F.col("time"), SECONDS_PER_DAY),
     }
     counts = [F.count_if(fault).alias(name) for name, fault in faults.items()]
-    return clean.agg(F.count("*").alias("processed_rows"), *extremes, *counts)
+    return [F.count("*").alias("processed_rows"), *extremes, *counts]
+
+
+def integrity_report(clean: DataFrame, days: int) -> DataFrame:
+    """33 measures of the whole table in one pass, one row. Rows outside the days count too."""
+    return clean.agg(*_measures(days))
 
 
 def schema_report(table: DataFrame) -> DataFrame:
@@ -89,19 +96,6 @@ def schema_matches(table: DataFrame) -> bool:
     return typed(table.schema) == typed(CLEAN_SCHEMA)
 
 
-def day_coverage(clean: DataFrame, days: int) -> DataFrame:
-    """One row: exactly the days 0 .. days-1 are present, a null day aside."""
-    present = clean.select("day_index").filter(F.col("day_index").isNotNull()).distinct()
-    return present.agg(
-        F.coalesce(
-            (F.count("*") == days)
-            & (F.min("day_index") == 0)
-            & (F.max("day_index") == days - 1),
-            F.lit(False),
-        ).alias("covered")
-    )
-
-
 def _all_zero(names: list[str]) -> Column:
     return reduce(and_, [F.col(name) == 0 for name in names])
 
@@ -110,8 +104,10 @@ def measure(
     clean: DataFrame, files: DataFrame, redteam_summary: DataFrame,
     staged_total: DataFrame | None, days: int,
 ) -> DataFrame:
-    """One row: the integrity measures, one boolean per check, and `overall`.
+    """One row: the integrity measures, the present days, one boolean per check, and `overall`.
 
+    One pass over the whole table: rows without a day or outside the days are what some of
+    the checks look for, so the table must not be filtered by day. The set of days is small.
     `files` is the listing of the table's data files, `staged_total` one row with
     `total_valid_rows` or None when nothing is known about staging.
     """
@@ -122,7 +118,11 @@ def measure(
     verdicts = {
         "physical_output": absent == 0,
         "schema": F.lit(schema_matches(clean)),
-        "day_coverage": day_coverage(clean, days).scalar(),
+        "day_coverage": F.coalesce(
+            (F.size("present_days") == days)
+            & (F.col("minimum_day_index") == 0) & (F.col("maximum_day_index") == days - 1),
+            F.lit(False),
+        ),
         "row_integrity": kept,
         "critical_nulls": _all_zero([f"null_{name}" for name in CRITICAL_COLUMNS]),
         "binary_fields": _all_zero(
@@ -134,7 +134,8 @@ def measure(
         "logical_consistency": _all_zero(CONTRADICTIONS),
         "redteam_preservation": redteam_summary.select("pass").scalar(),
     }
-    measured = integrity_report(clean, days).withColumns(verdicts)
+    present = F.sort_array(F.collect_set("day_index")).alias("present_days")
+    measured = clean.agg(*_measures(days), present).withColumns(verdicts)
     return measured.withColumn("overall", reduce(and_, [F.col(name) for name in CHECKS]))
 
 

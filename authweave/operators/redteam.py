@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from authweave.functions.clock import day_index
 from authweave.functions.flags import flag
 from authweave.operators.clean import before_day
 from authweave.operators.ids import number_rows
@@ -14,8 +15,10 @@ FIRST_EVENTS = 10
 
 
 def file_order(redteam: DataFrame) -> list[str]:
-    """Line order where the log has line numbers, else time and names."""
-    return ["source_row"] if "source_row" in redteam.columns else REDTEAM_KEY
+    """File and line where the log has line numbers, else time and names."""
+    if "source_row" not in redteam.columns:
+        return REDTEAM_KEY
+    return [name for name in ("file", "source_row") if name in redteam.columns]
 
 
 def number_events(redteam: DataFrame, name: str = "redteam_id", start: int = 1) -> DataFrame:
@@ -25,7 +28,10 @@ def number_events(redteam: DataFrame, name: str = "redteam_id", start: int = 1)
 
 
 def first_events(redteam: DataFrame, count: int = FIRST_EVENTS) -> DataFrame:
-    """The first events in file order, ids from 1. The window sees `count` rows at most."""
+    """The first events in file order, ids from 1.
+
+    The window is one task that sees `count` rows: meant for reports of up to some 100,000.
+    """
     order = file_order(redteam)
     first = redteam.filter(F.col("time").isNotNull()).orderBy(*order).limit(count)
     number = F.row_number().over(Window.orderBy(*order)).cast("long")
@@ -43,20 +49,30 @@ def _auth_key(events: DataFrame) -> list[Column]:
 
 
 def _in_reach(log: DataFrame, events: DataFrame) -> DataFrame:
-    """Log rows between the first and the last event; the bounds filter at the scan."""
-    low = events.agg(F.min("time")).scalar()
-    high = events.agg(F.max("time")).scalar()
-    return log.filter(F.col("time").between(low, high))
+    """Log rows between the first and the last event, on the events' days where the log has them.
+
+    Bounds and days are fetched from the events first, so the scan gets them as literals:
+    they skip row groups and, in a table by day, folders. A clean row in the folder of
+    another day than its time's is not found; the quality checks report such rows.
+    """
+    bounds = events.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+    if bounds.low is None:
+        return log.filter(F.lit(False))
+    near = log.filter(F.col("time").between(bounds.low, bounds.high))
+    if "day_index" in log.columns:
+        days = events.filter("time IS NOT NULL").select(day_index(F.col("time")).alias("day")).distinct()
+        near = near.filter(F.col("day_index").isin([row.day for row in days.collect()]))
+    return near
 
 
 def raw_matches(auth: DataFrame, events: DataFrame) -> DataFrame:
     """Authentication rows that equal an attack in all four key fields, text as logged.
 
-    A row is listed once, under the last of the events that share its key.
+    A row is listed once for each event that has its key.
     """
-    last = events.groupBy(*_auth_key(events)).agg(F.max("redteam_id").alias("redteam_id"))
+    keyed = events.select("redteam_id", *_auth_key(events))
     rows = _in_reach(auth, events).select("time", *AUTH_TEXT_COLUMNS)
-    return join_checked(rows, last, AUTH_KEY, "inner", events).select(
+    return join_checked(rows, keyed, AUTH_KEY, "inner").select(
         "redteam_id",
         F.col("time").alias("redteam_time"),
         F.col("src_user").alias("redteam_user"),
@@ -67,9 +83,8 @@ def raw_matches(auth: DataFrame, events: DataFrame) -> DataFrame:
 def matches_per_event(log: DataFrame, events: DataFrame) -> DataFrame:
     """Every event with the number of log rows that equal it, 0 when there is none.
 
-    Works on counts per key, never on pairs of rows: with few events the log is filtered
-    first and then counted; otherwise it is counted first, so that repeated keys shrink
-    before the shuffle. `events` should be pinned or a small file.
+    Works on counts per key, never on pairs of rows: the log is reduced to the events' keys
+    before it is counted. `events` should be pinned or a small file.
     """
     names = [f"_{name}" for name in AUTH_KEY]
     keyed = events.withColumns(dict(zip(names, map(F.col, REDTEAM_KEY))))
@@ -81,8 +96,8 @@ def matches_per_event(log: DataFrame, events: DataFrame) -> DataFrame:
         kept = rows.join(F.broadcast(keyed.select(names)), names, "left_semi")
         counts = F.broadcast(kept.groupBy(names).agg(count))
     else:
-        keys = keyed.select(names).distinct()
-        counts = pinned(rows.groupBy(names).agg(count).join(keys, names, "left_semi"))
+        keys = pinned(keyed.select(names).distinct())
+        counts = pinned(rows.join(keys, names, "left_semi").groupBy(names).agg(count))
     return keyed.join(counts, names, "left").select(
         *events.columns, F.coalesce("matches", F.lit(0)).cast("long").alias("matches")
     )

@@ -24,15 +24,13 @@ def is_small(frame: DataFrame) -> bool:
     return (size or 0) <= BROADCAST_BYTES
 
 
-def join_checked(
-    left: DataFrame, right: DataFrame, on: list[str], how: str, source: DataFrame
-) -> DataFrame:
-    """Join with a side derived row by row from `source` (a few rows for each at most).
+def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join with a side that may be small; its own size is measured, so it should be cheap.
 
     Small: broadcast, the left side is not moved. Otherwise a shuffle join; the right side
     is pinned first, so it is read through a shuffle of its own, which is what adaptive
     execution needs to split the partitions of a hot key.
     """
-    if is_small(source):
+    if is_small(right):
         return left.join(F.broadcast(right), on, how)
     return left.join(pinned(right), on, how)

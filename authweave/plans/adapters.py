@@ -17,6 +17,7 @@ AUTH_LOG = """
 SELECT event_id,
   CASE WHEN event_id % 211 = 5 THEN NULL ELSE <SEC> END AS time,
   CASE WHEN event_id % 97 = 1 THEN NULL
+       WHEN event_id % 83 = 5 THEN 'unknown'
        WHEN event_id % 89 = 2 THEN '   '
        WHEN event_id % 13 = 0 THEN concat('c', CAST(user_id % 20 AS STRING), '$@dom1')
        WHEN event_id % 17 = 0 THEN '@dom2'
@@ -29,7 +30,7 @@ SELECT event_id,
        ELSE concat('U', CAST(user_id + event_id % 2 AS STRING), '@DOM',
                    CASE WHEN event_id % 2 = 0 THEN CAST(user_id % 3 AS STRING) ELSE '1' END) END AS dst_user,
   CASE WHEN event_id % 101 = 3 THEN '' ELSE concat('c', CAST(user_id % 20 AS STRING)) END AS src_computer,
-  CASE WHEN event_id % 103 = 3 THEN NULL ELSE concat('C', CAST((event_id * 7) % 20 AS STRING), ' ') END AS dst_computer,
+  CASE WHEN event_id % 103 = 3 THEN NULL WHEN event_id % 107 = 9 THEN 'Unknown' ELSE concat('C', CAST((event_id * 7) % 20 AS STRING), ' ') END AS dst_computer,
   CASE event_type WHEN 'click' THEN 'NTLM' WHEN 'view' THEN 'Kerberos' WHEN 'error' THEN 'Negotiate'
        WHEN 'signup' THEN '' ELSE NULL END AS auth_type,
   CASE user_id % 4 WHEN 0 THEN 'Network' WHEN 1 THEN 'Interactive' WHEN 2 THEN 'Batch' ELSE NULL END AS logon_type,
@@ -42,12 +43,14 @@ SELECT event_id,
 FROM <EVENTS>
 """
 
-REDTEAM_LOG = """
+_ATTACKS = """
 SELECT time, trim(src_user) AS user, src_computer,
   CASE WHEN event_id % 140 = 77 THEN 'C999' ELSE dst_computer END AS dst_computer
 FROM <AUTH>
-WHERE event_id % 35 = 7 AND time IS NOT NULL AND src_user IS NOT NULL AND dst_computer IS NOT NULL
+WHERE event_id % <N> = 7 AND time IS NOT NULL AND src_user IS NOT NULL AND dst_computer IS NOT NULL
 """
+# Some attacks are logged twice or three times.
+REDTEAM_LOG = "UNION ALL".join(_ATTACKS.replace("<N>", n) for n in ("35", "105", "245"))
 
 PROCESS_LOG = """
 SELECT <SEC> + CASE event_id % 6 WHEN 0 THEN -301 WHEN 1 THEN -300 WHEN 2 THEN 0
@@ -83,6 +86,24 @@ FROM <REDTEAM>
 """
 
 
+# The process log as CSV lines with the same kinds of fault.
+PROCESS_LINES = """
+SELECT CASE WHEN time % 50 = 9 THEN front
+            WHEN time % 50 = 19 THEN concat(front, ',End,extra')
+            WHEN time % 50 = 29 THEN concat('x', front, ',End')
+            ELSE concat(front, ',', event_type) END AS value
+FROM (SELECT time, event_type,
+        concat_ws(',', coalesce(CAST(time AS STRING), '?'), coalesce(user, '?'), coalesce(computer, '?'), process) AS front
+      FROM <PROCESS>) AS fronts
+"""
+
+# A clean table with rows in wrong days: a negative one, none, one too late, the next one.
+WRONG_DAY = """
+CASE WHEN time % 997 = 0 THEN -1 WHEN time % 997 = 1 THEN NULL WHEN time % 997 = 2 THEN 31
+     WHEN time % 997 = 3 THEN (day_index + 1) % 30 ELSE day_index END
+"""
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
@@ -111,5 +132,9 @@ def auth_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _over(AUTH_LINES, "<AUTH>", auth_log(spark, folder))
 
 
+def process_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return _over(PROCESS_LINES, "<PROCESS>", process_log(spark, folder))
+
+
 def redteam_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _over(REDTEAM_LINES, "<REDTEAM>", redteam_log(spark, folder))

@@ -2,21 +2,23 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.operators import (
     alerts, behavior, clean, context, graph, profile, quality, redteam, staging,
 )
-from authweave.plans import adapters
+from authweave.plans import adapters, jobs
 from authweave.schemas import (
-    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY, SECONDS_PER_DAY,
+    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY,
 )
 from authweave.sinks import writers
 from authweave.sources import lines, raw_logs, tables
 from authweave.workspace import new_path, pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
+_WRITTEN: dict[tuple[str, str], str] = {}
 
 WEEK = 7
 ALL_DAYS = 30
@@ -120,6 +122,12 @@ def profile_sample(spark, folder):
     return profile.first_rows(log, profile.SAMPLE_ROWS, AUTH_TEXT_COLUMNS)
 
 
+def profile_sample_cut(spark, folder):
+    """A cut below the size of the smallest test table."""
+    log = auth(spark, folder).select(*AUTH_COLUMNS)
+    return profile.first_rows(log, 500, AUTH_TEXT_COLUMNS)
+
+
 def first_rows(spark, folder):
     log = process(spark, folder)
     return profile.first_rows(log, 10, PROCESS_SCHEMA.fieldNames()[1:])
@@ -145,6 +153,44 @@ def redteam_malformed(spark, folder):
     return timed.withColumn("malformed_rows", bad)
 
 
+def process_from_csv(spark, folder):
+    path = new_path(spark, "process-lines")
+    adapters.process_lines(spark, folder).write.option("compression", "gzip").text(path)
+    return raw_logs.well_formed(raw_logs.read_process_log(spark, path))
+
+
+def redteam_malformed_lines(spark, folder):
+    """Number and content of malformed lines of one file, its lines in the order of their text."""
+    path = new_path(spark, "redteam-lines")
+    ordered = adapters.redteam_lines(spark, folder).repartition(1).sortWithinPartitions("value")
+    ordered.write.text(path)
+    found = lines.malformed_lines(lines.read_redteam_lines(spark, path))
+    return found.select("line_number", "content")
+
+
+def staged_days_report(spark, folder):
+    """Rows per day out of the report that the staging job writes."""
+    paths = [new_path(spark, name) for name in ("auth-lines", "staged", "staging-report")]
+    adapters.auth_lines(spark, folder).write.option("compression", "gzip").text(paths[0])
+    jobs.stage_auth(spark, *paths, days=ALL_DAYS)
+    return tables.reported_days(tables.read_report(spark, paths[2]))
+
+
+def report_roundtrip(spark, folder):
+    path = new_path(spark, "report")
+    writers.write_report(staging.staging_report(auth(spark, folder), WEEK), path)
+    return tables.read_report(spark, path)
+
+
+def report_presence(spark, folder):
+    """Whether a report was found: one that was written and one that was not."""
+    written = report_roundtrip(spark, folder).agg((F.count("*") == 1).alias("found"))
+    absent = tables.read_report(spark, new_path(spark, "absent")) is not None
+    return written.select(F.lit("written").alias("report"), "found").union(
+        written.select(F.lit("absent"), F.lit(absent))
+    )
+
+
 def scan_counts(spark, folder):
     return staging.scan_counts(
         auth(spark, folder), process(spark, folder), attacks(spark, folder)
@@ -196,9 +242,13 @@ def retention(spark, folder):
 
 
 def _written_table(spark, folder):
-    path = new_path(spark, "auth-clean")
-    writers.write_clean_table(cleaned(spark, folder), path)
-    return path
+    """The clean table as files, written once for all queries of a session that read it."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _WRITTEN:
+        path = new_path(spark, "auth-clean")
+        writers.write_clean_table(cleaned(spark, folder), path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
 
 
 def validation_checks(spark, folder):
@@ -212,6 +262,20 @@ def validation_checks(spark, folder):
     ))
 
 
+def validation_faults(spark, folder):
+    """The checks over a written table with rows in wrong days."""
+    path = new_path(spark, "auth-faulty")
+    wrong = cleaned(spark, folder).withColumn("day_index", F.expr(adapters.WRONG_DAY).cast("int"))
+    writers.write_clean_table(wrong, path)
+    table = tables.read_clean_table(spark, path)
+    measured = quality.measure(
+        table, tables.list_day_files(spark, path),
+        spark.range(1).select(F.lit(True).alias("pass")),
+        staging.staging_counts(auth(spark, folder), ALL_DAYS), ALL_DAYS,
+    )
+    return quality.validation_checks(measured)
+
+
 # files
 
 def csv_roundtrip(spark, folder):
@@ -230,13 +294,77 @@ def clean_week(spark, folder):
 
 
 def day_replacement(spark, folder):
-    """Days 0-6 are rewritten with failures only; the other days stay."""
-    path = _written_table(spark, folder)
-    week = cleaned(spark, folder).filter(F.col("time") < WEEK * SECONDS_PER_DAY)
-    writers.replace_days(week.filter(F.col("is_failure") == 1), path)
+    """Days 0-6 are rewritten with failures only, day 3 with nothing; the other days stay."""
+    path = new_path(spark, "auth-replaced")
+    writers.write_clean_table(cleaned(spark, folder), path)
+    failures = cleaned(spark, folder).filter((F.col("is_failure") == 1) & (F.col("day_index") != 3))
+    writers.replace_days(failures, path, list(range(WEEK)))
     return staging.rows_per_day(tables.read_clean_table(spark, path))
 
 
+def kept_output(spark, folder):
+    """A second write to the same place is refused; what is there stays."""
+    path = new_path(spark, "auth-kept")
+    writers.write_clean_table(cleaned(spark, folder), path)
+    try:
+        writers.write_clean_table(cleaned(spark, folder).limit(1), path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+    return staging.rows_per_day(tables.read_clean_table(spark, path))
+
+
+def absent_days(spark, folder):
+    path = new_path(spark, "auth-gap")
+    writers.write_clean_table(cleaned(spark, folder).filter("day_index < 7 AND day_index <> 3"), path)
+    return tables.missing_days(tables.list_day_files(spark, path), 10)
+
+
+def day_files(spark, folder):
+    """Whether each day has files, and bytes in them; sizes differ from run to run."""
+    files = tables.list_day_files(spark, _written_table(spark, folder))
+    return files.groupBy("day_index").agg(
+        (F.count("*") > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")
+    )
+
+
+def _csv_again(frame, label):
+    """Rows of a result table written as CSV and read back with its schema."""
+    path = new_path(frame.sparkSession, label)
+    writers.write_table_csv(frame, path)
+    options = {**raw_logs.CSV_DIALECT, "header": True}
+    return frame.sparkSession.read.schema(frame.schema).options(**options).csv(path)
+
+
+def match_csv_roundtrip(spark, folder):
+    return _csv_again(redteam.raw_matches(auth(spark, folder), numbered_attacks(spark, folder)), "matches")
+
+
+def context_csv_roundtrip(spark, folder):
+    near = context.process_context(numbered_attacks(spark, folder), process(spark, folder))
+    return _csv_again(near, "context")
+
+
+def preservation_csv_roundtrip(spark, folder):
+    found = redteam.preservation(cleaned_keys(spark, folder), attacks(spark, folder), WEEK)
+    return _csv_again(found, "preserved")
+
+
+def _sample_again(log, columns):
+    path = new_path(log.sparkSession, "sample")
+    writers.write_sample_csv(log.select(*columns), path, 100, columns)
+    schema = log.select(*columns).schema
+    return log.sparkSession.read.schema(schema).options(**{**raw_logs.CSV_DIALECT, "header": True}).csv(path)
+
+
+def auth_sample_csv(spark, folder):
+    return _sample_again(auth(spark, folder), AUTH_COLUMNS)
+
+
+def process_sample_csv(spark, folder):
+    return _sample_again(process(spark, folder), PROCESS_SCHEMA.fieldNames())
+
+
 def size_per_day(spark, folder):
     files = tables.list_day_files(spark, _written_table(spark, folder))
     return tables.size_per_day(files)
@@ -279,14 +407,15 @@ def flagged_edges(spark, folder):
 
 
 def _edge_alerts(spark, folder):
-    return alerts.edge_alerts(flagged_edges(spark, folder))
+    return pinned(alerts.edge_alerts(flagged_edges(spark, folder)))
 
 
 def _evidence(spark, folder, found):
     named = process(spark, folder).withColumns(
         {name: F.upper(F.trim(F.col(name))) for name in ("user", "computer")}
     )
-    return context.process_evidence(found, named)
+    contacts = alerts.alert_contacts(cleaned_keys(spark, folder), found)
+    return context.process_evidence(contacts, named, alerts.ALERT)
 
 
 def triage(spark, folder):
@@ -337,7 +466,22 @@ def queries() -> dict[str, Query]:
         "top_computers": _on(process, profile.most_frequent, "computer", 10),
         "time_range": time_range,
         "profile_sample": profile_sample,
+        "profile_sample_cut": profile_sample_cut,
         "first_rows": first_rows,
+        "process_from_csv": process_from_csv,
+        "redteam_malformed_lines": redteam_malformed_lines,
+        "staged_days_report": staged_days_report,
+        "report_roundtrip": report_roundtrip,
+        "report_presence": report_presence,
+        "validation_faults": validation_faults,
+        "kept_output": kept_output,
+        "absent_days": absent_days,
+        "day_files": day_files,
+        "match_csv_roundtrip": match_csv_roundtrip,
+        "context_csv_roundtrip": context_csv_roundtrip,
+        "preservation_csv_roundtrip": preservation_csv_roundtrip,
+        "auth_sample_csv": auth_sample_csv,
+        "process_sample_csv": process_sample_csv,
         "staging_counts": _on(auth, staging.staging_counts, WEEK),
         "staging_report": _on(auth, staging.staging_report, WEEK),
         "staging_from_csv": staging_from_csv,

@@ -3,7 +3,7 @@
 Each reads paths, applies the operators and writes its tables and one JSON report.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.functions.clock import day_index
@@ -55,7 +55,7 @@ def inspect_redteam(
     spark: SparkSession, path: str, sample_path: str, report_path: str, overwrite: bool = False
 ) -> DataFrame:
     read = pinned(lines.read_redteam_lines(spark, path))
-    first = lines.valid_lines(read).orderBy("source_row").limit(REDTEAM_SAMPLE_ROWS)
+    first = lines.valid_lines(read).orderBy("file", "source_row").limit(REDTEAM_SAMPLE_ROWS)
     writers.write_sample_csv(
         first.select(*REDTEAM_KEY), sample_path, REDTEAM_SAMPLE_ROWS, REDTEAM_KEY, overwrite
     )
@@ -104,27 +104,30 @@ def stage_auth(
 ) -> DataFrame:
     """Raw log into one folder per day, rows unchanged, with a report."""
     log = raw_logs.read_auth_log(spark, auth_path)
-    writers.write_staged_days(staging.staged_rows(log, days), staged_path, overwrite)
-    # the report needs the malformed rows too, hence a second, aggregating pass
     bad = raw_logs.is_malformed(log)
-    day = F.when(~bad & (F.col("time") < days * SECONDS_PER_DAY), day_index(F.col("time")))
-    groups = pinned(
-        log.groupBy(day.alias("day_index"), bad.alias("malformed")).agg(
-            F.count("*").alias("rows"), F.min("time").alias("low"), F.max("time").alias("high")
-        )
+    inside = ~bad & (F.col("time") < days * SECONDS_PER_DAY)
+    day = F.when(inside, day_index(F.col("time")))
+    seen = Observation("staged rows")  # filled by the write: the log is parsed once
+    counted = log.observe(
+        seen,
+        F.count_if(inside).alias("total_valid_rows"), F.count_if(bad).alias("malformed_rows"),
+        F.min(F.when(inside, F.col("time"))).alias("minimum_timestamp"),
+        F.max(F.when(inside, F.col("time"))).alias("maximum_timestamp"),
+        *[F.count_if(day == number).alias(f"day_{number}") for number in range(days)],
     )
-    inside = ~F.col("malformed") & F.col("day_index").isNotNull()
-    totals = groups.agg(
+    writers.write_staged_days(staging.staged_rows(counted, days), staged_path, overwrite)
+    found = seen.get
+    totals = spark.range(1).select(
         F.lit(days).alias("number_of_days"),
         F.lit(days * SECONDS_PER_DAY).alias("cutoff_seconds"),
-        F.coalesce(F.sum(F.when(inside, F.col("rows"))), F.lit(0)).alias("total_valid_rows"),
-        F.coalesce(F.sum(F.when(F.col("malformed"), F.col("rows"))), F.lit(0))
-        .alias("malformed_rows"),
-        F.min(F.when(inside, F.col("low"))).alias("minimum_timestamp"),
-        F.max(F.when(inside, F.col("high"))).alias("maximum_timestamp"),
+        *[F.lit(found[name]).cast("long").alias(name) for name in (
+            "total_valid_rows", "malformed_rows", "minimum_timestamp", "maximum_timestamp")],
+    )
+    day_rows = spark.createDataFrame(
+        [(number, found[f"day_{number}"]) for number in range(days)], "day_index int, rows long"
     )
     report = reports.staging_summary(
-        totals, groups.filter(inside).select("day_index", "rows"), days, auth_path, staged_path
+        totals, day_rows, days, auth_path, staged_path
     )
     writers.write_report(report, report_path, overwrite)
     return report
@@ -137,30 +140,46 @@ def clean_staged_days(
     """All staged days in one job into the clean table; fails early when a day is absent."""
     tables.require_days(tables.list_day_files(spark, staged_path, "*.csv.gz"), days)
     staged = raw_logs.well_formed(raw_logs.read_auth_log(spark, staged_path))
-    chosen = staged.filter(F.col("day_index").between(0, days - 1)).drop("day_index")
+    wanted = F.coalesce(F.col("day_index").between(0, days - 1), F.lit(False))
+    seen = Observation("staged rows")
+    chosen = staged.observe(seen, F.count_if(~wanted).alias("outside")).filter(wanted).drop("day_index")
     writers.write_clean_table(clean.clean_auth(chosen), table_path, overwrite)
     sizes = tables.size_per_day(tables.list_day_files(spark, table_path))
-    report = reports.preprocessing_summary(sizes, days, staged_path, table_path)
+    report = reports.preprocessing_summary(
+        sizes, days, staged_path, table_path, seen.get["outside"]
+    )
     writers.write_report(report, report_path, overwrite)
     return report
 
 
+def replace_cleaned_days(
+    spark: SparkSession, staged_path: str, table_path: str, chosen: list[int]
+) -> None:
+    """Cleans the chosen staged days again and puts them in place of what the table has."""
+    staged = raw_logs.well_formed(raw_logs.read_auth_log(spark, staged_path))
+    rows = staged.filter(F.col("day_index").isin(chosen)).drop("day_index")
+    writers.replace_days(clean.clean_auth(rows), table_path, chosen)
+
+
 def validate_table(
     spark: SparkSession, table_path: str, redteam_path: str, staging_report: str | None,
     matches_path: str, report_path: str, days: int = DAYS, overwrite: bool = False,
 ) -> DataFrame:
-    """The nine checks over the clean table, the attack table as CSV, and the report."""
+    """The nine checks over the clean table, the attack table as CSV, and the report.
+
+    The whole table is checked: rows without a day or of days outside the window fail it.
+    """
     files = pinned(tables.list_day_files(spark, table_path))
     tables.require_days(files, days)
-    table = tables.read_clean_table(spark, table_path, days)
+    table = tables.read_clean_table(spark, table_path)
     staged = tables.read_report(spark, staging_report) if staging_report else None
 
     found = pinned(redteam.preservation(table, _redteam_events(spark, redteam_path), days))
-    writers.write_table_csv(found.orderBy("event_id"), matches_path, overwrite)
+    writers.write_table_csv(found.drop("file").orderBy("event_id"), matches_path, overwrite)
 
     summary = redteam.preservation_summary(found)
     measured = pinned(quality.measure(table, files, summary, staged, days))
-    clean_days = pinned(staging.rows_per_day(table))
+    clean_days = pinned(staging.rows_per_day(table.filter("day_index IS NOT NULL")))
     staged_days = tables.reported_days(staged) if staged is not None else clean_days.limit(0)
     total = staged if staged is not None else spark.range(1).select(
         F.lit(None).cast("bigint").alias("total_valid_rows")

@@ -1,12 +1,33 @@
 """The registered queries as DuckDB SQL, written from the definitions."""
 
 from authweave.plans.adapters import (
-    AUTH_LINES, AUTH_LOG, DUCKDB_SECONDS, PROCESS_LOG, REDTEAM_LINES, REDTEAM_LOG,
-)
-from authweave.schemas import (
-    AUTH_SCHEMA, CLEAN_SCHEMA, CRITICAL_COLUMNS, FLAG_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY,
+    AUTH_LINES, AUTH_LOG, DUCKDB_SECONDS, PROCESS_LINES, PROCESS_LOG, REDTEAM_LINES, REDTEAM_LOG,
+    WRONG_DAY,
 )
 
+# Columns and types as the definitions state them, written out here once more so that the
+# SQL does not share lists with the code it checks.
+AUTH_TYPES = {
+    "time": "bigint", "src_user": "string", "dst_user": "string", "src_computer": "string",
+    "dst_computer": "string", "auth_type": "string", "logon_type": "string",
+    "auth_orientation": "string", "success": "string",
+}
+PROCESS_NAMES = ["time", "user", "computer", "process", "event_type"]
+REDTEAM_NAMES = ["time", "user", "src_computer", "dst_computer"]
+FLAG_NAMES = [
+    "is_failure", "is_logon", "is_logoff", "src_is_machine_account", "dst_is_machine_account",
+    "same_user", "same_computer", "cross_host",
+]
+CRITICAL_NAMES = ["time", "day_index", "second_of_day", "hour", "src_user", "src_computer", "dst_computer"]
+CLEAN_TYPES = {
+    "time": "bigint", "day_index": "int", "second_of_day": "int", "hour": "int",
+    "src_user": "string", "src_user_account": "string", "src_user_domain": "string",
+    "dst_user": "string", "dst_user_account": "string", "dst_user_domain": "string",
+    "src_computer": "string", "dst_computer": "string", "auth_type": "string",
+    "logon_type": "string", "auth_orientation": "string", "success": "string",
+    "success_flag": "int", **{name: "int" for name in FLAG_NAMES},
+}
+
 WEEK_SECONDS = 7 * 86_400
 ALL_SECONDS = 30 * 86_400
 
@@ -14,6 +35,7 @@ ALL_SECONDS = 30 * 86_400
 def _duck(text):
     for slot, value in {
         "<SEC>": DUCKDB_SECONDS, "<EVENTS>": "events", "<AUTH>": "auth_raw", "<REDTEAM>": "red_raw",
+        "<PROCESS>": "proc_raw",
     }.items():
         text = text.replace(slot, value)
     return text.strip()
@@ -26,6 +48,8 @@ STEPS = {
     "red_raw": (["auth_raw"], _duck(REDTEAM_LOG)),
     "auth_line": (["auth_raw"], _duck(AUTH_LINES)),
     "red_line": (["red_raw"], _duck(REDTEAM_LINES)),
+    "proc_line": (["proc_raw"], _duck(PROCESS_LINES)),
+    "faulty_clean": (["auth_clean"], f"SELECT * REPLACE ({WRONG_DAY.strip()} AS day_index) FROM auth_clean"),
     "red": (["red_raw"], """
 SELECT *, row_number() OVER (ORDER BY time, user, src_computer, dst_computer) AS redteam_id
 FROM red_raw"""),
@@ -116,10 +140,10 @@ FROM auth_clean GROUP BY 1, 2"""),
 SELECT node_type, node, count(*) FILTER (WHERE source) AS as_source,
   count(*) FILTER (WHERE NOT source) AS as_destination
 FROM (SELECT 'user' AS node_type, src_user AS node, true AS source FROM auth_clean
-      UNION ALL SELECT 'user', dst_user, false FROM auth_clean
+      UNION ALL SELECT 'user', dst_user, false FROM auth_clean WHERE dst_user <> 'UNKNOWN'
       UNION ALL SELECT 'host', src_computer, true FROM auth_clean
       UNION ALL SELECT 'host', dst_computer, false FROM auth_clean) e
-WHERE node <> 'UNKNOWN' GROUP BY 1, 2"""),
+GROUP BY 1, 2"""),
     "score": (["edge"], """
 SELECT e.*, round(1 - e.auth_count / CAST(t.total AS DOUBLE), 6) AS score
 FROM edge e JOIN (SELECT src_user, sum(auth_count) AS total FROM edge GROUP BY 1) t USING (src_user)"""),
@@ -130,16 +154,18 @@ WHERE position >= ceil(CAST(0.95 AS DOUBLE) * total)"""),
     "flagged": (["score", "threshold"], """
 SELECT s.*, CAST(s.score >= t.threshold AS INT) AS flagged FROM score s, threshold t"""),
     "alert": (["flagged"], """
-SELECT row_number() OVER (ORDER BY score DESC, src_user, dst_computer) AS alert_id,
-  first_time AS time, src_user AS user, dst_computer, score, auth_count, failed_count, cross_host_count
+SELECT first_time AS time, src_user AS user, dst_computer, score, auth_count, failed_count, cross_host_count
 FROM flagged WHERE flagged = 1"""),
-    "evidence": (["alert", "proc_raw"], """
-SELECT a.alert_id, count(*) AS process_events,
-  count(*) FILTER (WHERE upper(trim(p.user)) = a.user) AS same_user_process_events,
-  count(DISTINCT p.process) AS distinct_processes,
-  min(p.time) AS first_process_time, max(p.time) AS last_process_time
-FROM alert a JOIN proc_raw p ON upper(trim(p.computer)) = a.dst_computer AND abs(p.time - a.time) <= 300
-GROUP BY 1"""),
+    "evidence": (["alert", "auth_clean", "proc_raw"], """
+SELECT user, dst_computer, count(*) AS process_events,
+  count(*) FILTER (WHERE process_user = user) AS same_user_process_events,
+  count(DISTINCT process) AS distinct_processes,
+  min(process_time) AS first_process_time, max(process_time) AS last_process_time
+FROM (SELECT DISTINCT a.user, a.dst_computer, p.id, p.process, upper(trim(p.user)) AS process_user, p.time AS process_time
+      FROM alert a JOIN auth_clean c ON c.src_user = a.user AND c.dst_computer = a.dst_computer
+      JOIN (SELECT *, row_number() OVER () AS id FROM proc_raw) p
+        ON upper(trim(p.computer)) IN (c.src_computer, c.dst_computer) AND abs(p.time - c.time) <= 300) near
+GROUP BY 1, 2"""),
     "triaged": (["alert", "evidence"], """
 SELECT row_number() OVER (ORDER BY risk DESC, score DESC, user, dst_computer) AS priority,
   CASE risk WHEN 4 THEN 'critical' WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS severity, *
@@ -149,7 +175,7 @@ FROM (SELECT a.*, coalesce(e.process_events, 0) AS process_events,
         CAST(failed_count > 0 AS INT) + CAST(cross_host_count > 0 AS INT)
           + CAST(coalesce(e.process_events, 0) > 0 AS INT)
           + CAST(coalesce(e.same_user_process_events, 0) > 0 AS INT) AS risk
-      FROM alert a LEFT JOIN evidence e USING (alert_id)) r"""),
+      FROM alert a LEFT JOIN evidence e USING (user, dst_computer)) r"""),
 }
 
 
@@ -196,12 +222,12 @@ def _staging(step, seconds, bad="time IS NULL", time="time"):
   {seconds // 86_400} AS number_of_days, CAST({seconds} AS BIGINT) AS cutoff_seconds FROM {step}"""
 
 
-def _integrity(days):
+def _integrity(days, table="auth_clean"):
     measures = ["count(*) AS processed_rows"]
     for name in ("time", "day_index", "second_of_day", "hour"):
         measures += [f"min({name}) AS minimum_{name}", f"max({name}) AS maximum_{name}"]
-    faults = {f"null_{n}": f"{n} IS NULL" for n in CRITICAL_COLUMNS}
-    faults |= {f"invalid_{n}": f"{n} IS NULL OR {n} NOT IN (0, 1)" for n in FLAG_COLUMNS}
+    faults = {f"null_{n}": f"{n} IS NULL" for n in CRITICAL_NAMES}
+    faults |= {f"invalid_{n}": f"{n} IS NULL OR {n} NOT IN (0, 1)" for n in FLAG_NAMES}
     faults |= {
         "invalid_success_flag": "success_flag IS NULL OR success_flag NOT IN (-1, 0, 1)",
         "invalid_day_index": f"day_index < 0 OR day_index >= {days}",
@@ -211,15 +237,16 @@ def _integrity(days):
         "failure_flag_mismatch_1": "success_flag = 0 AND is_failure <> 1",
         "failure_flag_mismatch_2": "success_flag <> 0 AND is_failure <> 0",
         "simultaneous_logon_logoff": "is_logon = 1 AND is_logoff = 1",
+        "day_time_mismatch": "day_index <> floor(time / 86400.0)",
     }
     measures += [f"count(*) FILTER (WHERE {rule}) AS {n}" for n, rule in faults.items()]
-    return "SELECT " + ", ".join(measures) + " FROM auth_clean"
+    return "SELECT " + ", ".join(measures) + f" FROM {table}"
 
 
 def _schema_rows():
     duck = {"bigint": "BIGINT", "int": "INT", "string": "VARCHAR"}
-    expected = {f.name: f.dataType.simpleString() for f in CLEAN_SCHEMA}
-    actual = {"event_id": "bigint", **{f.name: f.dataType.simpleString() for f in AUTH_SCHEMA}}
+    expected = CLEAN_TYPES
+    actual = {"event_id": "bigint", **AUTH_TYPES}
 
     def row(name):
         e, a = expected.get(name), actual.get(name)
@@ -236,42 +263,49 @@ def _all_zero(names):
     return " AND ".join(f"i.{n} = 0" for n in names)
 
 
-def _checks():
-    nulls = [f"null_{n}" for n in CRITICAL_COLUMNS]
-    binary = [f"invalid_{n}" for n in [*FLAG_COLUMNS, "success_flag"]]
+def _checks(table="auth_clean", preserved=None):
+    nulls = [f"null_{n}" for n in CRITICAL_NAMES]
+    binary = [f"invalid_{n}" for n in [*FLAG_NAMES, "success_flag"]]
     ranges = ["invalid_day_index", "invalid_second_of_day", "invalid_hour"]
     logic = ["invalid_host_relationship", "failure_flag_mismatch_1",
-             "failure_flag_mismatch_2", "simultaneous_logon_logoff"]
+             "failure_flag_mismatch_2", "simultaneous_logon_logoff", "day_time_mismatch"]
     rules = {
-        "physical_output": "(SELECT count(DISTINCT day_index) FROM auth_clean WHERE day_index BETWEEN 0 AND 29) = 30",
+        "physical_output": f"(SELECT count(DISTINCT day_index) FROM {table} WHERE day_index BETWEEN 0 AND 29) = 30",
         "schema": "true",
-        "day_coverage": "(SELECT list(DISTINCT day_index ORDER BY day_index) FROM auth_clean) = range(0, 30)",
+        "day_coverage": f"(SELECT list(DISTINCT day_index ORDER BY day_index) FILTER (WHERE day_index IS NOT NULL) FROM {table}) = range(0, 30)",
         "row_integrity": "i.processed_rows > 0 AND i.processed_rows <= "
                          f"(SELECT count(*) FROM auth_raw WHERE time < {ALL_SECONDS})",
         "critical_nulls": _all_zero(nulls),
         "binary_fields": _all_zero(binary),
         "temporal_ranges": _all_zero(ranges),
         "logical_consistency": _all_zero(logic),
-        "redteam_preservation": "(SELECT count(*) > 0 AND min(preserved) = 1 FROM preserved_all "
+        "redteam_preservation": preserved or "(SELECT count(*) > 0 AND min(preserved) = 1 FROM preserved_all "
                                 f"WHERE time < {ALL_SECONDS})",
     }
     wide = ", ".join(f"{rule} AS {name}" for name, rule in rules.items())
     rows = [f"SELECT '{n}' AS \"check\", {n} AS passed FROM w" for n in rules]
     rows.append("SELECT 'overall', " + " AND ".join(rules) + " FROM w")
-    return _sql("preserved_all auth_clean", f"""
-SELECT * FROM (WITH i AS ({_integrity(30)}), w AS (SELECT {wide} FROM i)
+    return _sql(f"preserved_all {table}", f"""
+SELECT * FROM (WITH i AS ({_integrity(30, table)}), w AS (SELECT {wide} FROM i)
 {' UNION ALL '.join(rows)}) checks""")
 
 
 TRIAGE_COLUMNS = [
-    "priority", "severity", "risk", "alert_id", "time", "user", "dst_computer", "score",
+    "priority", "severity", "risk", "time", "user", "dst_computer", "score",
     "auth_count", "failed_count", "cross_host_count", "process_events",
     "same_user_process_events", "distinct_processes", "first_process_time", "last_process_time",
 ]
-AUTH_COLUMNS = ", ".join(AUTH_SCHEMA.fieldNames())
+AUTH_COLUMNS = ", ".join(AUTH_TYPES)
 PAIRS_10 = "SELECT count(*) FROM context WHERE redteam_id <= 10"
 
 
+RAW_MATCH = """
+SELECT r.redteam_id, a.time AS redteam_time, r.user AS redteam_user, a.src_user, a.dst_user,
+  a.src_computer, a.dst_computer, a.auth_type, a.logon_type, a.auth_orientation, a.success
+FROM red r JOIN auth_raw a ON a.time = r.time AND a.src_user = r.user
+  AND a.src_computer = r.src_computer AND a.dst_computer = r.dst_computer"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "daily_overview": _sql("auth_clean", """
@@ -304,13 +338,13 @@ SELECT event_id, src_user_account, dst_user_account,
 SELECT event_id, CAST(src_user = dst_user AS INT) AS same_user,
   CAST(src_computer = dst_computer AS INT) AS same_computer,
   CAST(src_computer <> dst_computer AS INT) AS cross_host FROM kept"""),
-        "auth_missing": _missing("auth_raw", AUTH_SCHEMA.fieldNames()),
-        "proc_missing": _missing("proc_raw", PROCESS_SCHEMA.fieldNames()),
-        "redteam_missing": _missing("red_raw", REDTEAM_KEY),
+        "auth_missing": _missing("auth_raw", AUTH_TYPES),
+        "proc_missing": _missing("proc_raw", PROCESS_NAMES),
+        "redteam_missing": _missing("red_raw", REDTEAM_NAMES),
         "auth_entities": _entities(
             "auth_raw", ["src_user", "dst_user", "src_computer", "dst_computer"], True),
         "proc_entities": _entities("proc_raw", ["user", "computer", "process"], True),
-        "redteam_entities": _entities("red_raw", REDTEAM_KEY[1:], False),
+        "redteam_entities": _entities("red_raw", REDTEAM_NAMES[1:], False),
         "dist_success": _frequency("auth_raw", "success"),
         "dist_auth_type": _frequency("auth_raw", "auth_type"),
         "dist_logon_type": _frequency("auth_raw", "logon_type"),
@@ -326,6 +360,43 @@ UNION ALL SELECT 'redteam', min(time), max(time) FROM red_raw"""),
 SELECT {AUTH_COLUMNS} FROM auth_raw ORDER BY time NULLS LAST, src_user NULLS LAST, dst_user NULLS LAST,
   src_computer NULLS LAST, dst_computer NULLS LAST, auth_type NULLS LAST, logon_type NULLS LAST,
   auth_orientation NULLS LAST, success NULLS LAST LIMIT 50000"""),
+        "profile_sample_cut": _sql("auth_raw", f"""
+SELECT {AUTH_COLUMNS} FROM auth_raw ORDER BY time NULLS LAST, src_user NULLS LAST, dst_user NULLS LAST,
+  src_computer NULLS LAST, dst_computer NULLS LAST, auth_type NULLS LAST, logon_type NULLS LAST,
+  auth_orientation NULLS LAST, success NULLS LAST LIMIT 500"""),
+        "process_from_csv": _sql("proc_line", """
+SELECT CAST(f[1] AS BIGINT) AS time, NULLIF(f[2], '?') AS user, NULLIF(f[3], '?') AS computer,
+  NULLIF(f[4], '?') AS process, NULLIF(f[5], '?') AS event_type
+FROM (SELECT string_split(value, ',') AS f FROM proc_line) s
+WHERE len(f) = 5 AND TRY_CAST(f[1] AS BIGINT) IS NOT NULL"""),
+        "redteam_malformed_lines": _sql("red_line", """
+SELECT line_number, value AS content
+FROM (SELECT value, row_number() OVER (ORDER BY value) AS line_number FROM red_line) n
+WHERE len(string_split(value, ',')) <> 4"""),
+        "staged_days_report": _sql("auth_line", f"""
+SELECT CAST(d AS INT) AS day_index, count(l.time) AS rows
+FROM range(0, 30) r(d) LEFT JOIN (
+  SELECT TRY_CAST(split_part(value, ',', 1) AS BIGINT) AS time FROM auth_line
+  WHERE len(string_split(value, ',')) = 9) l ON floor(l.time / 86400.0) = d AND l.time < {ALL_SECONDS}
+GROUP BY d"""),
+        "report_roundtrip": _sql("auth_raw", "SELECT * REPLACE (CAST(number_of_days AS BIGINT) AS number_of_days) FROM ("
+                                 + _staging("auth_raw", WEEK_SECONDS) + ") r"),
+        "report_presence": "SELECT 'written' AS report, true AS found UNION ALL SELECT 'absent', false",
+        "validation_faults": _checks("faulty_clean", "true"),
+        "kept_output": _sql("auth_clean", "SELECT day_index, count(*) AS rows FROM auth_clean GROUP BY 1"),
+        "absent_days": _sql("auth_clean", """
+SELECT CAST(d AS INT) AS day_index FROM range(0, 10) r(d)
+WHERE d NOT IN (SELECT day_index FROM auth_clean WHERE day_index < 7 AND day_index <> 3)"""),
+        "day_files": _sql("auth_clean", """
+SELECT DISTINCT day_index, true AS has_files, true AS has_bytes FROM auth_clean"""),
+        "match_csv_roundtrip": _sql("red auth_raw", RAW_MATCH),
+        "context_csv_roundtrip": _all("context"),
+        "preservation_csv_roundtrip": _sql(
+            "preserved_all", f"SELECT * FROM preserved_all WHERE time < {WEEK_SECONDS}"),
+        "auth_sample_csv": _sql("auth_raw", f"SELECT {AUTH_COLUMNS} FROM auth_raw ORDER BY "
+                                + ", ".join(f"{n} NULLS FIRST" for n in AUTH_TYPES) + " LIMIT 100"),
+        "process_sample_csv": _sql("proc_raw", "SELECT * FROM proc_raw ORDER BY "
+                                   + ", ".join(f"{n} NULLS FIRST" for n in PROCESS_NAMES) + " LIMIT 100"),
         "first_rows": _sql("proc_raw", """
 SELECT * FROM proc_raw ORDER BY time, user, computer, process, event_type LIMIT 10"""),
         "staging_counts": _sql("auth_raw", f"""
@@ -349,12 +420,7 @@ SELECT (SELECT count(*) FILTER (WHERE time <= m) + CAST(max(time) > m AS INT)
   (SELECT count(*) FILTER (WHERE time <= m) + CAST(max(time) > m AS INT)
         FROM proc_raw, (SELECT max(time) + 300 AS m FROM red_raw) l WHERE time IS NOT NULL GROUP BY m) AS process_rows_scanned"""),
         "first_redteam": _sql("red10", "SELECT redteam_id, time, user, src_computer, dst_computer FROM red10"),
-        "raw_match": _sql("red auth_raw", """
-SELECT r.redteam_id, a.time AS redteam_time, r.user AS redteam_user, a.src_user, a.dst_user,
-  a.src_computer, a.dst_computer, a.auth_type, a.logon_type, a.auth_orientation, a.success
-FROM (SELECT time, user, src_computer, dst_computer, max(redteam_id) AS redteam_id FROM red GROUP BY ALL) r
-JOIN auth_raw a ON a.time = r.time AND a.src_user = r.user
-  AND a.src_computer = r.src_computer AND a.dst_computer = r.dst_computer"""),
+        "raw_match": _sql("red auth_raw", RAW_MATCH),
         "match_count": _all("matched"),
         "match_rate": _sql("red matched", """
 SELECT count(*) AS redteam_events_tested, count(m.n) AS redteam_events_with_exact_auth_match,
@@ -409,7 +475,8 @@ FROM auth_raw WHERE time < {ALL_SECONDS}"""),
         "parquet_roundtrip": _all("auth_clean"),
         "clean_week": _sql("auth_clean", "SELECT * FROM auth_clean WHERE day_index BETWEEN 0 AND 6"),
         "day_replacement": _sql("auth_clean", """
-SELECT day_index, count(*) AS rows FROM auth_clean WHERE day_index >= 7 OR is_failure = 1 GROUP BY 1"""),
+SELECT day_index, count(*) AS rows FROM auth_clean
+WHERE day_index >= 7 OR is_failure = 1 AND day_index <> 3 GROUP BY 1"""),
         "redteam_sample": _sql("red", """
 SELECT time, user, src_computer, dst_computer FROM red WHERE redteam_id <= 20"""),
         "user_activity": _all("activity"),
@@ -441,7 +508,7 @@ FROM (SELECT *, CAST(total AS DOUBLE) / nullif(n, 0) AS mean,
         sqrt(CAST(n * squares - total * total AS DOUBLE) / nullif(n * (n - 1), 0)) AS sd
       FROM (SELECT src_user, day_index, auth_count, count(*) OVER w AS n,
               CAST(sum(auth_count) OVER w AS BIGINT) AS total,
-              CAST(sum(auth_count * auth_count) OVER w AS BIGINT) AS squares
+              CAST(sum(auth_count * auth_count) OVER w AS HUGEINT) AS squares
             FROM activity WINDOW w AS (PARTITION BY src_user ORDER BY day_index
               RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING)) s) d"""),
         "redteam_labels": _sql("red_norm auth_clean", """
@@ -483,8 +550,9 @@ SELECT tp AS true_positives, fp AS false_positives, fn AS false_negatives, tn AS
   round(coalesce(fp / CAST(nullif(fp + tn, 0) AS DOUBLE), 0), 6) AS false_positive_rate
 FROM (SELECT count(*) FILTER (WHERE hit AND attack) AS tp, count(*) FILTER (WHERE hit AND NOT attack) AS fp,
         count(*) FILTER (WHERE NOT hit AND attack) AS fn, count(*) FILTER (WHERE NOT hit AND NOT attack) AS tn
-      FROM (SELECT flagged = 1 AS hit, (src_user, dst_computer) IN
-              (SELECT (user, dst_computer) FROM red_norm) AS attack FROM flagged) j) c"""),
+      FROM (SELECT coalesce(f.flagged = 1, false) AS hit, a.user IS NOT NULL AS attack
+            FROM (SELECT DISTINCT user, dst_computer FROM red_norm) a
+            FULL JOIN flagged f ON f.src_user = a.user AND f.dst_computer = a.dst_computer) j) c"""),
         "process_evidence": _all("evidence"),
         "triage": _all("triaged"),
         "alert_documents": _sql("triaged", f"""

@@ -34,6 +34,7 @@ _CLEAN_TEXT = [
     "src_computer", "dst_computer",
     "auth_type", "logon_type", "auth_orientation", "success",
 ]
+# The yes-or-no columns.
 FLAG_COLUMNS = [
     "is_failure", "is_logon", "is_logoff",
     "src_is_machine_account", "dst_is_machine_account",
@@ -47,6 +48,7 @@ CLEAN_SCHEMA = StructType(
 )
 CLEAN_COLUMNS = CLEAN_SCHEMA.fieldNames()
 
+# Columns that must not be null.
 CRITICAL_COLUMNS = [
     "time", "day_index", "second_of_day", "hour",
     "src_user", "src_computer", "dst_computer",

@@ -1,10 +1,11 @@
 """Writers. Existing output is kept unless `overwrite` is asked for."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.functions.clock import day_index, floor_div
 from authweave.schemas import MISSING_MARK, SECONDS_PER_HOUR
+from authweave.sources.tables import list_day_files
 
 
 def _mode(overwrite: bool) -> str:
@@ -55,11 +56,43 @@ def write_clean_table(
     )
 
 
-def replace_days(clean: DataFrame, path: str) -> None:
-    """Rewrite only the days that occur in `clean`; other days stay."""
+def replace_days(
+    clean: DataFrame, path: str, days: list[int], rows_per_file: int = 20_000_000
+) -> None:
+    """Rewrite the listed days with their rows in `clean`; other days stay.
+
+    Rows of other days are left out; a listed day without rows loses its folder.
+    """
+    old = _paths_by_day(clean.sparkSession, path, days)
+    chosen = clean.filter(F.col("day_index").isin(days))
+    (
+        _per_day(chosen).write.mode("overwrite").partitionBy("day_index")
+        .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(path)
+    )
+    new = _paths_by_day(clean.sparkSession, path, days)
+    for day in days:
+        if day in old and new.get(day) == old[day]:  # nothing was written there
+            _remove(clean.sparkSession, f"{path}/day_index={day}")
+
+
+def _paths_by_day(spark: SparkSession, path: str, days: list[int]) -> dict[int, set[str]]:
+    files = list_day_files(spark, path).filter(F.col("day_index").isin(days))
+    found = files.groupBy("day_index").agg(F.collect_set("path").alias("paths")).collect()
+    return {row.day_index: set(row.paths) for row in found}
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def append_days(clean: DataFrame, path: str, rows_per_file: int = 20_000_000) -> None:
+    """Adds rows to their days, in the layout of `write_clean_table`."""
     (
-        _per_day(clean).write.mode("overwrite").partitionBy("day_index")
-        .option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+        _per_day(clean).write.mode("append").partitionBy("day_index")
+        .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )
 

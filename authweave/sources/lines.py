@@ -67,4 +67,6 @@ def malformed_lines(lines: DataFrame) -> DataFrame:
 
 def valid_lines(lines: DataFrame) -> DataFrame:
     """Events in the log: right field count; the time may still be null."""
-    return lines.filter(~F.col("wrong_fields")).select("source_row", "time", *REDTEAM_TEXT_COLUMNS)
+    return lines.filter(~F.col("wrong_fields")).select(
+        "file", "source_row", "time", *REDTEAM_TEXT_COLUMNS
+    )

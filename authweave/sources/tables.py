@@ -33,7 +33,7 @@ def expected_days(spark: SparkSession, days: int) -> DataFrame:
 def missing_days(files: DataFrame, days: int) -> DataFrame:
     """Expected days that have no file."""
     spine = expected_days(files.sparkSession, days)
-    return spine.join(files.select("day_index"), "day_index", "left_anti")
+    return spine.join(files.select("day_index").distinct(), "day_index", "left_anti")
 
 
 def require_days(files: DataFrame, days: int) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from authweave.operators.clean import clean_auth
 from authweave.schemas import AUTH_SCHEMA
+from authweave.sinks.writers import append_days
 from authweave.sources.raw_logs import CORRUPT, CSV_DIALECT, well_formed
 
 
@@ -26,12 +27,15 @@ def stream_auth_log(spark: SparkSession, folder: str) -> DataFrame:
 def clean_new_files(
     spark: SparkSession, folder: str, table: str, checkpoint: str
 ) -> StreamingQuery:
-    """Clean every file not seen before and append it, then stop."""
+    """Clean every file not seen before and append it, then stop.
+
+    Each batch goes through the batch writer, so the table is a plain clean table: files of
+    normal size, and days that can be replaced. A batch that fails after its rows were
+    written is appended again; `writers.replace_days` puts its days right.
+    """
     return (
         clean_auth(stream_auth_log(spark, folder))
-        .writeStream.format("parquet")
-        .partitionBy("day_index")
-        .option("path", table)
+        .writeStream.foreachBatch(lambda batch, _: append_days(batch, table))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -11,7 +11,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="authweave-")
     if context.getCheckpointDir() is None:

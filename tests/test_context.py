@@ -27,7 +27,7 @@ def check(spark, events, process):
     assert sorted(map(tuple, found), key=str) == expected
     summary = context.context_summary(left, right).first()
     assert tuple(summary) == (len(expected), sum(1 for p in expected if p[10]), 300)
-    evidence = context.process_evidence(left.withColumnRenamed("redteam_id", "alert_id"), right)
+    evidence = context.process_evidence(left.withColumnRenamed("redteam_id", "alert_id"), right, ["alert_id"])
     per_alert = {
         row.alert_id: (row.process_events, row.same_user_process_events, row.distinct_processes,
                        row.first_process_time, row.last_process_time)
@@ -67,6 +67,23 @@ def test_context_without_broadcast(spark, no_broadcast, events, process):
     check(spark, events, process)
 
 
+def test_evidence_of_many_contacts(spark):
+    """A row near several contacts of an alert counts once; both hosts of every contact count."""
+    random.seed(6)
+    contacts = [(f"U{k % 2}", random.randrange(4_000), f"C{random.randrange(4)}", f"C{k % 3}") for k in range(80)]
+    _, process = hot()
+    left = spark.createDataFrame(contacts, "user string, time long, src_computer string, dst_computer string")
+    found = context.process_evidence(left, spark.createDataFrame(process, PROCESS_SCHEMA), ["user", "dst_computer"])
+    got = {(r.user, r.dst_computer): (r.process_events, r.same_user_process_events) for r in found.collect()}
+    want = {}
+    for key in {(u, d) for u, _, _, d in contacts}:
+        near = [p for p in process if any(
+            abs(p[0] - t) <= 300 and p[2] in (s, d) for u, t, s, d in contacts if (u, d) == key)]
+        if near:
+            want[key] = (len(near), sum(p[1] == key[0] for p in near))
+    assert got == want
+
+
 def test_no_events(spark):
     process = spark.createDataFrame(EDGES[1], PROCESS_SCHEMA)
     none = spark.createDataFrame([], EVENTS)

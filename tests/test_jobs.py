@@ -136,11 +136,51 @@ def test_replacing_a_day_keeps_the_others(spark, folder, table):
     copy = str(folder / "copy")
     rows = tables.read_clean_table(spark, table)
     writers.write_clean_table(rows, copy)
-    writers.replace_days(rows.filter("day_index = 1").limit(1), copy)
+    writers.replace_days(rows.filter("day_index = 1").limit(1), copy, [1])
     counts = {r.day_index: r["count"] for r in tables.read_clean_table(spark, copy).groupBy("day_index").count().collect()}
     assert counts == {0: rows.filter("day_index = 0").count(), 1: 1}
 
 
+def days_of(spark, path):
+    return {r.day_index: r["count"] for r in tables.read_clean_table(spark, path).groupBy("day_index").count().collect()}
+
+
+def test_a_day_that_becomes_empty_goes(spark, folder, table):
+    copy = str(folder / "emptied")
+    rows = tables.read_clean_table(spark, table)
+    writers.write_clean_table(rows, copy)
+    before = days_of(spark, copy)
+    writers.replace_days(rows.filter("day_index = 1 AND time < 0"), copy, [1])
+    assert days_of(spark, copy) == {0: before[0]}
+
+
+def test_replacing_days_as_a_job(spark, folder, staged, table):
+    copy = str(folder / "again")
+    rows = tables.read_clean_table(spark, table)
+    writers.write_clean_table(rows.filter("day_index = 0 OR time % 3 = 0"), copy)
+    jobs.replace_cleaned_days(spark, staged, copy, [1])
+    assert days_of(spark, copy) == days_of(spark, table)
+
+
+def test_misplaced_days_fail_the_validation(spark, folder, tmp_path):
+    extra = [f"{t},U1@DOM1,U1@DOM1,C1,C2,NTLM,Network,LogOn,Success" for t in (-5, 9 * DAY)]
+    with gzip.open(tmp_path / "auth.csv.gz", "wt") as file:
+        file.write("\n".join(AUTH + extra) + "\n")
+    paths = {name: str(tmp_path / name) for name in ("staged", "staging", "clean", "cleaning", "found", "verdict", "bad", "verdict2")}
+    jobs.stage_auth(spark, str(tmp_path / "auth.csv.gz"), paths["staged"], paths["staging"], 2)
+    jobs.clean_staged_days(spark, paths["staged"], paths["clean"], paths["cleaning"], 2)
+    assert report(tmp_path / "cleaning")["rows_outside_days"] == 1
+    rows = tables.read_clean_table(spark, paths["clean"])
+    wrong = rows.withColumn("day_index", F.expr("CASE WHEN time < 5000 THEN -1 WHEN time < 9000 THEN NULL ELSE day_index END"))
+    writers.write_clean_table(wrong.select(*rows.columns), paths["bad"])
+    jobs.validate_table(spark, paths["bad"], str(folder / "red.csv.gz"), None, paths["found"], paths["verdict"], 2)
+    found = report(tmp_path / "verdict")
+    assert found["validation_status"] == "FAIL"
+    assert found["invalid_temporal_counts"]["day_index"] == 2 and found["critical_null_counts"]["day_index"] == 1
+    assert found["logical_consistency_counts"]["day_time_mismatch"] == 2
+    assert found["day_coverage"]["present_days"] == [-1, 0, 1] and not found["day_coverage"]["pass"]
+
+
 @pytest.mark.parametrize("readers", [1, 8])
 def test_a_large_day_is_split(spark, folder, table, readers):
     row = tables.read_clean_table(spark, table).limit(1)
@@ -171,3 +211,5 @@ def test_stream_equals_batch(spark, folder, staged):
     streamed = tables.read_clean_table(spark, out)
     assert streamed.count() == batch.count() == len(AUTH)
     assert streamed.exceptAll(batch).count() == 0
+    writers.replace_days(batch.filter("day_index = 1").limit(2), out, [1])
+    assert days_of(spark, out) == {0: batch.filter("day_index = 0").count(), 1: 2}

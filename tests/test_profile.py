@@ -56,3 +56,12 @@ def test_daily_retention(spark):
     rows = staging.daily_retention(staged, clean, 3).orderBy("day_index").collect()
     assert [tuple(r) for r in rows] == [
         (0, 4, 3, 1, 75.0), (1, 3, 0, 3, 0.0), (2, 0, 5, -5, None)]
+
+
+def test_counts_of_billions_a_day(spark):
+    from authweave.operators import behavior
+    rows = [("U1", day, 4_000_000_000 + day) for day in range(9)]
+    activity = spark.createDataFrame(rows, "src_user string, day_index int, auth_count long")
+    found = {r.day_index: r for r in behavior.baselines(activity).collect()}
+    assert found[8].baseline_days == 7 and found[8].baseline_mean == 4_000_000_004.0
+    assert abs(found[8].baseline_stddev - 2.160247) < 1e-6

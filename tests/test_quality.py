@@ -37,8 +37,8 @@ def test_all_checks_pass(spark, table):
     assert failed(verdicts(spark, table, staged=None)) == set()
 
 
-def test_report_has_32_measures(table):
-    assert len(quality.integrity_report(table, DAYS).columns) == 32
+def test_report_has_33_measures(table):
+    assert len(quality.integrity_report(table, DAYS).columns) == 33
 
 
 def test_empty_table_counts_zero(spark, table):
@@ -57,8 +57,8 @@ FAULTS = {
     "cross_host": ("0", {"logical_consistency"}),
     "is_logoff": ("1", {"logical_consistency"}),
     "src_user": ("CAST(NULL AS string)", {"critical_nulls"}),
-    "day_index": ("5", {"temporal_ranges", "day_coverage"}),
-    "time": ("1", {"schema"}),
+    "day_index": ("5", {"temporal_ranges", "day_coverage", "logical_consistency"}),
+    "time": ("1", {"schema", "logical_consistency"}),
 }
 
 

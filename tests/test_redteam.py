@@ -35,7 +35,8 @@ def check_matching(auth, attacks):
     counts = {r.redteam_id: r.matches for r in redteam.matches_per_event(auth, events).collect()}
     assert counts == {1: 2, 2: 2, 3: 0, 4: 0}
     rows = redteam.raw_matches(auth, events).collect()
-    assert sorted((r.redteam_id, r.dst_user) for r in rows) == [(2, "U1@D"), (2, "U9@D")]
+    assert sorted((r.redteam_id, r.dst_user) for r in rows) == [
+        (1, "U1@D"), (1, "U9@D"), (2, "U1@D"), (2, "U9@D")]
     assert sorted(r.redteam_id for r in redteam.unmatched_events(auth, events).collect()) == [3, 4]
     rate = redteam.match_rate(auth, events).first()
     assert tuple(rate) == (4, 2, 50.0)
@@ -74,6 +75,16 @@ def test_first_events(attacks):
     assert [(r.redteam_id, r.time) for r in first] == [(1, 10), (2, 10), (3, 11)]
 
 
+def test_events_of_several_files_keep_file_order(spark):
+    rows = [("b", 1, 5, "b1"), ("a", 2, 9, "a2"), ("b", 2, 1, "b2"), ("a", 1, 9, "a1")]
+    log = spark.createDataFrame(
+        [(f, n, t, u, "C1", "C2") for f, n, t, u in rows],
+        "file string, source_row long, time long, user string, src_computer string, dst_computer string")
+    numbered = redteam.number_events(log).orderBy("redteam_id").collect()
+    assert [r.user for r in numbered] == ["a1", "a2", "b1", "b2"]
+    assert [r.user for r in redteam.first_events(log, 3).orderBy("redteam_id").collect()] == ["a1", "a2", "b1"]
+
+
 def test_labels_do_not_repeat_rows(auth, attacks):
     rows = graph.label_rows(clean.clean_auth(auth), attacks).collect()
     assert sorted((r.time, r.label) for r in rows) == [(10, 1), (10, 1), (10, 1), (11, 1)]
@@ -99,8 +110,5 @@ def test_hot_key_against_brute_force(spark, small, monkeypatch, request):
     assert len(counted) == 300
     for row in counted:
         assert row.matches == log.count((row.time, row.user, row.src_computer, row.dst_computer))
-    last = {(r.time, r.user, r.src_computer, r.dst_computer): r.redteam_id
-            for r in sorted(counted, key=lambda r: r.redteam_id)}
     rows = redteam.raw_matches(auth, events).groupBy("redteam_id").agg(F.count("*").alias("n")).collect()
-    assert {r.redteam_id: r.n for r in rows} == {
-        number: log.count(k) for k, number in last.items() if log.count(k)}
+    assert {r.redteam_id: r.n for r in rows} == {r.redteam_id: r.matches for r in counted if r.matches}
