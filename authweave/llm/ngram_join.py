@@ -15,7 +15,8 @@ from authweave.llm.tables import again, forget, stored
 CHUNK = 1 << 20  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
-ENTRIES = 1_000_000  # prefix tokens of an index part, about
+ENTRIES = 500_000  # prefix tokens of an index part, about
+PAIRS_HELD = 1_000_000  # pairs a task holds before it counts them
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
 COSTS = (64, 1024)  # estimated candidates from which one more and two more matches are asked
 TAKEN = 6  # bytes of each token's hash that are compared in the verification
@@ -72,7 +73,7 @@ def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
         for frame in frames:
             for first, made in _runs(frame["text"], words):
                 slots = (made.token & np.uint64(COUNTERS - 1)).astype(np.int64)
-                if len(slots) > COUNTERS // 8:
+                if len(slots) > COUNTERS // 2:
                     counts += np.bincount(slots, minlength=COUNTERS).astype(np.uint32)
                 else:
                     np.add.at(counts, slots, 1)
@@ -192,7 +193,7 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
                 entries["n"], entries["m"] = made.size[doc], matches[doc]
                 waiting.append(entries)
                 size += len(entries)
-            if size >= 2 * ENTRIES:
+            if size >= ENTRIES:
                 yield flush()
                 waiting, size = [], 0
         if size:
@@ -237,7 +238,8 @@ def _counted(a, b, asked) -> pd.DataFrame:
 def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """Pairs of the short posting lists, counted; entries of the long lists, and their stars.
 
-    In a long list each set is paired with the smallest name among sets of about its size.
+    In a long list each set is paired with the smallest name among sets of about its size; a
+    star pair comes with the number of lists that gave it.
     """
     entries, starts, lengths = _lists(entries)
     short = np.flatnonzero((lengths > 1) & (lengths <= SHORT))
@@ -271,14 +273,14 @@ def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, n
 
 
 def candidates(index: DataFrame, percent: int) -> DataFrame:
-    """Rows of three kinds: counted pairs; star pairs (shared null); entries of long lists as
-    (part, entries)."""
+    """Rows of three kinds: counted pairs; star pairs (shared null, asked: the lists that gave
+    it); entries of long lists as (part, entries)."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         entries = np.concatenate([np.frombuffer(raw, ENTRY) for raw in frame["entries"]])
         pairs, long, star = meet(entries, percent)
-        star = np.unique(np.sort(star, axis=0), axis=1)
-        stars = pd.DataFrame({"a": star[0], "b": star[1]})
+        star, votes = np.unique(np.sort(star, axis=0), axis=1, return_counts=True)
+        stars = pd.DataFrame({"a": star[0], "b": star[1], "asked": votes})
         rest = pd.DataFrame({"part": [key[0]], "entries": [long.tobytes()]}) if len(long) else None
         out = pd.concat([pairs, stars, *([rest] if rest is not None else [])], ignore_index=True)
         return out.reindex(columns=["a", "b", "shared", "asked", "part", "entries"]).astype(
@@ -302,31 +304,41 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
                 })
 
     def cross(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["n", "node"])
+        frame = frame.sort_values(["token", "n", "node"], ignore_index=True)
         node, n = frame["node"].to_numpy(), frame["n"].to_numpy()
         group, m = frame["component"].to_numpy(), frame["m"].to_numpy()
-        # places up to which sets are not too large for the set at each place
-        ends = np.searchsorted(n, n * 100 // percent, side="right")
-        found = []
-        for k in range(len(node)):
-            there = np.arange(k + 1, ends[k])
-            there = there[group[there] != group[k]]
-            if len(there):
-                found.append(np.stack([
-                    np.full(len(there), node[k]), node[there], np.minimum(m[there], m[k]),
-                ]))
-        if not found:
+        token = frame["token"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        done, found, size = [], [], 0
+        for start, stop in zip(starts, np.r_[starts[1:], len(token)], strict=True):
+            # places up to which sets are not too large for the set at each place
+            ends = start + np.searchsorted(n[start:stop], n[start:stop] * 100 // percent, side="right")
+            for k in range(start, stop):
+                there = np.arange(k + 1, ends[k - start])
+                there = there[group[there] != group[k]]
+                if len(there):
+                    found.append(np.stack([
+                        np.full(len(there), node[k]), node[there], np.minimum(m[there], m[k]),
+                    ]))
+                    size += len(there)
+            if size > PAIRS_HELD:
+                done.append(_counted(*np.concatenate(found, axis=1)))
+                found, size = [], 0
+        if found:
+            done.append(_counted(*np.concatenate(found, axis=1)))
+        if not done:
             return pd.DataFrame({"a": [], "b": [], "shared": [], "asked": []}, dtype=np.int64)
-        return _counted(*np.concatenate(found, axis=1))
+        return pd.concat(done).groupby(["a", "b"], as_index=False).agg({"shared": "sum", "asked": "first"})
 
     rows = long.mapInPandas(spread, "token long, node long, n long, m long")
     rows = rows.join(reached.withColumnRenamed("id", "node"), "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
+    # lists of one family of texts have the same smallest name: their pairs are counted together
     open_tokens = rows.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low != high").select("token")
-    return rows.join(open_tokens, "token", "left_semi").groupBy("token").applyInPandas(cross, PAIR)
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("family")
+    ).where("low != high").select("token", "family")
+    return rows.join(open_tokens, "token").groupBy("family").applyInPandas(cross, PAIR)
 
 
 def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -401,8 +413,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
     2. One pass sends the prefix tokens of each set to the parts of an index. Lists of up to
        SHORT sets count their pairs; longer ones give stars, and their entries are kept.
     3. A pair is a candidate when it shares as many prefix tokens as the less demanding of its
-       documents asks. Each set is first verified against the smallest candidate partner and
-       its star centers; what that connects needs no further comparison.
+       documents asks. Each set is first verified against its smallest candidate partner and
+       its commonest star center; what that connects needs no further comparison.
     4. All other candidates that are not connected, those of the long lists included, are then
        verified. No partner is dropped for the length of a list.
 
@@ -422,7 +434,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
     )
     asked = pairs.where("shared >= asked")
     nearest = asked.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
-    stars = found.where("a is not null and shared is null").select("a", "b")
+    stars = (
+        found.where("a is not null and shared is null")
+        .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
+        .groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b")
+    )
     first = stored(nearest.union(stars).distinct(), "first-pairs")
     links = verified(documents, first, words, percent)
     reached = stored(components(links, "a", "b"), "reached")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from authweave.llm import ngram_join
 
@@ -87,13 +88,12 @@ def test_empty_table(spark):
 
 
 def test_more_matches_lengthen_the_prefix():
-    import numpy as np
-    made = ngram_join.Shingles([" ".join(f"w{k}" for k in range(104)).encode()], 5)
-    plain = np.zeros(1 << 16, np.uint8)
-    places, matches = ngram_join.prefixes(made, plain, 75)
-    assert matches.tolist() == [1] and len(places) == 100 - 75 + 1
-    crowded = plain.copy()
-    crowded[(made.token[:60] & np.uint64((1 << 16) - 1)).astype(int)] = 9
-    crowded[(made.token[60:] & np.uint64((1 << 16) - 1)).astype(int)] = 12
-    places, matches = ngram_join.prefixes(made, crowded, 75)
-    assert matches.tolist() == [3] and len(places) == 100 - 75 + 3
+    texts = [" ".join(f"{d}{k}" for k in range(104)).encode() for d in "abc"]
+    made = ngram_join.Shingles(texts, 5)
+    levels = np.zeros(1 << 20, np.uint8)
+    places, matches = ngram_join.prefixes(made, levels, 75)
+    assert matches.tolist() == [1, 1, 1] and len(places) == 3 * (100 - 75 + 1)
+    levels[(made.token[made.doc == 1] & np.uint64((1 << 20) - 1)).astype(int)] = 12
+    places, matches = ngram_join.prefixes(made, levels, 75)
+    assert matches.tolist() == [1, 3, 1]
+    assert np.bincount(made.doc[places]).tolist() == [26, 28, 26]
