@@ -29,8 +29,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows without an id all stay, as nothing links them.
     """
     found = ngram_join.near_duplicates(docs, words=5, percent=75)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = stored(
+        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept"
+    )
+    named = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
+    repeated = kept.where("n > 1")
+    if repeated.limit(1).count():  # ids of several rows
+        named = named.unionByName(
+            docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        )
     return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
