@@ -96,10 +96,8 @@ def lexicon(labelled: DataFrame) -> dict[str, float]:
                         found = Counter({u: found[u] for u in found.keys() & wanted})
                     held.update(found.keys())
                     number.update(found)
-            names = list(held)
-            yield pd.DataFrame({
-                "unit": names, "texts": [held[u] for u in names], "n": [number[u] for u in names],
-            })
+            rows = [(unit, held[unit], number[unit]) for unit in held]
+            yield pd.DataFrame(rows, columns=["unit", "texts", "n"])  # of type object when empty
         return count
 
     def counted(kind: int, wanted: set[str] | None) -> DataFrame:

@@ -42,6 +42,20 @@ def test_learns_and_scores_held_out_rows(spark):
     assert by_id[5000].score == by_id[5001].score
 
 
+def test_empty_partitions(spark):
+    docs, labels = corpus(300)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "700")
+    try:
+        frame = spark.createDataFrame(docs, DOCS)
+        rows = [(t, toxic, k % 2) for (k, t, *_), (_, toxic, _) in zip(docs, labels)]
+        sample = spark.createDataFrame(rows, "text string, toxic int, part int")
+        assert toxicity.lexicon(sample) and frame.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def test_held_out_labels_change_nothing(spark):
     docs, labels = corpus(300)
     turned = [(k, 1 - t if zlib.crc32(str(k).encode()) % 4 == 2 else t, q) for k, t, q in labels]
