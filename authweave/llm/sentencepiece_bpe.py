@@ -10,9 +10,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED = 120_000  # segments a task remembers, twice
+CACHED = 200_000  # segments a task remembers, twice
 PAIRS = 1_000_000  # tested pairs a task remembers
 SPACE = "▁"
+WIDTH = 12  # bits of a token that hold its length; the id is above them
+LENGTH = (1 << WIDTH) - 1
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -45,13 +47,19 @@ class PrefixTable:
         self.unknown = model.unk_id()
         self.fallback = any(self.is_byte)
         self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
+        for piece, k in self.ids.items():
             if self._merged(piece) == [piece]:
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, k << WIDTH | len(piece))
         self.automaton.make_automaton()
+        self.decimal = [str(k) for k in range(n)]
+        self.shown = [
+            None if self.is_byte[k] or k == self.unknown else
+            "" if self.control[k] else piece.replace(SPACE, " ")
+            for k, piece in enumerate(self.surface)
+        ]
         #: No piece holds a space after another character: nothing merges across such a place.
         self.splits = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, tuple[str, int, str]] = {}
         self.older: dict[str, tuple[str, int, str]] = {}
 
@@ -69,49 +77,48 @@ class PrefixTable:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _compatible(self, left: str, right: str) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self._merged(left + right) == [left, right]
+    def _compatible(self, left: int, right: int) -> bool:
+        """Whether merging the text of two tokens gives the two back; remembered."""
+        first = self.surface[left >> WIDTH] if left >= 0 else chr(~left)
+        second = self.surface[right >> WIDTH]
+        if len(self.pairs) >= PAIRS:
+            self.pairs.clear()
+        found = self._merged(first + second) == [first, second]
+        self.pairs[left << 32 | right] = found
         return found
 
-    def tokens(self, text: str) -> list[str]:
-        """Tokens of a text in which spaces are already replaced."""
-        size = len(text)
-        ending: list[list[str]] = [[] for _ in range(size)]
-        for end, piece in self.automaton.iter(text):
-            ending[end].append(piece)
-        last = [""] * (size + 1)
-        pairs, compatible = self.pairs, self._compatible
-        for end in range(1, size + 1):
-            for piece in ending[end - 1]:
-                start = end - len(piece)
-                if not start:
-                    last[end] = piece
-                    break
-                pair = (last[start], piece)
-                found = pairs.get(pair)
-                if found if found is not None else compatible(*pair):
-                    last[end] = piece
-                    break
-            else:
-                last[end] = text[end - 1]  # a character without a piece that fits stands alone
-        out = []
-        while size:
-            out.append(last[size])
-            size -= len(last[size])
-        return out[::-1]
+    def tokens(self, text: str) -> list[int]:
+        """Tokens of a text in which spaces are already replaced, last one first: an id and a
+        length packed into one number, or the complement of a character without a piece."""
+        last = [~ord(c) for c in text]  # holds where no piece fits
+        pairs, compatible, solved = self.pairs.get, self._compatible, -1
+        for end, token in self.automaton.iter(text):
+            if end == solved:
+                continue
+            start = end - (token & LENGTH)
+            if start >= 0:
+                before = last[start]
+                found = pairs(before << 32 | token)
+                if found is None:
+                    found = compatible(before, token)
+                if not found:
+                    continue
+            last[end] = token
+            solved = end
+        out, end = [], len(text) - 1
+        while end >= 0:
+            token = last[end]
+            out.append(token)
+            end -= token & LENGTH if token >= 0 else 1
+        return out
 
     def _ids(self, text: str) -> list[int]:
         out = []
-        for token in self.tokens(text):
-            found = self.ids.get(token)
-            if found is not None:
-                out.append(found)
+        for token in reversed(self.tokens(text)):
+            if token >= 0:
+                out.append(token >> WIDTH)
             elif self.fallback:
-                out += [self.byte_ids[b] for b in token.encode("utf-8", "surrogatepass")]
+                out += [self.byte_ids[b] for b in chr(~token).encode("utf-8", "surrogatepass")]
             elif not out or out[-1] != self.unknown:  # runs of unknown characters are one id
                 out.append(self.unknown)
         return out
@@ -127,6 +134,9 @@ class PrefixTable:
         return [k for segment in self._segments(text) for k in self._ids(segment)]
 
     def _surface(self, ids: list[int]) -> str:
+        shown = [self.shown[k] for k in ids]
+        if None not in shown:
+            return "".join(shown)
         out, waiting = [], bytearray()
         for k in ids:
             if self.is_byte[k]:
@@ -137,8 +147,8 @@ class PrefixTable:
                 waiting = bytearray()
             if k == self.unknown:
                 out.append(" ⁇ ")
-            elif not self.control[k]:
-                out.append(self.surface[k].replace(SPACE, " "))
+            else:
+                out.append(self.shown[k])
         if waiting:
             out.append(_from_bytes(waiting))
         return "".join(out)
@@ -153,7 +163,7 @@ class PrefixTable:
         found = self.older.get(segment)
         if found is None:
             ids = self._ids(segment)
-            found = ",".join(map(str, ids)), len(ids), self._surface(ids)
+            found = ",".join([self.decimal[k] for k in ids]), len(ids), self._surface(ids)
         if len(segment) < 64:
             if len(self.known) >= CACHED:
                 self.older, self.known = self.known, {}
@@ -206,9 +216,8 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = prefix_table(path)
         for frame in frames:
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"], "ids": [table.encode(t) for t in frame["text"]],
-            })
+            rows = [(d, table.encode(t)) for d, t in zip(frame["doc_id"], frame["text"], strict=True)]
+            yield pd.DataFrame(rows, columns=["doc_id", "ids"])
 
     return _texts(documents).mapInPandas(run, "doc_id string, ids array<int>").withColumn(
         "doc_id", F.col("doc_id").cast("long")
