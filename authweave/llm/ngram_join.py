@@ -4,15 +4,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from authweave.llm.components import components
 from authweave.llm.filters import filter_of, held
-from authweave.llm.rolling import LOWERED, SPACES, Spans, chunks, mix
+from authweave.llm.rolling import LOWERED, SPACES, Spans, chunks, mix, texts_of
 from authweave.llm.tables import again, forget, stored
 
-CHUNK = 1 << 20  # bytes hashed at once
+CHUNK = 1 << 18  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
 ENTRIES = 500_000  # prefix tokens of an index part, about
@@ -59,8 +60,8 @@ class Shingles:
         self.name = mix(sums[self.start + self.size] - sums[self.start] + self.size.astype(np.uint64))
 
 
-def _runs(texts: pd.Series, words: int) -> Iterator[tuple[int, Shingles]]:
-    for first, run in chunks([t.encode("utf-8", "replace") for t in texts], CHUNK):
+def _runs(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, Shingles]]:
+    for first, run in chunks(texts_of(batch, "text"), CHUNK):
         yield first, Shingles(run, words)
 
 
@@ -68,21 +69,24 @@ def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
     """A row per document (doc_id, name of its set, n), and rows (part, counts) of how often the
     tokens of a task's documents fell on each counter: all of them, or place and number."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([
+        ("doc_id", pa.string()), ("node", pa.int64()), ("n", pa.int64()), ("part", pa.int64()),
+        ("counts", pa.binary()),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
-        for frame in frames:
-            for first, made in _runs(frame["text"], words):
+        for batch in batches:
+            ids = batch.column("doc_id").cast(pa.string())
+            for first, made in _runs(batch, words):
                 slots = (made.token & np.uint64(COUNTERS - 1)).astype(np.int64)
-                if len(slots) > COUNTERS // 2:
-                    counts += np.bincount(slots, minlength=COUNTERS).astype(np.uint32)
-                else:
-                    np.add.at(counts, slots, 1)
-                ids = frame["doc_id"].iloc[first:first + len(made.size)].tolist()
-                yield pd.DataFrame({
-                    "doc_id": ids, "node": made.name.view(np.int64), "n": made.size,
-                    "part": None, "counts": None,
-                })
-        rows = []
+                np.add.at(counts, slots, 1)
+                size = len(made.size)
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(first, size), pa.array(made.name.view(np.int64)),
+                    pa.array(made.size.astype(np.int64)), pa.nulls(size, pa.int64()),
+                    pa.nulls(size, pa.binary()),
+                ], schema=schema)
         for part in range(COUNTERS // PART):
             here = counts[part * PART:(part + 1) * PART]
             some = np.flatnonzero(here)
@@ -90,11 +94,11 @@ def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
                 continue
             if len(some) < PART // 2:
                 here = np.stack([some.astype(np.uint32), here[some]])
-            rows.append((None, None, None, part, here.tobytes()))
-        yield pd.DataFrame(rows, columns=["doc_id", "node", "n", "part", "counts"])
+            row = {"doc_id": [None], "node": [None], "n": [None], "part": [part], "counts": [here.tobytes()]}
+            yield pa.RecordBatch.from_pydict(row, schema=schema)
 
-    schema = "doc_id string, node long, n long, part long, counts binary"
-    return stored(_texts(documents).mapInPandas(run, schema), "shingle-names")
+    columns = "doc_id string, node long, n long, part long, counts binary"
+    return stored(_texts(documents).mapInArrow(run, columns), "shingle-names")
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -163,28 +167,30 @@ ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("m", "<u4")]
 def index_entries(documents: DataFrame, levels, words: int, percent: int, parts: int) -> DataFrame:
     """(part, entries): the prefix tokens of each distinct set of a task, by part of the index."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("part", pa.int64()), ("entries", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         waiting, size = [], 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             entries = np.concatenate(waiting)
             part = (entries["token"] >> np.uint64(24)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-            sent = [(p, entries[order[a:b]].tobytes()) for p, (a, b) in
-                    enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            return pd.DataFrame(sent, columns=["part", "entries"])
+            some = np.flatnonzero(np.diff(cuts))
+            sent = [entries[order[cuts[k]:cuts[k + 1]]].tobytes() for k in some]
+            return pa.RecordBatch.from_pydict({"part": some, "entries": sent}, schema=schema)
 
-        for frame in frames:
-            for _, made in _runs(frame["text"], words):
+        for batch in batches:
+            for _, made in _runs(batch, words):
                 places, matches = prefixes(made, levels.value, percent)
                 fresh = np.zeros(len(made.size), bool)
                 for k, name in enumerate(made.name.tolist()):
                     if name not in seen:
                         fresh[k] = True
                         seen.add(name)
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 places = places[fresh[made.doc[places]]]
                 doc = made.doc[places]
@@ -193,13 +199,13 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
                 entries["n"], entries["m"] = made.size[doc], matches[doc]
                 waiting.append(entries)
                 size += len(entries)
-            if size >= ENTRIES:
-                yield flush()
-                waiting, size = [], 0
+                if size >= ENTRIES:
+                    yield flush()
+                    waiting, size = [], 0
         if size:
             yield flush()
 
-    return _texts(documents.where("doc_id is not null")).mapInPandas(run, "part long, entries binary")
+    return _texts(documents.where("doc_id is not null")).mapInArrow(run, "part long, entries binary")
 
 
 PAIR = "a long, b long, shared long, asked long"
@@ -346,24 +352,26 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     bits = documents.sparkSession.sparkContext.broadcast(filter_of(nodes, "node"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("node", pa.int64()), ("tokens", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for frame in frames:
-            for _, made in _runs(frame["text"], words):
+        for batch in batches:
+            for _, made in _runs(batch, words):
                 names = made.name.view(np.int64)
-                out = []
+                nodes, sets = [], []
                 for k in np.flatnonzero(held(bits.value, names)):
                     if int(names[k]) in seen:
                         continue
                     seen.add(int(names[k]))
                     tokens = made.token[made.start[k]:made.start[k] + made.size[k]] >> np.uint64(64 - 8 * TAKEN)
-                    raw = tokens.view(np.uint8).reshape(-1, 8)[:, :TAKEN]
-                    out.append((int(names[k]), raw.tobytes()))
-                if len(seen) > 500_000:
+                    nodes.append(int(names[k]))
+                    sets.append(tokens.view(np.uint8).reshape(-1, 8)[:, :TAKEN].tobytes())
+                if len(seen) > 200_000:
                     seen.clear()
-                yield pd.DataFrame(out, columns=["node", "tokens"])
+                yield pa.RecordBatch.from_pydict({"node": nodes, "tokens": sets}, schema=schema)
 
-    kept = _texts(documents.where("doc_id is not null")).mapInPandas(run, "node long, tokens binary")
+    kept = _texts(documents.where("doc_id is not null")).mapInArrow(run, "node long, tokens binary")
     return kept.dropDuplicates(["node"])
 
 
@@ -384,19 +392,19 @@ def overlap(one: bytes, two: bytes) -> tuple[int, int, int]:
 def verified(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole token sets are similar enough."""
 
-    @F.pandas_udf("boolean")
-    def similar(one: pd.Series, two: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(one, two, strict=True):
-            n, m, both = overlap(x, y)
-            out.append(100 * both >= percent * (n + m - both))
-        return pd.Series(out, dtype=bool)
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, two in zip(texts_of(batch, "tokens_a"), texts_of(batch, "tokens_b"), strict=True):
+                n, m, both = overlap(one, two)
+                keep.append(100 * both >= percent * (n + m - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     sets = stored(token_sets(documents, pairs, words), "token-sets")
     left = sets.withColumnsRenamed({"node": "a", "tokens": "tokens_a"})
     right = again(sets).withColumnsRenamed({"node": "b", "tokens": "tokens_b"})
-    both = pairs.join(left, "a").join(right, "b").where(similar("tokens_a", "tokens_b"))
-    links = stored(both.select("a", "b"), "similar")
+    both = pairs.join(left, "a").join(right, "b")
+    links = stored(both.mapInArrow(similar, "a long, b long"), "similar")
     forget(sets)
     return links
 

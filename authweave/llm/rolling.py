@@ -27,7 +27,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least n + 1 of each."""
     held = max(_POWERS, default=0)
     if held < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         inverse = pow(BASE, -1, 1 << 64)
         made = []
         for base in (BASE, inverse):
@@ -64,7 +64,17 @@ class Spans:
         return mix((self.sums[size:] - self.sums[:count]) * self.inverse[:count])
 
 
-def chunks(texts: list[bytes], limit: int):
+def texts_of(batch, name: str) -> list:
+    """The UTF-8 bytes of a string column without nulls, as views into the batch's buffer."""
+    column = batch.column(name)
+    _, offsets, data = column.buffers()
+    kind = np.int64 if "large" in str(column.type) else np.int32
+    at = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def chunks(texts: list, limit: int):
     """(first, texts) runs of about `limit` bytes; a longer text is a run of its own."""
     first, held, size = 0, [], 0
     for k, text in enumerate(texts):
