@@ -17,7 +17,7 @@ CHUNK = 1 << 18  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
 ENTRIES = 500_000  # prefix tokens of an index part, about
-PAIRS_HELD = 1_000_000  # pairs a task holds before it counts them
+PAIRS_HELD = 300_000  # pairs a task holds before it counts them
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
 COSTS = (64, 1024)  # estimated candidates from which one more and two more matches are asked
 TAKEN = 6  # bytes of each token's hash that are compared in the verification
@@ -244,8 +244,8 @@ def _counted(a, b, asked) -> pd.DataFrame:
 def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     """Pairs of the short posting lists, counted; entries of the long lists, and their stars.
 
-    In a long list each set is paired with the smallest name among sets of about its size; a
-    star pair comes with the number of lists that gave it.
+    In a long list each set is paired with the smallest name; a star pair comes with the number
+    of lists that gave it.
     """
     entries, starts, lengths = _lists(entries)
     short = np.flatnonzero((lengths > 1) & (lengths <= SHORT))
@@ -269,11 +269,7 @@ def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, n
     for k in long:
         part = entries[starts[k]:starts[k] + lengths[k]]
         member[starts[k]:starts[k] + lengths[k]] = True
-        band = np.floor(np.log(part["n"]) / np.log(100 / percent) * 4).astype(np.int64)
-        order = np.lexsort((part["node"], band))
-        head = np.r_[True, band[order][1:] != band[order][:-1]]
-        center = part["node"][order][np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-        stars.append(np.stack([part["node"][order], center]))
+        stars.append(np.stack([part["node"], np.full(len(part), part["node"].min())]))
     star = np.concatenate(stars, axis=1) if stars else np.zeros((2, 0), np.int64)
     return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]]
 
@@ -289,9 +285,8 @@ def candidates(index: DataFrame, percent: int) -> DataFrame:
         stars = pd.DataFrame({"a": star[0], "b": star[1], "asked": votes})
         rest = pd.DataFrame({"part": [key[0]], "entries": [long.tobytes()]}) if len(long) else None
         out = pd.concat([pairs, stars, *([rest] if rest is not None else [])], ignore_index=True)
-        return out.reindex(columns=["a", "b", "shared", "asked", "part", "entries"]).astype(
-            {k: "Int64" for k in ("a", "b", "shared", "asked", "part")}
-        )
+        kinds = {k: "Int64" for k in ("a", "b", "shared", "asked", "part")} | {"entries": "object"}
+        return out.reindex(columns=list(kinds)).astype(kinds)
 
     schema = PAIR + ", part long, entries binary"
     return stored(index.groupBy("part").applyInPandas(run, schema), "candidates")
