@@ -32,6 +32,7 @@ CLOSES_P = BLOCK - frozenset("html body td th tr thead tbody tfoot caption optio
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 GROUPS = frozenset("thead tbody tfoot".split())
 FENCES = frozenset("table td th caption html button template object".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 #: start tag: (open elements it ends, elements the search for them does not leave)
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"} | FENCES),
@@ -103,7 +104,17 @@ class Tree:
                 return 0
         return 0
 
+    def _leave_head(self) -> None:
+        """An open head, or its noscript, ends at what may not stand in a head."""
+        place = len(self.open) - 1
+        if self.open[place].tag == "noscript":
+            place -= 1
+        if self.open[place].tag == "head":
+            self._close(place)
+
     def _start(self, tag: str, attributes: dict[str, str]) -> Node:
+        if tag not in IN_HEAD:
+            self._leave_head()
         if tag in CLOSES_P and (place := self._find(("p",), FENCES)):
             self._close(place)
         if tag in HEADINGS and self.open[-1].tag in HEADINGS:
@@ -139,7 +150,10 @@ class Tree:
 
     def _text(self, text: str) -> None:
         if text:
-            self.open[-1].children.append(html.unescape(text) if "&" in text else text)
+            text = html.unescape(text) if "&" in text else text
+            if text.strip(" \t\n\r\f"):
+                self._leave_head()
+            self.open[-1].children.append(text)
 
     def _build(self, page: str) -> None:
         at, last = 0, page.rfind(">")

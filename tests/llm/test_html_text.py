@@ -34,6 +34,15 @@ def test_layout(page, text):
     assert render(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>t</title><body><p>text", "text"), ("<head><title>t</title><p>a</p>b", "a\n\nb"),
+    ("<head><meta charset=x>\n plain", "plain"), ("<head><style>p{}</style><link rel=x></head><body>b", "b"),
+    ("<head><template><p>x</p></template><title>t</title><div>d", "d"), ("a<head>b", "ab"),
+])
+def test_open_head_ends_where_the_body_begins(page, text):
+    assert render(page) == text
+
+
 def test_missing_and_extreme_pages():
     assert render(None) == ""
     assert render("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
