@@ -17,9 +17,9 @@ HELD = "\x00"  # a space that does not collapse, while a line is built
 
 # The elements of HTML by how they are parsed and laid out.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "head script style title template noscript iframe noembed noframes datalist audio video "
+    "head script style title template iframe noembed noframes datalist audio video "
     "canvas object meta link base param source track area rp".split()
 )
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl ul ol menu dir figure fieldset hr table xmp".split())
@@ -182,8 +182,8 @@ class Tree:
                     self._text(inside)
                 if self.open[-1] is node:
                     self.open.pop()
-        if start < 0 or "<!--" not in page[start:start + 4]:
-            self._text(page[at:])
+        cut = page.find("<!--", at)  # a comment that the page's end leaves open
+        self._text(page[at:cut] if cut >= 0 else page[at:])
 
 
 def hiding_rules(styles: list[str]) -> dict[tuple[str, str, str], str]:

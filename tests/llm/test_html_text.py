@@ -43,6 +43,17 @@ def test_open_head_ends_where_the_body_begins(page, text):
     assert render(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p>Hi</p>Visible tail <!-- cut", "Hi\n\nVisible tail"), ("plain text <!-- cut", "plain text"),
+    ("1 < 2 <!-- cut", "1 < 2"), ("<!-- cut", ""), ("<p>a<!-- b > c", "a"),
+    ("a<noscript> no <b>script</b></noscript> z", "a no script z"),
+    ("<head><noscript><link rel=x></noscript><title>t</title></head>b", "b"),
+    ("<head><noscript><p>x</p></noscript></head><body>y", "x\n\ny"),
+])
+def test_text_before_an_open_comment_and_in_noscript(page, text):
+    assert render(page) == text
+
+
 def test_missing_and_extreme_pages():
     assert render(None) == ""
     assert render("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
