@@ -125,10 +125,10 @@ def _labels(a: Side, b: Side, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
     """(id, other): a star around the smallest id of each component of the links."""
     of_a, of_b = a.ids.copy(), b.ids.copy()
     while len(i):
-        before = of_a[i].sum(dtype=np.float64) + of_b[j].sum(dtype=np.float64)
+        before_a, before_b = of_a.copy(), of_b.copy()
         np.minimum.at(of_a, i, of_b[j])
         np.minimum.at(of_b, j, of_a[i])
-        if of_a[i].sum(dtype=np.float64) + of_b[j].sum(dtype=np.float64) == before:
+        if np.array_equal(of_a, before_a) and np.array_equal(of_b, before_b):
             break
     rows, columns = np.unique(i), np.unique(j)
     return [

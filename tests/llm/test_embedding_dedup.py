@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from authweave.llm import embedding_dedup
 
@@ -80,3 +81,15 @@ def test_empty_and_single(spark):
     assert run(spark, []) == []
     assert run(spark, [(4, [1.0, 2.0])]) == [(4, 0, 4, True)]
     assert run(spark, [(4, None)]) == [(4, 0, 4, True)]
+
+
+def test_labels_of_large_ids_reach_the_smallest():
+    class Ids:
+        def __init__(self, *ids):
+            self.ids = np.array(ids, np.int64)
+
+    x = 1 << 62
+    a, b = Ids(x + 1, x + 9), Ids(x + 10, x + 2)  # links a1-b1, a2-b1, a2-b2
+    ids, labels = embedding_dedup._labels(a, b, np.array([0, 1, 1]), np.array([0, 0, 1]))
+    assert sorted(ids.tolist()) == [x + 1, x + 2, x + 9, x + 10]
+    assert labels.tolist() == [x + 1] * 4
