@@ -1,5 +1,6 @@
 """Near-duplicate documents: n-gram Jaccard join with adaptive multi-match prefixes."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,9 @@ CHUNK = 1 << 18  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
 ENTRIES = 500_000  # prefix tokens of an index part, about
-PAIRS_HELD = 300_000  # pairs a task holds before it counts them
+PAIRS_HELD = 300_000  # pairs a task looks at, at once
+BLOCK = 1000  # entries of a long posting list that are joined with as many others at once, about
+HOT = 16  # level of frequency from which a posting list is dealt to several parts of the index
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
 COSTS = (64, 1024)  # estimated candidates from which one more and two more matches are asked
 TAKEN = 6  # bytes of each token's hash that are compared in the verification
@@ -161,7 +164,14 @@ def prefixes(made: Shingles, levels: np.ndarray, percent: int) -> tuple[np.ndarr
     return order[kept], matches
 
 
-ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("m", "<u4")])
+#: at: the token's place in the order of its set
+ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u4"), ("m", "u1")])
+
+
+def salts(token: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Parts of the index that a token's posting list is dealt to."""
+    level = levels[(token & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.int64)
+    return np.left_shift(1, np.clip(level - HOT, 0, 20))
 
 
 def index_entries(documents: DataFrame, levels, words: int, percent: int, parts: int) -> DataFrame:
@@ -175,7 +185,8 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
 
         def flush() -> pa.RecordBatch:
             entries = np.concatenate(waiting)
-            part = (entries["token"] >> np.uint64(24)) % np.uint64(parts)
+            salt = mix(entries["node"].view(np.uint64)) % salts(entries["token"], levels.value).astype(np.uint64)
+            part = ((entries["token"] >> np.uint64(24)) + salt) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cuts))
@@ -185,6 +196,8 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
         for batch in batches:
             for _, made in _runs(batch, words):
                 places, matches = prefixes(made, levels.value, percent)
+                number = np.bincount(made.doc[places], minlength=len(made.size))
+                at = np.arange(len(places)) - np.repeat(np.cumsum(number) - number, number)
                 fresh = np.zeros(len(made.size), bool)
                 for k, name in enumerate(made.name.tolist()):
                     if name not in seen:
@@ -192,11 +205,12 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
                         seen.add(name)
                 if len(seen) > 200_000:
                     seen.clear()
-                places = places[fresh[made.doc[places]]]
+                kept = fresh[made.doc[places]]
+                places, at = places[kept], at[kept]
                 doc = made.doc[places]
                 entries = np.empty(len(places), ENTRY)
                 entries["token"], entries["node"] = made.token[places], made.name.view(np.int64)[doc]
-                entries["n"], entries["m"] = made.size[doc], matches[doc]
+                entries["n"], entries["m"], entries["at"] = made.size[doc], matches[doc], at
                 waiting.append(entries)
                 size += len(entries)
                 if size >= ENTRIES:
@@ -223,9 +237,28 @@ def _lists(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return entries, starts, lengths
 
 
-def _fits(small: np.ndarray, large: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets of these sizes can be similar enough."""
-    return small.astype(np.int64) * 100 >= large.astype(np.int64) * percent
+def reach(n: np.ndarray, at: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Largest size of a set with which a set of n can be similar enough and be met at place `at`.
+
+    Sets of n and k tokens that are similar enough share at least
+    c = ceil(percent * (n + k) / (100 + percent)) tokens, so m of the shared ones are among the
+    first n - c + m of the one and among the first k - c + m of the other.
+    """
+    return (n.astype(np.int64) + m - 1 - at) * (100 + percent) // percent - n
+
+
+def _fits(small: tuple, large: tuple, percent: int) -> np.ndarray:
+    """Whether sets (n, at, m), the smaller first, can be similar enough and met at these places."""
+    (n, at, m), (k, there, asked) = ([x.astype(np.int64) for x in side] for side in (small, large))
+    asked = np.minimum(m, asked)
+    return (
+        (n * 100 >= k * percent)
+        & (reach(n, at, asked, percent) >= k) & (reach(k, there, asked, percent) >= n)
+    )
+
+
+def _places(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return entries["n"], entries["at"], entries["m"]
 
 
 def _counted(a, b, asked) -> pd.DataFrame:
@@ -241,14 +274,16 @@ def _counted(a, b, asked) -> pd.DataFrame:
     })
 
 
-def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """Pairs of the short posting lists, counted; entries of the long lists, and their stars.
+def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of the short posting lists, counted; entries of the long lists, and their stars;
+    (token, star center) of lists that other parts hold some of, which count as long.
 
     In a long list each set is paired with the smallest name; a star pair comes with the number
     of lists that gave it.
     """
     entries, starts, lengths = _lists(entries)
-    short = np.flatnonzero((lengths > 1) & (lengths <= SHORT))
+    dealt = salts(entries["token"][starts], levels) > 1
+    short = np.flatnonzero((lengths > 1) & (lengths <= SHORT) & ~dealt)
     found = []
     for step in range(1, SHORT):
         lists = short[lengths[short] > step]
@@ -259,87 +294,154 @@ def meet(entries: np.ndarray, percent: int) -> tuple[pd.DataFrame, np.ndarray, n
             np.cumsum(number) - number, number
         )
         one, two = entries[first], entries[first + step]
-        fit = _fits(one["n"], two["n"], percent)
+        fit = _fits(_places(one), _places(two), percent)
         one, two = one[fit], two[fit]
         found.append(np.stack([one["node"], two["node"], np.minimum(one["m"], two["m"]).astype(np.int64)]))
     a, b, asked = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-    long = np.flatnonzero(lengths > SHORT)
+    long = np.flatnonzero((lengths > SHORT) | dealt)
     member = np.zeros(len(entries), bool)
-    stars = []
+    stars, centers = [], []
     for k in long:
         part = entries[starts[k]:starts[k] + lengths[k]]
         member[starts[k]:starts[k] + lengths[k]] = True
         stars.append(np.stack([part["node"], np.full(len(part), part["node"].min())]))
+        if dealt[k]:
+            centers.append([part["token"].view(np.int64)[0], part["node"].min()])
     star = np.concatenate(stars, axis=1) if stars else np.zeros((2, 0), np.int64)
-    return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]]
+    center = np.array(centers, np.int64).reshape(-1, 2).T
+    return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]], center
 
 
-def candidates(index: DataFrame, percent: int) -> DataFrame:
-    """Rows of three kinds: counted pairs; star pairs (shared null, asked: the lists that gave
-    it); entries of long lists as (part, entries)."""
+def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
+    """Rows of four kinds: counted pairs; star pairs (shared null, asked: the lists that gave
+    it); entries of long lists as (part, entries); star centers (b null) of a token (part)."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         entries = np.concatenate([np.frombuffer(raw, ENTRY) for raw in frame["entries"]])
-        pairs, long, star = meet(entries, percent)
+        pairs, long, star, center = meet(entries, percent, levels.value)
         star, votes = np.unique(np.sort(star, axis=0), axis=1, return_counts=True)
         stars = pd.DataFrame({"a": star[0], "b": star[1], "asked": votes})
         rest = pd.DataFrame({"part": [key[0]], "entries": [long.tobytes()]}) if len(long) else None
-        out = pd.concat([pairs, stars, *([rest] if rest is not None else [])], ignore_index=True)
+        centers = pd.DataFrame({"part": center[0], "a": center[1]})
         kinds = {k: "Int64" for k in ("a", "b", "shared", "asked", "part")} | {"entries": "object"}
-        return out.reindex(columns=list(kinds)).astype(kinds)
+        # the types come first: names put beside missing values would be rounded to doubles
+        made = [f.reindex(columns=list(kinds)).astype(kinds) for f in (pairs, stars, centers, rest) if f is not None and len(f)]
+        return pd.concat(made, ignore_index=True) if made else pd.DataFrame(columns=list(kinds)).astype(kinds)
 
     schema = PAIR + ", part long, entries binary"
     return stored(index.groupBy("part").applyInPandas(run, schema), "candidates")
 
 
 def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
-    """Counted pairs of long lists whose sets are not connected yet."""
+    """Pairs of long lists whose sets are not connected yet, with partial counts.
+
+    A list is cut by bands of set sizes, and a band into blocks of about BLOCK entries; a
+    component of more entries than that has blocks of its own. Blocks are joined block with
+    block, in the same band and with the next one, but not within one component. A block of
+    smaller sets gives only entries that reach sets of their own size.
+    """
+    width = max(math.log(100 / percent) * 1.000001, 0.01)
 
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for raw in frame["entries"]:
                 part = np.frombuffer(raw, ENTRY)
+                n, at, m = (x.astype(np.int64) for x in _places(part))
                 yield pd.DataFrame({
-                    "token": part["token"].view(np.int64), "node": part["node"],
-                    "n": part["n"].astype(np.int64), "m": part["m"].astype(np.int64),
+                    "token": part["token"].astype(np.uint64).view(np.int64), "node": part["node"],
+                    "n": n, "at": at, "m": m, "band": (np.log(n) // width).astype(np.int64),
+                    "low": reach(n, at, m, percent) >= n,
                 })
 
-    def cross(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["token", "n", "node"], ignore_index=True)
-        node, n = frame["node"].to_numpy(), frame["n"].to_numpy()
-        group, m = frame["component"].to_numpy(), frame["m"].to_numpy()
-        token = frame["token"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        done, found, size = [], [], 0
-        for start, stop in zip(starts, np.r_[starts[1:], len(token)], strict=True):
-            # places up to which sets are not too large for the set at each place
-            ends = start + np.searchsorted(n[start:stop], n[start:stop] * 100 // percent, side="right")
-            for k in range(start, stop):
-                there = np.arange(k + 1, ends[k - start])
-                there = there[group[there] != group[k]]
-                if len(there):
-                    found.append(np.stack([
-                        np.full(len(there), node[k]), node[there], np.minimum(m[there], m[k]),
-                    ]))
-                    size += len(there)
-            if size > PAIRS_HELD:
-                done.append(_counted(*np.concatenate(found, axis=1)))
-                found, size = [], 0
-        if found:
-            done.append(_counted(*np.concatenate(found, axis=1)))
-        if not done:
-            return pd.DataFrame({"a": [], "b": [], "shared": [], "asked": []}, dtype=np.int64)
-        return pd.concat(done).groupby(["a", "b"], as_index=False).agg({"shared": "sum", "asked": "first"})
-
-    rows = long.mapInPandas(spread, "token long, node long, n long, m long")
+    def cross(one: pd.DataFrame, two: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Pairs of a smaller set of `one` and a larger set of `two`, some rows at a time."""
+        a, b = ({c: side[c].to_numpy() for c in side.columns} for side in (one, two))
+        for start in range(0, len(one), max(1, PAIRS_HELD // len(two))):
+            rows = slice(start, start + max(1, PAIRS_HELD // len(two)))
+            n, node = a["n"][rows, None], a["node"][rows, None]
+            apart = a["component"][rows, None] != b["component"]
+            i, j = np.nonzero(apart & ((n < b["n"]) | ((n == b["n"]) & (node < b["node"]))))
+            i += start
+            fit = _fits((a["n"][i], a["at"][i], a["m"][i]), (b["n"][j], b["at"][j], b["m"][j]), percent)
+            i, j = i[fit], j[fit]
+            if len(i):
+                yield _counted(a["node"][i], b["node"][j], np.minimum(a["m"][i], b["m"][j]))
+
+    def join_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting, last = [], None
+
+        def done() -> Iterator[pd.DataFrame]:
+            both = pd.concat(waiting)
+            one, two = both[both["smaller"]], both[~both["smaller"]]
+            if len(one) and len(two):
+                yield from cross(one, two)
+
+        for frame in frames:
+            for name, part in frame.groupby("meeting", sort=False):
+                if waiting and name != last:
+                    yield from done()
+                    waiting = []
+                waiting.append(part)
+                last = name
+        if waiting:
+            yield from done()
+
+    rows = long.mapInPandas(spread, "token long, node long, n long, at long, m long, band long, low boolean")
     rows = rows.join(reached.withColumnRenamed("id", "node"), "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    # lists of one family of texts have the same smallest name: their pairs are counted together
-    open_tokens = rows.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("family")
-    ).where("low != high").select("token", "family")
-    return rows.join(open_tokens, "token").groupBy("family").applyInPandas(cross, PAIR)
+    groups = stored(
+        rows.groupBy("token", "band", "component").agg(F.count("*").alias("held")), "groups"
+    )
+    open_tokens = groups.groupBy("token").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    ).where("least != most").select("token")
+    alone = F.col("held") > BLOCK
+    rest = groups.groupBy("token", "band").agg(F.sum(F.when(~alone, F.col("held"))).alias("others"))
+    cuts = (
+        again(groups).join(rest, ["token", "band"]).join(open_tokens, "token")
+        .select(
+            "token", "band", "component", F.when(alone, F.col("component")).alias("own"),
+            F.ceil(F.when(alone, F.col("held")).otherwise(F.col("others")) / BLOCK).alias("blocks"),
+        )
+    )
+    number = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    rows = stored(
+        rows.join(cuts, ["token", "band", "component"]).withColumn(
+            "block", F.concat_ws(":", "token", "band", F.coalesce(F.col("own").cast("string"), F.lit("")), number)
+        ).select("token", "node", "n", "at", "m", "band", "low", "component", "own", "block"),
+        "blocked",
+    )
+    blocks = stored(
+        rows.groupBy("block").agg(
+            F.first("token").alias("token"), F.first("band").alias("band"), F.first("own").alias("own"),
+            F.count("*").alias("held"), F.count_if("low").alias("lows"),
+        ), "blocks",
+    )
+    smaller = blocks.where("lows > 0").select(
+        "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"),
+        F.col("block").alias("one"), F.col("own").alias("own_one"), "lows",
+    )
+    larger = again(blocks).drop("lows").withColumnsRenamed({"block": "two", "own": "own_two"})
+    meetings = stored(
+        smaller.join(larger, ["token", "band"])
+        .where("own_one is null or own_two is null or own_one != own_two")
+        .select("one", "two", F.concat_ws("|", "one", "two").alias("meeting"), (F.col("lows") + F.col("held")).alias("sent")),
+        "meetings",
+    )
+    sent = meetings.agg(F.sum("sent")).first()[0] or 0
+    parts = max(12, -(-sent // (ENTRIES // 5)))
+    columns = ["meeting", "smaller", "node", "n", "at", "m", "component"]
+    sides = [
+        again(rows).where(F.lit(True) if side == "two" else F.col("low"))
+        .join(again(meetings).select("meeting", F.col(side).alias("block")), "block")
+        .withColumn("smaller", F.lit(side == "one")).select(*columns)
+        for side in ("one", "two")
+    ]
+    return (
+        sides[0].unionByName(sides[1]).repartition(parts, "meeting").sortWithinPartitions("meeting")
+        .mapInPandas(join_blocks, PAIR)
+    )
 
 
 def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -414,12 +516,14 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
 
     1. One pass names the sets and counts tokens in a table of fixed size.
     2. One pass sends the prefix tokens of each set to the parts of an index. Lists of up to
-       SHORT sets count their pairs; longer ones give stars, and their entries are kept.
+       SHORT sets count their pairs; longer ones give stars, and their entries are kept. Lists
+       of very frequent tokens are dealt to several parts. A pair counts a token only where
+       the sizes and the token's places in both sets leave room for the overlap it needs.
     3. A pair is a candidate when it shares as many prefix tokens as the less demanding of its
        documents asks. Each set is first verified against its smallest candidate partner and
        its commonest star center; what that connects needs no further comparison.
-    4. All other candidates that are not connected, those of the long lists included, are then
-       verified. No partner is dropped for the length of a list.
+    4. All other candidates that are not connected, those of the long lists included, which are
+       joined in blocks, are then verified. No partner is dropped for the length of a list.
 
     Null texts are empty, rows without an id link with nothing and have a null component,
     repeated rows stay repeated, other columns are not looked at.
@@ -429,7 +533,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
     total = rows.agg(F.sum("n")).first()[0] or 0
     levels = documents.sparkSession.sparkContext.broadcast(frequency_levels(named))
     parts = max(12, -(-total * (104 - percent) // 100 // ENTRIES))
-    found = candidates(index_entries(documents, levels, words, percent, parts).repartition(parts, "part"), percent)
+    index = index_entries(documents, levels, words, percent, parts).repartition(parts, "part")
+    found = candidates(index, levels, percent)
     pairs = stored(
         found.where("shared is not null").groupBy("a", "b")
         .agg(F.sum("shared").alias("shared"), F.first("asked").alias("asked")),
@@ -437,8 +542,11 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
     )
     asked = pairs.where("shared >= asked")
     nearest = asked.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
+    centers = found.where("a is not null and b is null").select(F.col("part").alias("token"), F.col("a").alias("b"))
+    joined = centers.join(centers.groupBy("token").agg(F.min("b").alias("a")), "token").where("a != b")
     stars = (
-        found.where("a is not null and shared is null")
+        found.where("b is not null and shared is null").select("a", "b", "asked")
+        .unionByName(joined.select("a", "b", F.lit(1).alias("asked")))
         .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
         .groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b")
     )

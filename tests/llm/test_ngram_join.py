@@ -97,3 +97,38 @@ def test_more_matches_lengthen_the_prefix():
     places, matches = ngram_join.prefixes(made, levels, 75)
     assert matches.tolist() == [1, 3, 1]
     assert np.bincount(made.doc[places]).tolist() == [26, 28, 26]
+
+
+def test_long_lists_in_blocks_lose_nothing(spark, monkeypatch):
+    for name, value in {"SHORT": 2, "BLOCK": 3, "HOT": 2, "COSTS": (2, 6), "COUNTERS": 1 << 17, "PAIRS_HELD": 5}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = list(enumerate(corpus(5, 20, 20, words=30, vocabulary=60)))
+    assert run(spark, rows) == by_hand(rows)
+
+
+def template(own: int, count: int) -> list[str]:
+    shared = " ".join(f"s{k}" for k in range(100 - own))
+    return [shared + " " + " ".join(f"d{d}w{k}" for k in range(own)) for d in range(count)]
+
+
+def test_template_documents_make_no_pairs():
+    made = ngram_join.Shingles([t.encode() for t in template(20, 60)], 5)
+    levels = np.zeros(1 << 20, np.uint8)
+    np.add.at(levels, (made.token & np.uint64((1 << 20) - 1)).astype(int), 1)
+    places, matches = ngram_join.prefixes(made, levels, 75)
+    doc = made.doc[places]
+    number = np.bincount(doc)
+    entries = np.empty(len(places), ngram_join.ENTRY)
+    entries["token"], entries["node"] = made.token[places], doc
+    entries["n"], entries["m"] = made.size[doc], matches[doc]
+    entries["at"] = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    assert len(np.unique(entries["token"])) < len(entries)  # the template is in the prefixes
+    n, at, m = ngram_join._places(entries)
+    often = np.isin(entries["token"], [t for t, k in zip(*np.unique(entries["token"], return_counts=True), strict=True) if k > 1])
+    assert not (ngram_join.reach(n, at, m, 75) >= n)[often].any()
+
+
+def test_template_documents_in_long_lists(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rows = list(enumerate(template(20, 50) + template(9, 40)))
+    assert run(spark, rows) == by_hand(rows)
