@@ -26,3 +26,58 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids)
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
+
+#: crc32 of a list of bytes, by a table that is made from the polynomial.
+_CRC = """
+crc_table AS MATERIALIZED (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i] || range(8), lambda v, k: CASE WHEN v & 1 = 1
+               THEN xor(3988292384, v >> 1) ELSE v >> 1 END) AS v
+        FROM range(256) r(i)))
+"""
+
+
+def _crc(octets: str) -> str:
+    return (
+        f"xor(4294967295, list_reduce([4294967295::BIGINT] || {octets}, "
+        "lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))"
+    )
+
+
+_OCTETS = """flatten(list_transform(string_split(s, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT]
+                ELSE [(192 + (ord(c) >> 6))::BIGINT, (128 + (ord(c) & 63))::BIGINT] END))"""
+
+OP12 = f"""
+WITH RECURSIVE {_CRC},
+runs AS MATERIALIZED (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY ALL),
+checked AS (
+    SELECT run, k, {_crc(_OCTETS)} AS h
+    FROM (SELECT run, k, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM runs), crc_table),
+words AS MATERIALIZED (
+    SELECT word, sum(k)::BIGINT AS n FROM (
+        SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, (h % length(run) + 2)::BIGINT)
+                  ELSE run END AS word FROM checked)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+cuts AS MATERIALIZED (
+    SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+    FROM words, unnest(range(1, length(word) + 1)) u(i)),
+near AS MATERIALIZED (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (
+    SELECT word, count(*) AS n_near, min({{'o': -other_n, 'w': other}}) AS b FROM near GROUP BY word),
+formed AS MATERIALIZED (
+    SELECT word, n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN -b.o >= 10 * n THEN b.w END AS form, CASE WHEN -b.o >= 10 * n THEN -b.o END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+chain(word, place, steps) AS (
+    SELECT word, word, 0 FROM words
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM chain c JOIN formed f ON c.place = f.word WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT word, max_by(place, steps) AS root FROM chain GROUP BY word) USING (word)
+"""

@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from authweave.llm import (
-    decontaminate, embedding_dedup, html_text, ngram_join, packing, sentencepiece_bpe, suffix_dedup, topk, toxicity,
-    url_filter, warc,
+    decontaminate, embedding_dedup, html_text, ngram_join, packing, sentencepiece_bpe, spelling, suffix_dedup, topk,
+    toxicity, url_filter, warc,
 )
-from authweave.llm.oracles import OP11
+from authweave.llm.oracles import OP11, OP12
 from authweave.llm.tables import table
 
 RULES = [  # fixed values: host, path, verdict
@@ -71,10 +71,14 @@ def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), least=7, twice=2, every=31, times=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_topk, op2_url_filter, op3_toxicity, op4_embedding_dedup, op5_warc, op6_suffix_dedup, op7_ngram_join, op8_packing, op9_html,
-        op10_sentencepiece, op11_decontaminate,
+        op10_sentencepiece, op11_decontaminate, op12_spelling,
     ]
     return {query.__name__: query for query in found}
 
@@ -187,5 +191,5 @@ FROM sets LEFT JOIN least ON doc_id = least.a
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": OP1, "op2_url_filter": OP2, "op4_embedding_dedup": OP4, "op5_warc": OP5,
-        "op7_ngram_join": OP7, "op11_decontaminate": OP11,
+        "op7_ngram_join": OP7, "op11_decontaminate": OP11, "op12_spelling": OP12,
     }
