@@ -81,3 +81,65 @@ chain(word, place, steps) AS (
 SELECT word, form, root, n, n_near, form_n
 FROM formed JOIN (SELECT word, max_by(place, steps) AS root FROM chain GROUP BY word) USING (word)
 """
+
+_LEAF = """sha256({0} || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || coalesce(strlen({1}) || ':' || {1}, '-'))"""
+_ID = "coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')"
+
+#: Levels of the trees of sources count from 0, those of the tree above them from 1000.
+OP13 = f"""
+WITH RECURSIVE {_CRC},
+hashed AS (
+    SELECT doc_id, source, {_LEAF.format(_ID, 'text')} AS leaf,
+           {_LEAF.format(_ID, "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS changed,
+           list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT) AS octets
+    FROM documents),
+leaves AS MATERIALIZED (
+    SELECT doc_id, source, leaf,
+           CASE WHEN octets IS NOT NULL AND {_crc('octets')} % 5 = 0 THEN changed ELSE leaf END AS now,
+           row_number() OVER () AS r,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           count(*) OVER (PARTITION BY source) AS size
+    FROM hashed, crc_table),
+lower_nodes(source, level, i, d, size) AS (
+    SELECT source, 0, i, leaf, size FROM leaves
+    UNION ALL
+    SELECT source, level + 1, i // 16, sha256(string_agg(d, '' ORDER BY i)), any_value((size + 15) // 16)
+    FROM lower_nodes WHERE size > 1 GROUP BY source, level, i // 16),
+subroots AS MATERIALIZED (
+    SELECT source, d AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS rank,
+           count(*) OVER () AS sources
+    FROM lower_nodes WHERE size = 1),
+upper_nodes(level, i, d, size) AS (
+    SELECT 1000, rank, subroot, sources FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 16, sha256(string_agg(d, '' ORDER BY i)), any_value((size + 15) // 16)
+    FROM upper_nodes WHERE size > 1 GROUP BY level, i // 16),
+nodes AS MATERIALIZED (
+    SELECT rank AS tree, level, n.i, d, size FROM lower_nodes n JOIN subroots s ON n.source IS NOT DISTINCT FROM s.source
+    WHERE size > 1
+    UNION ALL SELECT -1, level, i, d, size FROM upper_nodes WHERE size > 1),
+paths AS MATERIALIZED (  -- where each row's ancestors stand, the subroot in the upper tree included
+    SELECT r, n.tree, n.level, l.i // (16 ** n.level)::BIGINT AS i
+    FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+    JOIN (SELECT DISTINCT tree, level FROM nodes WHERE tree >= 0) n ON n.tree = s.rank
+    UNION ALL
+    SELECT r, n.tree, n.level, s.rank // (16 ** (n.level - 1000))::BIGINT
+    FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source,
+         (SELECT DISTINCT tree, level FROM nodes WHERE tree = -1) n),
+runs AS MATERIALIZED (
+    SELECT p.r, p.level, row_number() OVER (PARTITION BY p.r ORDER BY p.level) AS step,
+           coalesce(string_agg(n.d, '' ORDER BY n.i) FILTER (n.i < p.i), '') AS before,
+           coalesce(string_agg(n.d, '' ORDER BY n.i) FILTER (n.i > p.i), '') AS after
+    FROM paths p JOIN nodes n ON n.tree = p.tree AND n.level = p.level AND n.i // 16 = p.i // 16
+    GROUP BY p.r, p.level),
+folded(r, step, value) AS (
+    SELECT r, 0::BIGINT, now FROM leaves
+    UNION ALL
+    SELECT f.r, u.step, sha256(u.before || f.value || u.after) FROM folded f JOIN runs u ON u.r = f.r AND u.step = f.step + 1),
+proofs AS (SELECT r, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM runs GROUP BY r),
+ends AS (SELECT r, max_by(value, step) AS folded_root FROM folded GROUP BY r)
+SELECT doc_id, leaf, subroot, top.d AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = top.d AS verified
+FROM (SELECT d FROM upper_nodes WHERE size = 1) top, leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN ends USING (r) LEFT JOIN proofs USING (r)
+"""

@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from authweave.llm import (
-    decontaminate, embedding_dedup, html_text, ngram_join, packing, sentencepiece_bpe, spelling, suffix_dedup, topk,
-    toxicity, url_filter, warc,
+    decontaminate, embedding_dedup, html_text, merkle, ngram_join, packing, sentencepiece_bpe, spelling, suffix_dedup,
+    topk, toxicity, url_filter, warc,
 )
-from authweave.llm.oracles import OP11, OP12
+from authweave.llm.oracles import OP11, OP12, OP13
 from authweave.llm.tables import table
 
 RULES = [  # fixed values: host, path, verdict
@@ -75,10 +75,14 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"), least=7, twice=2, every=31, times=10)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"), every=5).drop("n_steps")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_topk, op2_url_filter, op3_toxicity, op4_embedding_dedup, op5_warc, op6_suffix_dedup, op7_ngram_join, op8_packing, op9_html,
-        op10_sentencepiece, op11_decontaminate, op12_spelling,
+        op10_sentencepiece, op11_decontaminate, op12_spelling, op13_merkle,
     ]
     return {query.__name__: query for query in found}
 
@@ -191,5 +195,5 @@ FROM sets LEFT JOIN least ON doc_id = least.a
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": OP1, "op2_url_filter": OP2, "op4_embedding_dedup": OP4, "op5_warc": OP5,
-        "op7_ngram_join": OP7, "op11_decontaminate": OP11, "op12_spelling": OP12,
+        "op7_ngram_join": OP7, "op11_decontaminate": OP11, "op12_spelling": OP12, "op13_merkle": OP13,
     }

@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 13)}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)}
     assert names | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(queries.oracle_sql()) <= names
 
