@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 from authweave.operators import (
     alerts, behavior, clean, context, graph, profile, quality, redteam, staging,
 )
+from authweave.operators.ids import number_rows
 from authweave.plans import adapters, jobs
 from authweave.schemas import (
-    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY,
+    AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY, SECONDS_PER_DAY,
 )
 from authweave.sinks import writers
 from authweave.sources import lines, raw_logs, tables
+from authweave.streaming import clean_stream
 from authweave.workspace import new_path, pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
-_WRITTEN: dict[tuple[str, str], str] = {}
 
 WEEK = 7
 ALL_DAYS = 30
@@ -160,12 +161,16 @@ def process_from_csv(spark, folder):
 
 
 def redteam_malformed_lines(spark, folder):
-    """Number and content of malformed lines of one file, its lines in the order of their text."""
+    """Number and content of malformed lines of a log that is range-sorted into several files.
+
+    A line's number counts on through the files in the order of their names.
+    """
     path = new_path(spark, "redteam-lines")
-    ordered = adapters.redteam_lines(spark, folder).repartition(1).sortWithinPartitions("value")
-    ordered.write.text(path)
-    found = lines.malformed_lines(lines.read_redteam_lines(spark, path))
-    return found.select("line_number", "content")
+    adapters.redteam_lines(spark, folder).orderBy("value").write.text(path)
+    read = lines.read_redteam_lines(spark, path)
+    numbered = number_rows(read, ["file", "source_row"], "line", 1)
+    counted = numbered.withColumn("source_row", F.col("line"))
+    return lines.malformed_lines(counted).select("line_number", "content")
 
 
 def staged_days_report(spark, folder):
@@ -242,13 +247,10 @@ def retention(spark, folder):
 
 
 def _written_table(spark, folder):
-    """The clean table as files, written once for all queries of a session that read it."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _WRITTEN:
-        path = new_path(spark, "auth-clean")
-        writers.write_clean_table(cleaned(spark, folder), path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+    """The clean table as files, written anew for each query that reads it."""
+    path = new_path(spark, "auth-clean")
+    writers.write_clean_table(cleaned(spark, folder), path)
+    return path
 
 
 def validation_checks(spark, folder):
@@ -377,6 +379,30 @@ def redteam_sample(spark, folder):
     return spark.read.schema(schema).options(**raw_logs.CSV_DIALECT).option("header", True).csv(path)
 
 
+# streams
+
+def _streamed(spark, folder, stream):
+    """Runs a stream over the staged files of the later days, and again when the others have come.
+
+    The second run goes on from the checkpoint of the first, several micro-batches each.
+    """
+    root, table, state = (new_path(spark, name) for name in ("staged-parts", "streamed", "stream-state"))
+    rows = staging.staged_rows(auth(spark, folder).select(*AUTH_COLUMNS), ALL_DAYS)
+    late = F.col("time") < ALL_DAYS // 2 * SECONDS_PER_DAY
+    for part, chosen in (("first", ~late), ("late", late)):
+        writers.write_staged_days(rows.filter(chosen), f"{root}/{part}")
+        stream(spark, f"{root}/*/*", table, state, files_per_batch=6).awaitTermination()
+    return table
+
+
+def streamed_clean(spark, folder):
+    return tables.read_clean_table(spark, _streamed(spark, folder, clean_stream.clean_new_files))
+
+
+def streamed_contacts(spark, folder):
+    return clean_stream.read_contacts(spark, _streamed(spark, folder, clean_stream.watch_contacts))
+
+
 # behaviour, graph, alerts
 
 def days_of(spark, folder):
@@ -521,6 +547,8 @@ def queries() -> dict[str, Query]:
         "day_replacement": day_replacement,
         "size_per_day": size_per_day,
         "redteam_sample": redteam_sample,
+        "streamed_clean": streamed_clean,
+        "streamed_contacts": streamed_contacts,
         "user_activity": activity,
         "user_host_history": _on(days_of, behavior.user_host_history),
         "unique_hosts": _on(days_of, behavior.unique_hosts),

@@ -479,6 +479,10 @@ SELECT day_index, count(*) AS rows FROM auth_clean
 WHERE day_index >= 7 OR is_failure = 1 AND day_index <> 3 GROUP BY 1"""),
         "redteam_sample": _sql("red", """
 SELECT time, user, src_computer, dst_computer FROM red WHERE redteam_id <= 20"""),
+        "streamed_clean": _sql("auth_clean", f"SELECT * FROM auth_clean WHERE time < {ALL_SECONDS}"),
+        "streamed_contacts": _sql("auth_clean", f"""
+SELECT src_user, dst_computer, min(time) AS first_time, min(day_index) AS first_day
+FROM auth_clean WHERE time < {ALL_SECONDS} GROUP BY 1, 2"""),
         "user_activity": _all("activity"),
         "user_host_history": _sql("days", """
 SELECT src_user, dst_computer, day_index, auth_count,

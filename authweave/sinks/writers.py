@@ -1,11 +1,15 @@
 """Writers. Existing output is kept unless `overwrite` is asked for."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.functions.clock import day_index, floor_div
 from authweave.schemas import MISSING_MARK, SECONDS_PER_HOUR
-from authweave.sources.tables import list_day_files
+from authweave.sources.tables import BATCH, list_day_files
+
+REPLACED = "replaced"
 
 
 def _mode(overwrite: bool) -> str:
@@ -61,20 +65,29 @@ def replace_days(
 ) -> None:
     """Rewrite the listed days with their rows in `clean`; other days stay.
 
-    Rows of other days are left out; a listed day without rows loses its folder.
+    Rows of other days are left out; a listed day without rows loses its folder. In a table
+    that a stream writes, the new rows are one more batch of their days, and the batches before
+    go; a call that fails between the two is put right by calling it again.
     """
     old = _paths_by_day(clean.sparkSession, path, days)
     chosen = clean.filter(F.col("day_index").isin(days))
-    (
-        _per_day(chosen).write.mode("overwrite").partitionBy("day_index")
-        .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    streamed = BATCH in clean.sparkSession.read.parquet(path).columns
+    if streamed:
+        commit_batch(chosen, path, f"{REPLACED}-{uuid.uuid4().hex}", rows_per_file)
+    else:
+        (
+            _per_day(chosen).write.mode("overwrite").partitionBy("day_index")
+            .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
     new = _paths_by_day(clean.sparkSession, path, days)
-    for day in days:
-        if day in old and new.get(day) == old[day]:  # nothing was written there
+    for day, before in old.items():
+        if new[day] == before:  # nothing was written there
             _remove(clean.sparkSession, f"{path}/day_index={day}")
+        elif streamed:
+            for folder in {file.rsplit("/", 1)[0] for file in before}:
+                _remove(clean.sparkSession, folder)
 
 
 def _paths_by_day(spark: SparkSession, path: str, days: list[int]) -> dict[int, set[str]]:
@@ -88,11 +101,20 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def append_days(clean: DataFrame, path: str, rows_per_file: int = 20_000_000) -> None:
-    """Adds rows to their days, in the layout of `write_clean_table`."""
+def commit_batch(
+    clean: DataFrame, path: str, batch: str, rows_per_file: int = 20_000_000
+) -> None:
+    """Adds the rows of one batch to their days, in a folder that bears the batch's name.
+
+    Only the folders of this batch are overwritten, so writing a batch twice leaves it there
+    once. It must hold the same rows each time, as a batch of a stream does: its input is fixed in
+    the checkpoint before it runs.
+    """
     (
-        _per_day(clean).write.mode("append").partitionBy("day_index")
+        _per_day(clean).withColumn(BATCH, F.lit(batch))
+        .write.mode("overwrite").partitionBy("day_index", BATCH)
         .option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
+        .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
 

@@ -6,10 +6,15 @@ from pyspark.sql import functions as F
 
 from authweave.schemas import CLEAN_COLUMNS
 
+BATCH = "batch"  # second partition column of tables that a stream writes
+
 
 def read_clean_table(spark: SparkSession, root: str, days: int | None = None) -> DataFrame:
-    """All days as one table, columns in their fixed order; `days` prunes partitions."""
-    table = spark.read.parquet(root)
+    """All days as one table, columns in their fixed order; `days` prunes partitions.
+
+    The batches of a table that a stream writes are not told apart.
+    """
+    table = spark.read.parquet(root).drop(BATCH)
     if days is not None:
         table = table.filter(F.col("day_index").between(0, days - 1))
     known = [name for name in CLEAN_COLUMNS if name in table.columns]

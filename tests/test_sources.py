@@ -55,7 +55,9 @@ def test_redteam_lines(spark, tmp_path):
     read = lines.read_redteam_lines(spark, written(tmp_path / "red.csv.gz", REDTEAM))
     bad = {row.line_number: row.content for row in lines.malformed_lines(read).collect()}
     assert bad == {2: "20,u1,c1", 3: "", 5: "40,u3,c1,c2,y"}
-    valid = [tuple(row) for row in lines.valid_lines(read).orderBy("source_row").collect()]
+    found = lines.valid_lines(read).orderBy("source_row").collect()
+    assert {row.file.rsplit("/", 1)[1] for row in found} == {"red.csv.gz"}
+    valid = [(row.source_row, row.time, row.user, row.src_computer, row.dst_computer) for row in found]
     assert valid == [(1, 10, "u1", "c1", "c2"), (4, None, "u2", "c1", "c3"), (6, 50, "u4", "c2", "c2")]
 
 
