@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.operators import (
-    alerts, behavior, clean, context, graph, profile, quality, redteam, staging,
+    alerts, behavior, clean, context, drift, graph, profile, quality, redteam, staging,
 )
 from authweave.operators.ids import number_rows
 from authweave.plans import adapters, jobs
@@ -557,6 +557,15 @@ def queries() -> dict[str, Query]:
         "cross_host_activity": _on(activity, behavior.cross_host_activity),
         "login_hours": _on(cleaned, behavior.login_hours),
         "baselines": _on(activity, behavior.baselines),
+        "hour_drift": lambda spark, folder: drift.hour_drift(drift.hour_histograms(cleaned(spark, folder))),
+        "robust_baselines": lambda spark, folder: drift.robust_baselines(
+            drift.daily_sketches(cleaned(spark, folder))
+        ),
+        "exact_baselines": _on(cleaned, drift.exact_baselines),
+        "trailing_hosts": _on(days_of, drift.trailing_hosts),
+        "trailing_hosts_estimated": lambda spark, folder: drift.trailing_hosts_estimated(
+            drift.host_sketches(days_of(spark, folder))
+        ),
         "redteam_labels": lambda spark, folder: graph.label_rows(
             cleaned_keys(spark, folder), pinned_attacks(spark, folder)
         ),

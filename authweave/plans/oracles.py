@@ -128,6 +128,9 @@ SELECT src_user, dst_computer, day_index, count(*) AS auth_count,
   CAST(sum(cross_host) AS BIGINT) AS cross_host_count,
   min(time) AS first_time, max(time) AS last_time
 FROM auth_clean GROUP BY 1, 2, 3"""),
+    "logon": (["auth_clean"], "SELECT src_user, day_index, hour FROM auth_clean WHERE is_logon = 1"),
+    "daily": (["auth_clean"], """
+SELECT src_user, day_index, list(CAST(second_of_day AS BIGINT) ORDER BY second_of_day) AS v FROM auth_clean GROUP BY 1, 2"""),
     "edge": (["auth_clean"], """
 SELECT src_user, dst_computer, count(*) AS auth_count,
   count(*) FILTER (WHERE is_failure = 1) AS failed_count,
@@ -306,6 +309,44 @@ FROM red r JOIN auth_raw a ON a.time = r.time AND a.src_user = r.user
   AND a.src_computer = r.src_computer AND a.dst_computer = r.dst_computer"""
 
 
+HOUR_DRIFT = """
+SELECT src_user, day_index, CAST(sum(a) AS BIGINT) AS logons, CAST(count(*) FILTER (WHERE a > 0) AS INT) AS active_hours,
+  round(sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0 END), 6) AS entropy,
+  CAST(coalesce(sum(b), 0) AS BIGINT) AS baseline_logons,
+  CASE WHEN sum(b) > 0 THEN round(sqrt(greatest(sum(CASE WHEN p + q > 0 THEN -(p + q) / 2 * log2((p + q) / 2) ELSE 0 END)
+    - (sum(CASE WHEN p > 0 THEN -p * log2(p) ELSE 0 END) + sum(CASE WHEN q > 0 THEN -q * log2(q) ELSE 0 END)) / 2, 0)), 6)
+  END AS js_distance
+FROM (SELECT *, a / sum(a) OVER u AS p, b / sum(b) OVER u AS q
+      FROM (SELECT d.src_user, d.day_index, h.hour,
+              (SELECT count(*) FROM logon l WHERE l.src_user = d.src_user AND l.day_index = d.day_index AND l.hour = h.hour) AS a,
+              (SELECT count(*) FROM logon l WHERE l.src_user = d.src_user
+                AND l.day_index BETWEEN d.day_index - 7 AND d.day_index - 1 AND l.hour = h.hour) AS b
+            FROM (SELECT DISTINCT src_user, day_index FROM logon) d, range(0, 24) h(hour)) c
+      WINDOW u AS (PARTITION BY src_user, day_index)) s
+GROUP BY 1, 2"""
+
+# A quantile is the value at place ceil(rank * n) of the sorted values.
+ROBUST = """
+SELECT src_user, day_index, n, m[1] AS median, CAST(coalesce(len(b), 0) AS BIGINT) AS baseline_n,
+  b[CAST(ceil(0.25 * len(b)) AS INT)] AS baseline_p25, b[CAST(ceil(0.5 * len(b)) AS INT)] AS baseline_median,
+  b[CAST(ceil(0.75 * len(b)) AS INT)] AS baseline_p75,
+  b[CAST(ceil(0.75 * len(b)) AS INT)] - b[CAST(ceil(0.25 * len(b)) AS INT)] AS baseline_spread,
+  round(CAST(m[1] - b[CAST(ceil(0.5 * len(b)) AS INT)] AS DOUBLE)
+    / nullif(b[CAST(ceil(0.75 * len(b)) AS INT)] - b[CAST(ceil(0.25 * len(b)) AS INT)], 0), 6) AS deviation,
+  true AS exact
+FROM (SELECT o.src_user, o.day_index, len(o.v) AS n, o.v[CAST(ceil(0.5 * len(o.v)) AS INT):] AS m,
+        list_sort(flatten(list(e.v) FILTER (WHERE e.v IS NOT NULL))) AS b
+      FROM daily o LEFT JOIN daily e ON e.src_user = o.src_user AND e.day_index BETWEEN o.day_index - 7 AND o.day_index - 1
+      GROUP BY o.src_user, o.day_index, o.v) q"""
+
+TRAILING = """
+SELECT d.src_user, d.day_index, count(DISTINCT e.dst_computer) FILTER (WHERE e.day_index = d.day_index) AS hosts,
+  count(DISTINCT e.dst_computer) AS trailing_hosts
+FROM (SELECT DISTINCT src_user, day_index FROM days) d
+JOIN days e ON e.src_user = d.src_user AND e.day_index BETWEEN d.day_index - 6 AND d.day_index
+GROUP BY 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "daily_overview": _sql("auth_clean", """
@@ -515,6 +556,11 @@ FROM (SELECT *, CAST(total AS DOUBLE) / nullif(n, 0) AS mean,
               CAST(sum(auth_count * auth_count) OVER w AS HUGEINT) AS squares
             FROM activity WINDOW w AS (PARTITION BY src_user ORDER BY day_index
               RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING)) s) d"""),
+        "hour_drift": _sql("logon", HOUR_DRIFT),
+        "robust_baselines": _sql("daily", ROBUST),
+        "exact_baselines": _sql("daily", ROBUST),
+        "trailing_hosts": _sql("days", TRAILING),
+        "trailing_hosts_estimated": _sql("days", TRAILING),
         "redteam_labels": _sql("red_norm auth_clean", """
 SELECT time, src_user, src_computer, dst_computer,
   CAST((time, src_user, src_computer, dst_computer) IN
