@@ -6,13 +6,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from authweave.llm.components import components
 from authweave.llm.filters import filter_of, held
-from authweave.llm.rolling import LOWERED, SPACES, Spans, chunks, mix, texts_of
-from authweave.llm.tables import again, forget, stored
+from authweave.llm.rolling import SPACES, chunks, mix, texts_of, word_hashes
+from authweave.llm.tables import again, forget, small_batches, stored
 
 CHUNK = 1 << 18  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
@@ -22,8 +22,9 @@ PAIRS_HELD = 300_000  # pairs a task looks at, at once
 BLOCK = 1000  # entries of a long posting list that are joined with as many others at once, about
 HOT = 16  # level of frequency from which a posting list is dealt to several parts of the index
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
-COSTS = (64, 1024)  # estimated candidates from which one more and two more matches are asked
-TAKEN = 6  # bytes of each token's hash that are compared in the verification
+COSTS = (64, 1024, 1 << 17, 1 << 24, 1 << 31)  # estimated candidates from each of which one more match is asked
+MEMBERS = 2000  # sets that one copy of a center's set is compared with
+GROWTH = 8  # times as many partners of a set are tried in the next round
 
 
 class Shingles:
@@ -37,7 +38,7 @@ class Shingles:
         ends = np.flatnonzero(space & ~before)
         bounds = np.cumsum([len(t) + 1 for t in texts])
         doc = np.searchsorted(bounds, starts, side="right")
-        word = Spans(raw, LOWERED).of(starts, ends)
+        word = word_hashes(raw, starts, ends)
         count = np.bincount(doc, minlength=len(texts))
         left = np.cumsum(count)[doc] - np.arange(len(doc))  # words from here to the text's end
         first = left == count[doc]
@@ -57,10 +58,20 @@ class Shingles:
         self.doc, self.token = doc[new], token[new]
         self.size = np.bincount(self.doc, minlength=len(texts))
         self.start = np.cumsum(self.size) - self.size
-        #: names of the sets: sums of mixed tokens do not depend on their order
+        #: two names of the sets
+        self.name, self.second = self._names(0xA5A5A5A5A5A5A5A5), self._names(0x3C6EF372FE94F82B)
+
+    def _names(self, salt: int) -> np.ndarray:
+        """Sums of mixed tokens, which do not depend on their order."""
         sums = np.zeros(len(self.doc) + 1, np.uint64)
-        np.cumsum(mix(self.token ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=sums[1:])
-        self.name = mix(sums[self.start + self.size] - sums[self.start] + self.size.astype(np.uint64))
+        np.cumsum(mix(self.token ^ np.uint64(salt)), out=sums[1:])
+        return mix(sums[self.start + self.size] - sums[self.start] + self.size.astype(np.uint64))
+
+    def nodes(self, shared: np.ndarray, bits: int) -> np.ndarray:
+        """One number per set: `bits` of the first name or, where other sets have that too, of both."""
+        name = self.name >> np.uint64(64 - bits)
+        both = mix(name ^ mix(self.second))
+        return np.where(np.isin(name, shared), both, name).view(np.int64)
 
 
 def _runs(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, Shingles]]:
@@ -68,14 +79,15 @@ def _runs(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, Shingles]]:
         yield first, Shingles(run, words)
 
 
-def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
-    """A row per document (doc_id, name of its set, n), and rows (part, counts) of how often the
+def names_and_counts(documents: DataFrame, words: int, bits: int) -> DataFrame:
+    """A row per document (doc_id, names of its set, n), and rows (part, counts) of how often the
     tokens of a task's documents fell on each counter: all of them, or place and number."""
 
     schema = pa.schema([
-        ("doc_id", pa.string()), ("node", pa.int64()), ("n", pa.int64()), ("part", pa.int64()),
-        ("counts", pa.binary()),
+        ("doc_id", pa.string()), ("node", pa.int64()), ("second", pa.int64()), ("n", pa.int64()),
+        ("part", pa.int64()), ("counts", pa.binary()),
     ])
+    none = np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.uint32)
@@ -86,8 +98,8 @@ def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
                 np.add.at(counts, slots, 1)
                 size = len(made.size)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, size), pa.array(made.name.view(np.int64)),
-                    pa.array(made.size.astype(np.int64)), pa.nulls(size, pa.int64()),
+                    ids.slice(first, size), pa.array(made.nodes(none, bits)),
+                    pa.array(made.second.view(np.int64)), pa.array(made.size.astype(np.int64)), pa.nulls(size, pa.int64()),
                     pa.nulls(size, pa.binary()),
                 ], schema=schema)
         for part in range(COUNTERS // PART):
@@ -97,13 +109,35 @@ def names_and_counts(documents: DataFrame, words: int) -> DataFrame:
                 continue
             if len(some) < PART // 2:
                 here = np.stack([some.astype(np.uint32), here[some]])
-            row = {"doc_id": [None], "node": [None], "n": [None], "part": [part], "counts": [here.tobytes()]}
+            row = dict.fromkeys(("doc_id", "node", "second", "n"), [None])
+            row |= {"part": [part], "counts": [here.tobytes()]}
             yield pa.RecordBatch.from_pydict(row, schema=schema)
 
-    columns = "doc_id string, node long, n long, part long, counts binary"
+    columns = "doc_id string, node long, second long, n long, part long, counts binary"
     return stored(_texts(documents).mapInArrow(run, columns), "shingle-names")
 
 
+def shared_names(rows: DataFrame) -> np.ndarray:
+    """First names that different sets have: with 64 bits some 70 in 5e10 sets, so they are few."""
+    found = rows.groupBy("node").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+    names = found.where("least != most").select("node").toPandas()["node"]
+    return np.sort(names.to_numpy(np.int64).view(np.uint64))
+
+
+def renamed(rows: DataFrame, shared: np.ndarray) -> DataFrame:
+    """The rows (doc_id, node, n) with names that no two different sets have."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            name, second = (frame[c].to_numpy(np.int64).view(np.uint64) for c in ("node", "second"))
+            node = np.where(np.isin(name, shared), mix(name ^ mix(second)), name).view(np.int64)
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "node": node, "n": frame["n"]})
+
+    if not len(shared):
+        return rows.select("doc_id", "node", "n")
+    return rows.mapInPandas(run, "doc_id string, node long, n long")
+
+
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
@@ -158,7 +192,7 @@ def prefixes(made: Shingles, levels: np.ndarray, percent: int) -> tuple[np.ndarr
     expected = np.where(level[order] > noise + 1, np.exp2(level[order].astype(float)), 0)
     inside = rank < np.repeat(n - asked + 1, n)
     cost = np.bincount(doc, weights=np.where(inside, expected, 0), minlength=len(n))
-    matches = 1 + (cost >= COSTS[0]).astype(np.int64) + (cost >= COSTS[1])
+    matches = 1 + np.searchsorted(COSTS, cost, side="right")
     matches = np.minimum(matches, np.maximum(asked, 1))
     kept = rank < np.repeat(n - asked + matches, n)
     return order[kept], matches
@@ -174,7 +208,7 @@ def salts(token: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.left_shift(1, np.clip(level - HOT, 0, 20))
 
 
-def index_entries(documents: DataFrame, levels, words: int, percent: int, parts: int) -> DataFrame:
+def index_entries(documents: DataFrame, levels, words: int, percent: int, parts: int, shared, bits: int) -> DataFrame:
     """(part, entries): the prefix tokens of each distinct set of a task, by part of the index."""
 
     schema = pa.schema([("part", pa.int64()), ("entries", pa.binary())])
@@ -198,8 +232,8 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
                 places, matches = prefixes(made, levels.value, percent)
                 number = np.bincount(made.doc[places], minlength=len(made.size))
                 at = np.arange(len(places)) - np.repeat(np.cumsum(number) - number, number)
-                fresh = np.zeros(len(made.size), bool)
-                for k, name in enumerate(made.name.tolist()):
+                fresh, nodes = np.zeros(len(made.size), bool), made.nodes(shared, bits)
+                for k, name in enumerate(nodes.tolist()):
                     if name not in seen:
                         fresh[k] = True
                         seen.add(name)
@@ -209,7 +243,7 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
                 places, at = places[kept], at[kept]
                 doc = made.doc[places]
                 entries = np.empty(len(places), ENTRY)
-                entries["token"], entries["node"] = made.token[places], made.name.view(np.int64)[doc]
+                entries["token"], entries["node"] = made.token[places], nodes[doc]
                 entries["n"], entries["m"], entries["at"] = made.size[doc], matches[doc], at
                 waiting.append(entries)
                 size += len(entries)
@@ -444,10 +478,10 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+def token_sets(documents: DataFrame, pairs: DataFrame, words: int, shared, bits: int) -> DataFrame:
     """(node, tokens) of the sets that pairs name; the fixed-size filter lets few others pass."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    bits = documents.sparkSession.sparkContext.broadcast(filter_of(nodes, "node"))
+    passing = documents.sparkSession.sparkContext.broadcast(filter_of(nodes, "node"))
 
     schema = pa.schema([("node", pa.int64()), ("tokens", pa.binary())])
 
@@ -455,15 +489,14 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for _, made in _runs(batch, words):
-                names = made.name.view(np.int64)
+                names = made.nodes(shared, bits)
                 nodes, sets = [], []
-                for k in np.flatnonzero(held(bits.value, names)):
+                for k in np.flatnonzero(held(passing.value, names)):
                     if int(names[k]) in seen:
                         continue
                     seen.add(int(names[k]))
-                    tokens = made.token[made.start[k]:made.start[k] + made.size[k]] >> np.uint64(64 - 8 * TAKEN)
                     nodes.append(int(names[k]))
-                    sets.append(tokens.view(np.uint8).reshape(-1, 8)[:, :TAKEN].tobytes())
+                    sets.append(made.token[made.start[k]:made.start[k] + made.size[k]].tobytes())
                 if len(seen) > 200_000:
                     seen.clear()
                 yield pa.RecordBatch.from_pydict({"node": nodes, "tokens": sets}, schema=schema)
@@ -472,47 +505,101 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     return kept.dropDuplicates(["node"])
 
 
-def overlap(one: bytes, two: bytes) -> tuple[int, int, int]:
-    """Sizes of two token sets and of their intersection."""
-    made = []
-    for raw in (one, two):
-        part = np.zeros((len(raw) // TAKEN, 8), np.uint8)
-        part[:, :TAKEN] = np.frombuffer(raw, np.uint8).reshape(-1, TAKEN)
-        made.append(part.view(np.uint64).ravel())
-    a, b = made
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Tokens that two sorted sets share."""
     if len(a) > len(b):
         a, b = b, a
     at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
-    return len(made[0]), len(made[1]), int((b[at] == a).sum()) if len(b) else 0
+    return int((b[at] == a).sum()) if len(b) else 0
+
 
+def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole token sets are similar enough.
 
-def verified(documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole token sets are similar enough."""
+    The set of b is sent to that of a; an a with many partners is sent to them in copies, for
+    MEMBERS partners each. A task holds one set of an a at a time. The pairs are stored.
+    """
+    counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).alias("copies"))
+    members = again(pairs).select("a", "b").join(counted, "a").select(
+        F.col("b").alias("node"), F.col("a").alias("center"),
+        F.pmod(F.xxhash64("b"), F.col("copies")).alias("copy"), F.lit(False).alias("leads"),
+    )
+    leads = counted.select(
+        F.col("a").alias("node"), F.col("a").alias("center"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(True).alias("leads"),
+    )
+    routes = stored(members.unionByName(leads), "routes")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center, lead = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep = []
-            for one, two in zip(texts_of(batch, "tokens_a"), texts_of(batch, "tokens_b"), strict=True):
-                n, m, both = overlap(one, two)
-                keep.append(100 * both >= percent * (n + m - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    sets = stored(token_sets(documents, pairs, words), "token-sets")
-    left = sets.withColumnsRenamed({"node": "a", "tokens": "tokens_a"})
-    right = again(sets).withColumnsRenamed({"node": "b", "tokens": "tokens_b"})
-    both = pairs.join(left, "a").join(right, "b")
-    links = stored(both.mapInArrow(similar, "a long, b long"), "similar")
-    forget(sets)
-    return links
-
-
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+            found = []
+            columns = [batch.column(name).to_pylist() for name in ("center", "leads", "node")]
+            for at, leads, node, raw in zip(*columns, texts_of(batch, "tokens"), strict=True):
+                tokens = np.frombuffer(raw, np.uint64)
+                if leads:
+                    center, lead = at, tokens.copy()
+                elif center == at:  # always: a center's set comes before its partners'
+                    both = overlap(lead, tokens)
+                    if 100 * both >= percent * (len(lead) + len(tokens) - both):
+                        found.append((at, node))
+            yield pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=links)
+
+    links = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    parts = max(12, -(-routes.count() // (10 * MEMBERS)))
+    sent = (
+        sets.join(routes, "node").repartition(parts, "center", "copy")
+        .sortWithinPartitions("center", "copy", F.desc("leads"))
+    )
+    return stored(sent.mapInArrow(similar, "a long, b long"), "similar")
+
+
+def _components_of(pairs: DataFrame, reached: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not connected, with the components of both."""
+    for side in ("a", "b"):
+        names = again(reached).withColumnsRenamed({"id": side, "component": f"of_{side}"})
+        pairs = pairs.join(names, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    return pairs.where("of_a != of_b")
+
+
+def connect(documents: DataFrame, pairs: DataFrame, reached: DataFrame, words: int, percent: int, shared, bits: int) -> DataFrame:
+    """Verifies the pairs until none is left whose sets are not connected: (id, component).
+
+    A round tries some partners of each set, GROWTH times as many as the last one, and
+    what it connects is not compared any more: a large group is connected by few links before
+    all its pairs come up. Links are kept between components, once each.
+    """
+    sets, tried = None, 1
+    left = stored(_components_of(pairs, reached), "open")
+    while left.limit(1).count():
+        if sets is None:
+            sets = stored(token_sets(documents, left, words, shared, bits), "token-sets")
+        place = F.row_number().over(Window.partitionBy("b").orderBy("a"))
+        ranked = stored(left.withColumn("place", place), "ranked")
+        forget(left)
+        chosen = stored(ranked.where(F.col("place") <= tried).drop("place"), "chosen")
+        links = verified(sets, chosen, percent)
+        if links.limit(1).count():
+            between = again(chosen).join(links, ["a", "b"]).select("of_a", "of_b").distinct()
+            known = reached.select(F.col("id").alias("of_a"), F.col("component").alias("of_b"))
+            reached = stored(components(known.unionByName(between), "of_a", "of_b"), "reached")
+        rest = again(ranked).where(F.col("place") > tried).select("a", "b")
+        left = stored(_components_of(rest, reached), "open")
+        forget(ranked, chosen)
+        tried *= GROWTH
+    if sets is not None:
+        forget(sets)
+    return reached
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, name_bits: int = 64) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of documents (doc_id, text).
 
     A set holds the distinct runs of `words` words (A-Z lower-cased, split at ASCII white
     space); a text of fewer words is one run, one without words has an empty set. Sets link
     when their Jaccard similarity is at least `percent` %. Equal sets are one set from the
-    start. Tokens are 64-bit hashes; sets are compared by 48 bits of them.
+    start: those whose tokens, 64-bit hashes, give the same two names of 64 bits. Sets that
+    share only the first name (`name_bits` of it, fewer for tests alone) get a new one from both.
 
     1. One pass names the sets and counts tokens in a table of fixed size.
     2. One pass sends the prefix tokens of each set to the parts of an index. Lists of up to
@@ -523,17 +610,22 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
        documents asks. Each set is first verified against its smallest candidate partner and
        its commonest star center; what that connects needs no further comparison.
     4. All other candidates that are not connected, those of the long lists included, which are
-       joined in blocks, are then verified. No partner is dropped for the length of a list.
+       joined in blocks, are then verified in rounds. No partner is dropped for the length of a
+       list.
 
     Null texts are empty, rows without an id link with nothing and have a null component,
-    repeated rows stay repeated, other columns are not looked at.
+    repeated rows stay repeated, an empty table gives no rows, other columns, whatever their names,
+    are not looked at. A very long text is hashed at once, which takes some 50 times its size.
     """
-    named = names_and_counts(documents, words)
-    rows = named.where("part is null").select(F.col("doc_id").cast("long").alias("doc_id"), "node", "n")
+    small_batches(documents.sparkSession)
+    named = names_and_counts(documents, words, name_bits)
+    rows = named.where("part is null")
+    shared = shared_names(rows)
+    rows = renamed(rows, shared).withColumn("doc_id", F.col("doc_id").cast("long"))
     total = rows.agg(F.sum("n")).first()[0] or 0
     levels = documents.sparkSession.sparkContext.broadcast(frequency_levels(named))
     parts = max(12, -(-total * (104 - percent) // 100 // ENTRIES))
-    index = index_entries(documents, levels, words, percent, parts).repartition(parts, "part")
+    index = index_entries(documents, levels, words, percent, parts, shared, name_bits).repartition(parts, "part")
     found = candidates(index, levels, percent)
     pairs = stored(
         found.where("shared is not null").groupBy("a", "b")
@@ -551,24 +643,15 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75) ->
         .groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b")
     )
     first = stored(nearest.union(stars).distinct(), "first-pairs")
-    links = verified(documents, first, words, percent)
+    links = verified(token_sets(documents, first, words, shared, name_bits), first, percent)
     reached = stored(components(links, "a", "b"), "reached")
 
     long = found.where("entries is not null").select("part", "entries")
     more = crossing(long, reached, percent) if long.limit(1).count() else None
     counted = again(pairs) if more is None else again(pairs).unionByName(more)
     counted = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("asked").alias("asked"))
-    rest = counted.where("shared >= asked").select("a", "b")
-    for side in ("a", "b"):
-        names = again(reached).withColumnsRenamed({"id": side, "component": f"of_{side}"})
-        rest = rest.join(names, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
-    tried = again(first)
-    rest = stored(
-        rest.where("of_a != of_b").select("a", "b").join(tried, ["a", "b"], "left_anti"), "rest-pairs"
-    )
-    if rest.limit(1).count():
-        late = verified(documents, rest, words, percent)
-        reached = stored(components(links.unionByName(late), "a", "b"), "reached")
+    rest = counted.where("shared >= asked").select("a", "b").join(again(first), ["a", "b"], "left_anti")
+    reached = connect(documents, rest, reached, words, percent, shared, name_bits)
 
     known = rows.where("doc_id is not null and n > 0")
     least = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"))

@@ -17,10 +17,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: A number for each byte value, the same for A-Z and a-z in the second table.
-VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
-LOWERED = VALUES.copy()
-LOWERED[65:91] = VALUES[97:123]
+VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))  # a number for each byte value
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,10 +45,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Spans:
     """Hashes of spans [start, end) of a buffer; equal bytes have equal hashes wherever they are."""
 
-    def __init__(self, raw: np.ndarray, values: np.ndarray = VALUES):
+    def __init__(self, raw: np.ndarray):
         self.power, self.inverse = powers(len(raw))
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(values[raw] * self.power[:len(raw)], out=self.sums[1:])
+        np.cumsum(VALUES[raw] * self.power[:len(raw)], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
@@ -64,6 +61,31 @@ class Spans:
         return mix((self.sums[size:] - self.sums[:count]) * self.inverse[:count])
 
 
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] = np.arange(97, 123)
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words [start, end) of a buffer, none of them empty; A-Z count as a-z.
+
+    A word's blocks of eight bytes are spread with their place in the word before they are
+    added up, so no algebra of the bytes makes two words alike, as it does for a polynomial.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([_LOWER[raw], np.zeros(8, np.uint8)])
+    blocks = (end - start + 7) // 8
+    first = np.cumsum(blocks) - blocks
+    word = np.repeat(np.arange(len(start)), blocks)
+    place = np.arange(len(word)) - first[word]
+    at = start[word] + 8 * place
+    value = np.lib.stride_tricks.sliding_window_view(padded, 8)[at].view("<u8").ravel()
+    value = value & _MASKS[np.minimum(end[word] - at, 8)]
+    spread = mix(mix(value + np.uint64(BASE)) + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+    return mix(np.add.reduceat(spread, first) + (end - start).astype(np.uint64))
+
+
 def texts_of(batch, name: str) -> list:
     """The UTF-8 bytes of a string column without nulls, as views into the batch's buffer."""
     column = batch.column(name)

@@ -9,6 +9,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Bounds the bytes of a batch that goes to Python, where the session has no lower bound."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now <= 0 or now > size:
+        spark.conf.set(name, str(size))
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The rows written once under the shared folder: they survive lost executors and are
     the same, in the same order, however often they are read."""

@@ -132,3 +132,33 @@ def test_template_documents_in_long_lists(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
     rows = list(enumerate(template(20, 50) + template(9, 40)))
     assert run(spark, rows) == by_hand(rows)
+
+
+def test_mirrored_words_are_different(spark):
+    """Words on which any polynomial hash modulo 2^64 collides."""
+    one, other = "a", "b"
+    for _ in range(11):
+        one, other = one + other, other + one
+    rows = [(1, one), (2, other), (3, f"{one} x y z w v"), (4, f"{other} x y z w v"), (5, one.upper())]
+    assert run(spark, rows) == by_hand(rows)
+
+
+def test_sets_with_one_first_name_stay_apart(spark):
+    rows = list(enumerate(EDGES + corpus(7, 60, 4)))
+    frame = spark.createDataFrame([(k, t) for k, t in rows], "doc_id long, text string")
+    found = ngram_join.near_duplicates(frame, name_bits=5).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found), key=str) == by_hand(rows)
+
+
+def test_a_large_group_of_near_copies(spark):
+    """All pairs of the group are similar; few of them are needed to connect it."""
+    random.seed(11)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(150):
+        text = list(base)
+        for _ in range(3):
+            text[random.randrange(120)] = f"x{random.randrange(10**6)}"
+        texts.append(" ".join(text))
+    rows = list(enumerate(texts + template(20, 40)))
+    assert run(spark, rows) == by_hand(rows)
