@@ -53,6 +53,7 @@ IMPLIED = {
 BUTTONS = frozenset("submit reset button".split())
 SILENT = frozenset("hidden checkbox radio file image color range password".split())
 
+UNFINISHED = re.compile(r"<(?:[A-Za-z!?]|/.)", re.S)
 MARKUP = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|</[^a-zA-Z>][^>]*+>|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[=\"'])*+)>",
@@ -182,8 +183,8 @@ class Tree:
                     self._text(inside)
                 if self.open[-1] is node:
                     self.open.pop()
-        cut = page.find("<!--", at)  # a comment that the page's end leaves open
-        self._text(page[at:cut] if cut >= 0 else page[at:])
+        cut = UNFINISHED.search(page, at)  # a tag or comment that the page's end leaves open
+        self._text(page[at:cut.start()] if cut else page[at:])
 
 
 def hiding_rules(styles: list[str]) -> dict[tuple[str, str, str], str]:
