@@ -206,14 +206,17 @@ class ToxicityModel:
         self.entries, self.trees, self.curve, self.base = entries, trees, curve, base
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """Adds score, between 0 and 1; a null text is scored as an empty one."""
+        """Adds score, between 0 and 1; a null text is scored as an empty one.
+
+        A row's own columns travel in one struct, so none of them meets a column of the models.
+        """
+        rows = rows.drop("score")
         if self.trees is None:
             return rows.withColumn("score", F.lit(self.base))
         margin = vector_to_array("rawPrediction")[1]
-        judged = self.trees.transform(with_features(rows.drop("score"), self.entries))
+        judged = self.trees.transform(with_features(rows.select(F.struct("*").alias("_row"), "text"), self.entries))
         judged = self.curve.transform(judged.withColumn("_margin", margin))
-        made = ("_features", "_margin", "rawPrediction", "probability", "prediction", "_score")
-        return judged.withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_score"))).drop(*made)
+        return judged.select("_row.*", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "_score")).alias("score"))
 
 
 def fit(labelled: DataFrame) -> ToxicityModel:
@@ -279,8 +282,9 @@ def judge(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
 
     Every row is scored over its whole text, in one pass without a shuffle. Null and empty
     texts are scored as empty, rows without an id are not held out, repeated rows stay
-    repeated, and columns of these three names are replaced. Without labels of both kinds the
-    score is the share of toxic ones (0 without any).
+    repeated, and columns of these three names are replaced; any other column is kept, whatever
+    its name. Without labels of both kinds the score is the share of toxic ones (0 without
+    any); an empty table of documents gives no rows. A text of any length is scored whole.
     """
     rows = documents.drop("held_out", "score", "predicted")
     held = F.coalesce(part_of(F.col("doc_id")) == 2, F.lit(False))

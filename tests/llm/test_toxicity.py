@@ -1,6 +1,7 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
 from authweave.llm import queries, toxicity
 from authweave.llm.tables import table
 
@@ -67,6 +68,19 @@ def test_held_out_labels_change_nothing(spark):
     assert one == two
 
 
+def test_any_column_name_may_come(spark):
+    docs, labels = corpus(300)
+    frame, marks = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    names = ["prediction", "probability", "rawPrediction", "_features", "_margin", "_score", "_row", "a.b"]
+    wide = frame.select("*", *[F.lit(k).alias(name) for k, name in enumerate(names)])
+    plain = {r.doc_id: r.score for r in toxicity.judge(frame, marks).collect()}
+    found = toxicity.judge(wide, marks)
+    made = ["score", "held_out", "predicted"]
+    assert found.columns == [*[name for name in wide.columns if name not in made], *made]
+    for row in found.collect():
+        assert [row[name] for name in names] == list(range(len(names))) and row.score == plain[row.doc_id]
+
+
 def test_without_labels(spark):
     docs, labels = corpus(20)
     frame = spark.createDataFrame(docs, DOCS)
