@@ -59,6 +59,22 @@ def integrity_report(clean: DataFrame, days: int) -> DataFrame:
     return clean.agg(*_measures(days))
 
 
+def daily_measures(clean: DataFrame, days: int) -> DataFrame:
+    """The same measures for each day_index, null included: a row per day, to be kept and merged."""
+    return clean.groupBy("day_index").agg(*_measures(days))
+
+
+def merged_measures(daily: DataFrame) -> DataFrame:
+    """One row: the measures of all days together, as `integrity_report` finds them in the rows."""
+    merge = {"minimum": F.min, "maximum": F.max}
+    names = [name for name in daily.columns if name != "day_index"]
+    return daily.agg(*[
+        merge[kind](name).alias(name) if (kind := name.split("_")[0]) in merge
+        else F.coalesce(F.sum(name), F.lit(0).cast("long")).alias(name)
+        for name in names
+    ])
+
+
 def schema_report(table: DataFrame) -> DataFrame:
     """Every expected or present column: types, verdict and number of non-null values."""
     actual = {field.name: field.dataType.simpleString() for field in table.schema}
@@ -111,6 +127,24 @@ def measure(
     `files` is the listing of the table's data files, `staged_total` one row with
     `total_valid_rows` or None when nothing is known about staging.
     """
+    present = F.sort_array(F.collect_set("day_index")).alias("present_days")
+    return _judged(clean.agg(*_measures(days), present), clean, files, redteam_summary, staged_total, days)
+
+
+def measure_from_days(
+    daily: DataFrame, clean: DataFrame, files: DataFrame, redteam_summary: DataFrame,
+    staged_total: DataFrame | None, days: int,
+) -> DataFrame:
+    """The row of `measure` from kept measures per day; of the table only the schema is looked at."""
+    present = daily.agg(F.sort_array(F.collect_set("day_index")).alias("present_days")).scalar()
+    measured = merged_measures(daily).withColumn("present_days", present)
+    return _judged(measured, clean, files, redteam_summary, staged_total, days)
+
+
+def _judged(
+    measured: DataFrame, clean: DataFrame, files: DataFrame, redteam_summary: DataFrame,
+    staged_total: DataFrame | None, days: int,
+) -> DataFrame:
     absent = missing_days(files, days).agg(F.count("*").alias("days")).scalar()
     kept = F.col("processed_rows") > 0
     if staged_total is not None:
@@ -134,9 +168,7 @@ def measure(
         "logical_consistency": _all_zero(CONTRADICTIONS),
         "redteam_preservation": redteam_summary.select("pass").scalar(),
     }
-    present = F.sort_array(F.collect_set("day_index")).alias("present_days")
-    measured = clean.agg(*_measures(days), present).withColumns(verdicts)
-    return measured.withColumn("overall", reduce(and_, [F.col(name) for name in CHECKS]))
+    return measured.withColumns(verdicts).withColumn("overall", reduce(and_, [F.col(name) for name in CHECKS]))
 
 
 def validation_checks(measured: DataFrame) -> DataFrame:

@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.operators import (
-    alerts, behavior, clean, context, drift, graph, profile, quality, redteam, staging,
+    alerts, behavior, clean, context, cores, drift, graph, heavy, incidents, profile, quality, redteam,
+    staging,
 )
 from authweave.operators.ids import number_rows
 from authweave.plans import adapters, jobs
 from authweave.schemas import (
     AUTH_SCHEMA, AUTH_TEXT_COLUMNS, PROCESS_SCHEMA, REDTEAM_KEY, SECONDS_PER_DAY,
 )
-from authweave.sinks import writers
+from authweave.sinks import measured, writers
 from authweave.sources import lines, raw_logs, tables
 from authweave.streaming import clean_stream
 from authweave.workspace import new_path, pinned
@@ -304,6 +305,30 @@ def day_replacement(spark, folder):
     return staging.rows_per_day(tables.read_clean_table(spark, path))
 
 
+def _replaced_measures(spark, folder):
+    """The table of `day_replacement`, measured as it was written and then only where it changed."""
+    path, kept = new_path(spark, "auth-measured"), new_path(spark, "measures")
+    measured.write_table(cleaned(spark, folder), path, kept, ALL_DAYS)
+    failures = cleaned(spark, folder).filter((F.col("is_failure") == 1) & (F.col("day_index") != 3))
+    measured.replace_days(failures, path, kept, list(range(WEEK)), ALL_DAYS)
+    return path, measured.read_measures(spark, kept)
+
+
+def kept_measures(spark, folder):
+    """Measures of the whole table, merged from the days after a replacement."""
+    return quality.merged_measures(_replaced_measures(spark, folder)[1])
+
+
+def kept_validation(spark, folder):
+    """The checks over the kept measures: day 3 is gone, so coverage and files fail."""
+    path, daily = _replaced_measures(spark, folder)
+    passed = spark.range(1).select(F.lit(True).alias("pass"))
+    return quality.validation_checks(quality.measure_from_days(
+        daily, tables.read_clean_table(spark, path), tables.list_day_files(spark, path), passed,
+        staging.staging_counts(auth(spark, folder), ALL_DAYS), ALL_DAYS,
+    ))
+
+
 def kept_output(spark, folder):
     """A second write to the same place is refused; what is there stays."""
     path = new_path(spark, "auth-kept")
@@ -449,6 +474,17 @@ def triage(spark, folder):
     return alerts.triage(found, _evidence(spark, folder, found))
 
 
+def user_incidents(spark, folder):
+    """Incidents of alerts at most six hours apart, their alerts as text, three to a row."""
+    found = incidents.incidents(_edge_alerts(spark, folder), listed=3)
+    return found.withColumn("listed", incidents.as_line(F.col("listed")))
+
+
+def node_structure(spark, folder):
+    everyone = pinned(graph.nodes(cleaned(spark, folder)))
+    return cores.node_structure(everyone, pinned(edges_of(spark, folder)))
+
+
 def alert_documents(spark, folder):
     return alerts.alert_documents(triage(spark, folder))
 
@@ -490,6 +526,9 @@ def queries() -> dict[str, Query]:
         "top_processes": _on(process, profile.most_frequent, "process", 15),
         "top_users": _on(process, profile.most_frequent, "user", 10),
         "top_computers": _on(process, profile.most_frequent, "computer", 10),
+        "heavy_processes": _on(process, heavy.top_values, "process", 15),
+        "heavy_users": _on(process, heavy.top_values, "user", 10),
+        "heavy_computers": _on(process, heavy.top_values, "computer", 10),
         "time_range": time_range,
         "profile_sample": profile_sample,
         "profile_sample_cut": profile_sample_cut,
@@ -501,6 +540,8 @@ def queries() -> dict[str, Query]:
         "report_presence": report_presence,
         "validation_faults": validation_faults,
         "kept_output": kept_output,
+        "kept_measures": kept_measures,
+        "kept_validation": kept_validation,
         "absent_days": absent_days,
         "day_files": day_files,
         "match_csv_roundtrip": match_csv_roundtrip,
@@ -587,6 +628,8 @@ def queries() -> dict[str, Query]:
         "process_evidence": lambda spark, folder: _evidence(
             spark, folder, _edge_alerts(spark, folder)
         ),
+        "user_incidents": user_incidents,
+        "node_structure": node_structure,
         "triage": triage,
         "alert_documents": alert_documents,
     }

@@ -128,6 +128,11 @@ SELECT src_user, dst_computer, day_index, count(*) AS auth_count,
   CAST(sum(cross_host) AS BIGINT) AS cross_host_count,
   min(time) AS first_time, max(time) AS last_time
 FROM auth_clean GROUP BY 1, 2, 3"""),
+    "replaced_clean": (["auth_clean"], """
+SELECT * FROM auth_clean WHERE day_index >= 7 OR is_failure = 1 AND day_index <> 3"""),
+    "arc": (["edge"], """
+SELECT 'u' || src_user AS a, 'h' || dst_computer AS b FROM edge
+UNION ALL SELECT 'h' || dst_computer, 'u' || src_user FROM edge"""),
     "logon": (["auth_clean"], "SELECT src_user, day_index, hour FROM auth_clean WHERE is_logon = 1"),
     "daily": (["auth_clean"], """
 SELECT src_user, day_index, list(CAST(second_of_day AS BIGINT) ORDER BY second_of_day) AS v FROM auth_clean GROUP BY 1, 2"""),
@@ -347,6 +352,37 @@ JOIN days e ON e.src_user = d.src_user AND e.day_index BETWEEN d.day_index - 6 A
 GROUP BY 1, 2"""
 
 
+INCIDENTS = """
+SELECT user, any_value(incident_first) AS first_time, any_value(incident_last) AS last_time, CAST(part AS INT) AS part,
+  any_value(alerts) AS alerts, any_value(worst) AS worst_score, CAST(any_value(auths) AS BIGINT) AS auth_count,
+  CAST(any_value(fails) AS BIGINT) AS failed_count, string_agg(time || '@' || dst_computer, ' ' ORDER BY time, dst_computer, score) AS listed
+FROM (SELECT *, min(time) OVER i AS incident_first, max(time) OVER i AS incident_last, count(*) OVER i AS alerts,
+        max(score) OVER i AS worst, sum(auth_count) OVER i AS auths, sum(failed_count) OVER i AS fails,
+        (row_number() OVER (PARTITION BY user, island ORDER BY time, dst_computer, score) - 1) // 3 AS part
+      FROM (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY user ORDER BY time, dst_computer ROWS UNBOUNDED PRECEDING) AS island
+            FROM (SELECT *, coalesce(time - lag(time) OVER (PARTITION BY user ORDER BY time, dst_computer) > 21600, true) AS fresh
+                  FROM alert) s) g
+      WINDOW i AS (PARTITION BY user, island)) p
+GROUP BY user, island, part"""
+
+# Core numbers by taking nodes away: at each k, as long as there is one, all nodes with fewer
+# than k neighbours left go; a node's core number is the last k that it has survived.
+CORES = """
+, nodes AS (SELECT a AS node, count(*) AS degree FROM arc GROUP BY 1),
+peeled AS (
+  SELECT 1 AS step, 1 AS k, node, 0 AS core, false AS gone FROM nodes
+  UNION ALL
+  SELECT step + 1, CASE WHEN going THEN k ELSE k + 1 END, node, CASE WHEN going THEN core ELSE k END, false
+  FROM (SELECT p.*, left_over < k AS out_now, bool_or(left_over < k) OVER () AS going
+        FROM (SELECT p.step, p.k, p.node, p.core,
+                (SELECT count(*) FROM arc x JOIN peeled q ON q.node = x.b WHERE x.a = p.node) AS left_over
+              FROM peeled p) p) t
+  WHERE NOT out_now)
+SELECT n.node_type, n.node, coalesce(d.degree, 0) AS degree, CAST(coalesce(c.core, 0) AS BIGINT) AS core
+FROM node n LEFT JOIN nodes d ON d.node = left(n.node_type, 1) || n.node
+LEFT JOIN (SELECT node, max(core) AS core FROM peeled GROUP BY 1) c ON c.node = d.node"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "daily_overview": _sql("auth_clean", """
@@ -393,6 +429,9 @@ SELECT event_id, CAST(src_user = dst_user AS INT) AS same_user,
         "top_processes": _frequency("proc_raw", "process", 15),
         "top_users": _frequency("proc_raw", "user", 10),
         "top_computers": _frequency("proc_raw", "computer", 10),
+        "heavy_processes": _frequency("proc_raw", "process", 15),
+        "heavy_users": _frequency("proc_raw", "user", 10),
+        "heavy_computers": _frequency("proc_raw", "computer", 10),
         "time_range": _sql("auth_raw proc_raw red_raw", """
 SELECT 'auth' AS log, min(time) AS minimum_timestamp, max(time) AS maximum_timestamp FROM auth_raw
 UNION ALL SELECT 'process', min(time), max(time) FROM proc_raw
@@ -424,6 +463,8 @@ GROUP BY d"""),
                                  + _staging("auth_raw", WEEK_SECONDS) + ") r"),
         "report_presence": "SELECT 'written' AS report, true AS found UNION ALL SELECT 'absent', false",
         "validation_faults": _checks("faulty_clean", "true"),
+        "kept_measures": _sql("replaced_clean", _integrity(30, "replaced_clean")),
+        "kept_validation": _checks("replaced_clean", "true"),
         "kept_output": _sql("auth_clean", "SELECT day_index, count(*) AS rows FROM auth_clean GROUP BY 1"),
         "absent_days": _sql("auth_clean", """
 SELECT CAST(d AS INT) AS day_index FROM range(0, 10) r(d)
@@ -604,6 +645,8 @@ FROM (SELECT count(*) FILTER (WHERE hit AND attack) AS tp, count(*) FILTER (WHER
             FROM (SELECT DISTINCT user, dst_computer FROM red_norm) a
             FULL JOIN flagged f ON f.src_user = a.user AND f.dst_computer = a.dst_computer) j) c"""),
         "process_evidence": _all("evidence"),
+        "user_incidents": _sql("alert", INCIDENTS),
+        "node_structure": _sql("arc node", CORES.strip()).replace("WITH ", "WITH RECURSIVE ", 1),
         "triage": _all("triaged"),
         "alert_documents": _sql("triaged", f"""
 SELECT priority, CAST(to_json({{{', '.join(f"'{n}': {n}" for n in TRIAGE_COLUMNS)}}}) AS VARCHAR) AS alert

@@ -84,10 +84,10 @@ def replace_days(
     new = _paths_by_day(clean.sparkSession, path, days)
     for day, before in old.items():
         if new[day] == before:  # nothing was written there
-            _remove(clean.sparkSession, f"{path}/day_index={day}")
+            remove(clean.sparkSession, f"{path}/day_index={day}")
         elif streamed:
             for folder in {file.rsplit("/", 1)[0] for file in before}:
-                _remove(clean.sparkSession, folder)
+                remove(clean.sparkSession, folder)
 
 
 def _paths_by_day(spark: SparkSession, path: str, days: list[int]) -> dict[int, set[str]]:
@@ -96,7 +96,8 @@ def _paths_by_day(spark: SparkSession, path: str, days: list[int]) -> dict[int,
     return {row.day_index: set(row.paths) for row in found}
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of files that nobody reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 

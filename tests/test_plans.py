@@ -18,7 +18,8 @@ NO_WRITE = [
     if name not in {"csv_roundtrip", "parquet_roundtrip", "clean_week", "day_replacement",
                     "size_per_day", "validation_checks", "cross_dataset_report", "triage",
                     "process_evidence", "evaluation", "validation_faults", "kept_output", "absent_days",
-                    "day_files", "staged_days_report", "alert_documents", "streamed_clean", "streamed_contacts"}
+                    "day_files", "staged_days_report", "alert_documents", "streamed_clean", "streamed_contacts",
+                    "kept_measures", "kept_validation", "user_incidents"}
     and not name.endswith(("_roundtrip", "_csv"))
 ]
 
