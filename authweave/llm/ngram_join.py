@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from authweave.llm.components import components
 from authweave.llm.filters import filter_of, held
@@ -592,8 +593,19 @@ def connect(documents: DataFrame, pairs: DataFrame, reached: DataFrame, words: i
     return reached
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, name_bits: int = 64) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of documents (doc_id, text).
+class Groups:
+    """Documents by the sets they hold, and sets by what they are linked with.
+
+    `rows`: doc_id, node, n per document; `sets`: node, doc_id (the smallest that holds it),
+    component per set of documents with an id; `shared` and `bits` make the nodes of other rows.
+    """
+
+    def __init__(self, rows: DataFrame, sets: DataFrame, shared: np.ndarray, bits: int):
+        self.rows, self.sets, self.shared, self.bits = rows, sets, shared, bits
+
+
+def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64) -> Groups:
+    """Links the sets of documents (doc_id, text).
 
     A set holds the distinct runs of `words` words (A-Z lower-cased, split at ASCII white
     space); a text of fewer words is one run, one without words has an empty set. Sets link
@@ -613,9 +625,7 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, nam
        joined in blocks, are then verified in rounds. No partner is dropped for the length of a
        list.
 
-    Null texts are empty, rows without an id link with nothing and have a null component,
-    repeated rows stay repeated, an empty table gives no rows, other columns, whatever their names,
-    are not looked at. A very long text is hashed at once, which takes some 50 times its size.
+    A very long text is hashed at once, which takes some 50 times its size.
     """
     small_batches(documents.sparkSession)
     named = names_and_counts(documents, words, name_bits)
@@ -655,14 +665,67 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, nam
 
     known = rows.where("doc_id is not null and n > 0")
     least = known.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    named_groups = (
+    sets = (
         least.join(reached.withColumnRenamed("id", "node"), "node", "left")
         .select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     )
-    smallest = named_groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_node = named_groups.join(smallest, "component").select("node", "component_id")
+    return Groups(rows, sets, shared, name_bits)
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, name_bits: int = 64) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of documents (doc_id, text).
+
+    Null texts are empty, rows without an id link with nothing and have a null component,
+    repeated rows stay repeated, an empty table gives no rows, other columns, whatever their names,
+    are not looked at.
+    """
+    found = grouped(documents, words, percent, name_bits)
+    smallest = found.sets.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_node = found.sets.join(smallest, "component").select("node", "component_id")
+    known = found.rows.where("doc_id is not null and n > 0")
     linked = known.join(of_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows.where("doc_id is null or n = 0").select(
+    alone = found.rows.where("doc_id is null or n = 0").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
     )
     return linked.unionByName(alone)
+
+
+def keep_one(documents: DataFrame, words: int = 5, percent: int = 75, name_bits: int = 64) -> DataFrame:
+    """One row of each group of near copies: of those with the smallest id one, all others go.
+
+    Rows are told apart by id and set, so of two texts under one id each stays if nothing else
+    that is like it has a smaller id. Rows without an id or without words all stay. All columns are
+    kept, whatever their names; an empty table gives no rows.
+    """
+    found = grouped(documents, words, percent, name_bits)
+    chosen = stored(
+        found.sets.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("one")).select("one.*"), "chosen"
+    )
+    known = found.rows.where("doc_id is not null")
+    several = stored(known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "several")
+    ids = chosen.select("doc_id").unionByName(known.where("n = 0").select("doc_id"))
+    kept = documents.join(ids.join(several, "doc_id", "left_anti"), "doc_id", "left_semi")
+    if several.limit(1).count():
+        rows = stored(_with_nodes(documents.join(again(several), "doc_id", "left_semi"), words, found), "several-rows")
+        wordy = again(rows).where("n > 0").join(again(chosen), ["doc_id", "node"], "left_semi").dropDuplicates(["doc_id", "node"])
+        kept = kept.unionByName(rows.where("n = 0").select("row.*")).unionByName(wordy.select("row.*"))
+    return kept.unionByName(documents.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def _with_nodes(documents: DataFrame, words: int, found: Groups) -> DataFrame:
+    """(row, doc_id, node, n): the rows as they are, and the sets of their texts."""
+    shared, bits = found.shared, found.bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, made in _runs(batch, words):
+                here = batch.slice(first, len(made.size))
+                yield pa.RecordBatch.from_arrays(
+                    [here.column("row"), here.column("doc_id"), pa.array(made.nodes(shared, bits)),
+                     pa.array(made.size.astype(np.int64))], ["row", "doc_id", "node", "n"],
+                )
+
+    rows = documents.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return rows.mapInArrow(run, StructType(rows.schema.fields[:2]).add("node", "long").add("n", "long"))

@@ -16,44 +16,46 @@ from authweave.llm.tables import stored, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold; labels outside the held-out quarter are learned.
 
-    Null texts are scored as empty, repeated rows stay repeated.
+    Null texts are scored as empty, repeated rows stay repeated, columns of any name are kept as
+    they are; an empty table gives no rows.
     """
-    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("predicted = 0").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    judged = toxicity.judge(rows, table(spark, sf_dir, "labels"))
+    return judged.where("predicted = 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (75 % of five-word runs).
 
-    Documents without words are no copies of each other. Of rows that repeat an id one stays;
-    rows without an id all stay, as nothing links them.
+    Documents without words are no copies of each other; rows without an id all stay, as nothing
+    links them. Of rows that repeat an id those stay whose text is like no other kept one. Columns
+    of any name are kept; an empty table gives no rows.
     """
-    found = ngram_join.near_duplicates(docs, words=5, percent=75)
-    kept = stored(
-        found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept"
-    )
-    named = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
-    repeated = kept.where("n > 1")
-    if repeated.limit(1).count():  # ids of several rows
-        named = named.unionByName(
-            docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        )
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return ngram_join.keep_one(docs, words=5, percent=75)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of strings of 200 bytes that start at several places.
 
-    n_chars becomes the length of what is left. No document goes; a text may end up empty.
+    n_chars becomes the length of what is left. No document goes; a text may end up empty. Null
+    texts are empty; an empty table gives no rows. Columns of any name are kept, but for those of
+    the operator's report (n_bytes, n_removed, n_spans, kept_sha256), which come back as they were.
     """
-    left = suffix_dedup.remove_repeats(docs, size=200)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("row") if others else F.lit(None).alias("row"))
+    left = suffix_dedup.remove_repeats(rows, size=200)
+    kept = {name: F.col("row").getField(name) for name in others} | {n: F.col(n) for n in ("doc_id", "text")}
+    if "n_chars" in others:
+        kept["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return left.select(*[kept[name].alias(name) for name in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining texts, placed in sequences of 1024 tokens."""
+    """Pieces of the remaining texts, placed in sequences of 1024 tokens.
+
+    Null texts are empty, and an empty text is its end id alone; an empty table gives no rows.
+    Other columns take no part.
+    """
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(docs, path, end_id=2, size=1024)
 
