@@ -22,8 +22,10 @@ ENTRIES = 500_000  # prefix tokens of an index part, about
 PAIRS_HELD = 300_000  # pairs a task looks at, at once
 BLOCK = 1000  # entries of a long posting list that are joined with as many others at once, about
 HOT = 16  # level of frequency from which a posting list is dealt to several parts of the index
+CHAIN = 4  # next sets by size in a long posting list that a set is tried with before its pairs are made
 SHORT = 32  # documents of a posting list up to which all its pairs are counted at once
 COSTS = (64, 1024, 1 << 17, 1 << 24, 1 << 31)  # estimated candidates from each of which one more match is asked
+TAKEN = 6  # bytes of each token's hash that are sent and compared in the verification
 MEMBERS = 2000  # sets that one copy of a center's set is compared with
 GROWTH = 8  # times as many partners of a set are tried in the next round
 
@@ -203,6 +205,19 @@ def prefixes(made: Shingles, levels: np.ndarray, percent: int) -> tuple[np.ndarr
 ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u4"), ("m", "u1")])
 
 
+def packed(entries: np.ndarray) -> bytes:
+    """Entries field by field: the small numbers are compressed well that way."""
+    return len(entries).to_bytes(8, "little") + b"".join(entries[name].tobytes() for name in ENTRY.names)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    entries, at = np.empty(int.from_bytes(raw[:8], "little"), ENTRY), 8
+    for name in ENTRY.names:
+        entries[name] = np.frombuffer(raw, ENTRY[name], len(entries), at)
+        at += len(entries) * ENTRY[name].itemsize
+    return entries
+
+
 def salts(token: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """Parts of the index that a token's posting list is dealt to."""
     level = levels[(token & np.uint64(len(levels) - 1)).astype(np.int64)].astype(np.int64)
@@ -225,7 +240,7 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(cuts))
-            sent = [entries[order[cuts[k]:cuts[k + 1]]].tobytes() for k in some]
+            sent = [packed(entries[order[cuts[k]:cuts[k + 1]]]) for k in some]
             return pa.RecordBatch.from_pydict({"part": some, "entries": sent}, schema=schema)
 
         for batch in batches:
@@ -309,12 +324,11 @@ def _counted(a, b, asked) -> pd.DataFrame:
     })
 
 
-def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of the short posting lists, counted; entries of the long lists, and their stars;
-    (token, star center) of lists that other parts hold some of, which count as long.
+def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of the short posting lists, counted; entries of the long lists, their stars and
+    chains; (token, star center) of lists that other parts hold some of, which count as long.
 
-    In a long list each set is paired with the smallest name; a star pair comes with the number
-    of lists that gave it.
+    In a long list each set is paired with the smallest name, and with the next ones by size.
     """
     entries, starts, lengths = _lists(entries)
     dealt = salts(entries["token"][starts], levels) > 1
@@ -335,32 +349,37 @@ def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.Data
     a, b, asked = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
     long = np.flatnonzero((lengths > SHORT) | dealt)
     member = np.zeros(len(entries), bool)
-    stars, centers = [], []
+    stars, centers, chains = [], [], []
     for k in long:
         part = entries[starts[k]:starts[k] + lengths[k]]
         member[starts[k]:starts[k] + lengths[k]] = True
         stars.append(np.stack([part["node"], np.full(len(part), part["node"].min())]))
+        chains += [np.stack([part["node"][:-step], part["node"][step:]]) for step in range(1, CHAIN + 1)]
         if dealt[k]:
             centers.append([part["token"].view(np.int64)[0], part["node"].min()])
     star = np.concatenate(stars, axis=1) if stars else np.zeros((2, 0), np.int64)
     center = np.array(centers, np.int64).reshape(-1, 2).T
-    return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]], center
+    chain = np.concatenate(chains, axis=1) if chains else np.zeros((2, 0), np.int64)
+    return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]], center, chain
 
 
 def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
-    """Rows of four kinds: counted pairs; star pairs (shared null, asked: the lists that gave
-    it); entries of long lists as (part, entries); star centers (b null) of a token (part)."""
+    """Rows of five kinds: counted pairs; star pairs (shared null, asked: the lists that gave
+    it) and chain pairs (the same, part 0); entries of long lists as (part, entries); star
+    centers (b null) of a token (part)."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        entries = np.concatenate([np.frombuffer(raw, ENTRY) for raw in frame["entries"]])
-        pairs, long, star, center = meet(entries, percent, levels.value)
+        entries = np.concatenate([unpacked(raw) for raw in frame["entries"]])
+        pairs, long, star, center, chain = meet(entries, percent, levels.value)
         star, votes = np.unique(np.sort(star, axis=0), axis=1, return_counts=True)
         stars = pd.DataFrame({"a": star[0], "b": star[1], "asked": votes})
-        rest = pd.DataFrame({"part": [key[0]], "entries": [long.tobytes()]}) if len(long) else None
+        chain, votes = np.unique(np.sort(chain, axis=0), axis=1, return_counts=True)
+        chains = pd.DataFrame({"a": chain[0], "b": chain[1], "asked": votes, "part": 0})
+        rest = pd.DataFrame({"part": [key[0]], "entries": [packed(long)]}) if len(long) else None
         centers = pd.DataFrame({"part": center[0], "a": center[1]})
         kinds = {k: "Int64" for k in ("a", "b", "shared", "asked", "part")} | {"entries": "object"}
         # the types come first: names put beside missing values would be rounded to doubles
-        made = [f.reindex(columns=list(kinds)).astype(kinds) for f in (pairs, stars, centers, rest) if f is not None and len(f)]
+        made = [f.reindex(columns=list(kinds)).astype(kinds) for f in (pairs, stars, chains, centers, rest) if f is not None and len(f)]
         return pd.concat(made, ignore_index=True) if made else pd.DataFrame(columns=list(kinds)).astype(kinds)
 
     schema = PAIR + ", part long, entries binary"
@@ -380,7 +399,7 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for raw in frame["entries"]:
-                part = np.frombuffer(raw, ENTRY)
+                part = unpacked(raw)
                 n, at, m = (x.astype(np.int64) for x in _places(part))
                 yield pd.DataFrame({
                     "token": part["token"].astype(np.uint64).view(np.int64), "node": part["node"],
@@ -497,7 +516,8 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int, shared, bits:
                         continue
                     seen.add(int(names[k]))
                     nodes.append(int(names[k]))
-                    sets.append(made.token[made.start[k]:made.start[k] + made.size[k]].tobytes())
+                    tokens = made.token[made.start[k]:made.start[k] + made.size[k]] >> np.uint64(64 - 8 * TAKEN)
+                    sets.append(tokens.view(np.uint8).reshape(-1, 8)[:, :TAKEN].tobytes())
                 if len(seen) > 200_000:
                     seen.clear()
                 yield pa.RecordBatch.from_pydict({"node": nodes, "tokens": sets}, schema=schema)
@@ -537,9 +557,11 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             found = []
             columns = [batch.column(name).to_pylist() for name in ("center", "leads", "node")]
             for at, leads, node, raw in zip(*columns, texts_of(batch, "tokens"), strict=True):
-                tokens = np.frombuffer(raw, np.uint64)
+                tokens = np.zeros((len(raw) // TAKEN, 8), np.uint8)
+                tokens[:, :TAKEN] = np.frombuffer(raw, np.uint8).reshape(-1, TAKEN)
+                tokens = tokens.view(np.uint64).ravel()
                 if leads:
-                    center, lead = at, tokens.copy()
+                    center, lead = at, tokens
                 elif center == at:  # always: a center's set comes before its partners'
                     both = overlap(lead, tokens)
                     if 100 * both >= percent * (len(lead) + len(tokens) - both):
@@ -612,6 +634,7 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     when their Jaccard similarity is at least `percent` %. Equal sets are one set from the
     start: those whose tokens, 64-bit hashes, give the same two names of 64 bits. Sets that
     share only the first name (`name_bits` of it, fewer for tests alone) get a new one from both.
+    Other sets are compared by 48 bits of their tokens' hashes.
 
     1. One pass names the sets and counts tokens in a table of fixed size.
     2. One pass sends the prefix tokens of each set to the parts of an index. Lists of up to
@@ -621,7 +644,10 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     3. A pair is a candidate when it shares as many prefix tokens as the less demanding of its
        documents asks. Each set is first verified against its smallest candidate partner and
        its commonest star center; what that connects needs no further comparison.
-    4. All other candidates that are not connected, those of the long lists included, which are
+    4. In long lists each set is tried with the sets that share most of its lists among its
+       next ones by size, so that a large group of near copies is connected before its pairs
+       are made.
+    5. All other candidates that are not connected, those of the long lists included, which are
        joined in blocks, are then verified in rounds. No partner is dropped for the length of a
        list.
 
@@ -647,7 +673,7 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     centers = found.where("a is not null and b is null").select(F.col("part").alias("token"), F.col("a").alias("b"))
     joined = centers.join(centers.groupBy("token").agg(F.min("b").alias("a")), "token").where("a != b")
     stars = (
-        found.where("b is not null and shared is null").select("a", "b", "asked")
+        found.where("b is not null and shared is null and part is null").select("a", "b", "asked")
         .unionByName(joined.select("a", "b", F.lit(1).alias("asked")))
         .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
         .groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b")
@@ -656,6 +682,13 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     links = verified(token_sets(documents, first, words, shared, name_bits), first, percent)
     reached = stored(components(links, "a", "b"), "reached")
 
+    chains = (
+        found.where("b is not null and shared is null and part = 0")
+        .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("votes"), "a")))
+        .where(F.col("place") <= CHAIN).select("a", "b")
+    )
+    reached = connect(documents, chains, reached, words, percent, shared, name_bits)
     long = found.where("entries is not null").select("part", "entries")
     more = crossing(long, reached, percent) if long.limit(1).count() else None
     counted = again(pairs) if more is None else again(pairs).unionByName(more)
