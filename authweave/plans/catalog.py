@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from authweave.operators import (
-    alerts, behavior, clean, context, cores, drift, graph, heavy, incidents, profile, quality, redteam,
-    staging,
+    alerts, behavior, blocks, clean, context, cores, drift, graph, heavy, incidents, profile, quality,
+    redteam, staging,
 )
 from authweave.operators.ids import number_rows
 from authweave.plans import adapters, jobs
@@ -480,6 +480,23 @@ def user_incidents(spark, folder):
     return found.withColumn("listed", incidents.as_line(F.col("listed")))
 
 
+def adjacency_blocks(spark, folder):
+    """The entries of the block-sparse matrix, with the blocks they lie in."""
+    matrix = blocks.adjacency(pinned(edge_index(spark, folder)))
+    return blocks.entries_of(matrix).select("user_id", "host_id", F.round("weight", 6).alias("weight"))
+
+
+def spread_features(spark, folder):
+    """Per user the features of the hosts it reached, by the normalised adjacency."""
+    names = ["users", "failed_share", "cross_host_share"]
+    table = cleaned(spark, folder)
+    hosts = graph.node_index(pinned(graph.nodes(table)), graph.HOST).withColumnRenamed("node", "dst_computer")
+    features = blocks.host_features(edges_of(spark, folder)).join(hosts, "dst_computer")
+    matrix = blocks.adjacency(pinned(edge_index(spark, folder)))
+    found = blocks.spread_to_users(matrix, blocks.feature_blocks(features, "node_id", names), names)
+    return found.select("user_id", *[F.round(name, 4).alias(name) for name in names])
+
+
 def node_structure(spark, folder):
     everyone = pinned(graph.nodes(cleaned(spark, folder)))
     return cores.node_structure(everyone, pinned(edges_of(spark, folder)))
@@ -630,6 +647,9 @@ def queries() -> dict[str, Query]:
         ),
         "user_incidents": user_incidents,
         "node_structure": node_structure,
+        "host_features": _on(edges_of, blocks.host_features),
+        "adjacency_blocks": adjacency_blocks,
+        "spread_features": spread_features,
         "triage": triage,
         "alert_documents": alert_documents,
     }

@@ -133,6 +133,21 @@ SELECT * FROM auth_clean WHERE day_index >= 7 OR is_failure = 1 AND day_index <>
     "arc": (["edge"], """
 SELECT 'u' || src_user AS a, 'h' || dst_computer AS b FROM edge
 UNION ALL SELECT 'h' || dst_computer, 'u' || src_user FROM edge"""),
+    "host_feature": (["edge"], """
+SELECT dst_computer, count(*) AS users, CAST(sum(auth_count) AS BIGINT) AS auth_count,
+  round(CAST(sum(failed_count) AS DOUBLE) / sum(auth_count), 6) AS failed_share,
+  round(CAST(sum(cross_host_count) AS DOUBLE) / sum(auth_count), 6) AS cross_host_share,
+  max(active_days) AS most_active_days,
+  round(CAST(max(auth_count) AS DOUBLE) / sum(auth_count), 6) AS largest_user_share FROM edge GROUP BY 1"""),
+    "weighted": (["edge", "node"], """
+SELECT u.node_id AS user_id, h.node_id AS host_id, e.dst_computer,
+  e.auth_count / sqrt(CAST(sum(e.auth_count) OVER (PARTITION BY e.src_user) AS DOUBLE)
+    * sum(e.auth_count) OVER (PARTITION BY e.dst_computer)) AS weight
+FROM edge e
+JOIN (SELECT node, row_number() OVER (ORDER BY node) - 1 AS node_id FROM node WHERE node_type = 'user') u
+  ON u.node = e.src_user
+JOIN (SELECT node, row_number() OVER (ORDER BY node) - 1 AS node_id FROM node WHERE node_type = 'host') h
+  ON h.node = e.dst_computer"""),
     "logon": (["auth_clean"], "SELECT src_user, day_index, hour FROM auth_clean WHERE is_logon = 1"),
     "daily": (["auth_clean"], """
 SELECT src_user, day_index, list(CAST(second_of_day AS BIGINT) ORDER BY second_of_day) AS v FROM auth_clean GROUP BY 1, 2"""),
@@ -646,6 +661,12 @@ FROM (SELECT count(*) FILTER (WHERE hit AND attack) AS tp, count(*) FILTER (WHER
             FULL JOIN flagged f ON f.src_user = a.user AND f.dst_computer = a.dst_computer) j) c"""),
         "process_evidence": _all("evidence"),
         "user_incidents": _sql("alert", INCIDENTS),
+        "host_features": _all("host_feature"),
+        "adjacency_blocks": _sql("weighted", "SELECT user_id, host_id, round(weight, 6) AS weight FROM weighted"),
+        "spread_features": _sql("weighted host_feature", """
+SELECT user_id, round(sum(weight * f.users), 4) AS users, round(sum(weight * f.failed_share), 4) AS failed_share,
+  round(sum(weight * f.cross_host_share), 4) AS cross_host_share
+FROM weighted JOIN host_feature f USING (dst_computer) GROUP BY 1"""),
         "node_structure": _sql("arc node", CORES.strip()).replace("WITH ", "WITH RECURSIVE ", 1),
         "triage": _all("triaged"),
         "alert_documents": _sql("triaged", f"""

@@ -19,7 +19,8 @@ NO_WRITE = [
                     "size_per_day", "validation_checks", "cross_dataset_report", "triage",
                     "process_evidence", "evaluation", "validation_faults", "kept_output", "absent_days",
                     "day_files", "staged_days_report", "alert_documents", "streamed_clean", "streamed_contacts",
-                    "kept_measures", "kept_validation", "user_incidents"}
+                    "kept_measures", "kept_validation", "user_incidents",
+                    "node_structure", "adjacency_blocks", "spread_features"}
     and not name.endswith(("_roundtrip", "_csv"))
 ]
 
