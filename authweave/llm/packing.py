@@ -18,6 +18,7 @@ from authweave.llm.tables import stored
 GROUP = 50_000  # short pieces packed together; the groups' number grows with the input
 CACHED = 150_000  # words whose ids a task keeps; others are encoded again
 ROUNDS = 8  # passes of the local search over the underfull bins
+PAIRED = 64  # largest items of a bin that are tried two for one; the others are tried one for one
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
 SPLIT = (  # fixed value: the pattern of byte-level pre-tokenization
@@ -192,20 +193,21 @@ class Bins:
                 key=lambda b: (-self.gap[b], b),
             )
             changed = False
-            for place, source in enumerate(under):
-                changed |= self._give(source, under[place + 1:])
+            by_gap: dict[int, set[int]] = defaultdict(set)  # of the bins fuller than the source
+            holders: dict[int, dict[int, int]] = defaultdict(dict)  # size: bin: an item
+            for b in under:
+                self._enter(b, by_gap, holders)
+            for source in under:
+                self._leave(source, by_gap, holders)
+                changed |= self._give(source, by_gap, holders)
                 used -= not self.items[source]
                 if used <= least:
                     return
             if not changed:
                 return
 
-    def _give(self, source: int, fuller: list[int]) -> bool:
-        """Empties `source` as far as gaps of `fuller` allow; true if anything changed."""
-        by_gap: dict[int, set[int]] = defaultdict(set)
-        holders: dict[int, dict[int, int]] = defaultdict(dict)  # size: bin: an item
-        for b in fuller:
-            self._enter(b, by_gap, holders)
+    def _give(self, source: int, by_gap, holders) -> bool:
+        """Empties `source` as far as gaps of the fuller bins allow; true if anything changed."""
         changed = False
         for item in sorted(self.items[source], key=lambda k: -self.sizes[k]):
             fits = [g for g in by_gap if g >= self.sizes[item]]
@@ -226,6 +228,8 @@ class Bins:
                 holders[self.sizes[item]][b] = item
 
     def _leave(self, b: int, by_gap, holders) -> None:
+        if b not in by_gap.get(self.gap[b], ()):
+            return  # full, so it was never entered
         by_gap[self.gap[b]].discard(b)
         if not by_gap[self.gap[b]]:
             del by_gap[self.gap[b]]
@@ -238,7 +242,7 @@ class Bins:
         sizes = self.sizes
         own = sorted(self.items[source], key=lambda k: -sizes[k])
         offers = [(x,) for x in own]
-        offers += [(x, y) for k, x in enumerate(own[:64]) for y in own[k + 1:64]]
+        offers += [(x, y) for k, x in enumerate(own[:PAIRED]) for y in own[k + 1:PAIRED]]
         for offer in offers:
             if any(x not in self.items[source] for x in offer):
                 continue

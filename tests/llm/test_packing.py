@@ -125,3 +125,20 @@ def test_documents(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_documents(docs, PATH).count() == 0
+
+
+def test_search_over_many_middle_sizes():
+    """Sizes that leave most bins underfull; 1841 bins is what the search reached before, too."""
+    random.seed(3)
+    sizes = [random.randint(300, 600) for _ in range(4000)]
+    places = packing.pack(sizes, 1024)
+    filled = {}
+    for (number, offset), size in zip(places, sizes):
+        filled.setdefault(number, []).append((offset, size))
+    for items in filled.values():
+        at = 0
+        for offset, size in sorted(items):
+            assert offset == at
+            at += size
+        assert at <= 1024
+    assert len(filled) <= 1841 and set(filled) == set(range(len(filled)))
