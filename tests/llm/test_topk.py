@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from authweave.llm import topk
+from authweave.llm.tables import table
 
 
 def by_hand(rows, k, every):
@@ -77,3 +78,47 @@ def test_bounds_leave_rows_unscored():
         tenth = np.sort(exact[k])[-10]
         assert set(np.flatnonzero(exact[k] >= tenth)) <= set(r[q == k])
     assert (scores == (queries @ rows.T)[q, r]).all()
+
+
+def test_postings_hold_each_component_once():
+    rng = np.random.default_rng(1)
+    rows = np.rint(rng.normal(0, 9, (50, 7))).astype(np.int64)
+    index = topk.Postings.of(rows)
+    assert len(index.row) == np.count_nonzero(rows)
+    back, sizes = np.zeros_like(rows), []
+    for level in range(topk.LEVELS):
+        here = []
+        for d in range(7):
+            start, stop = index.starts[level * 7 + d:level * 7 + d + 2]
+            back[index.row[start:stop], d] += index.value[start:stop]
+            here += np.abs(index.value[start:stop]).tolist()
+        sizes.append(here)
+        left = np.sqrt(((rows - back) ** 2).sum(axis=1))
+        assert np.allclose(left, index.rest[level])
+    assert (back == rows).all()
+    some = [s for s in sizes if s]
+    assert all(min(a) >= max(b) for a, b in zip(some, some[1:]))
+
+
+def test_queries_of_the_test_table_end_before_the_last_level(spark):
+    vectors = table(spark, "/root/testdata/sf0.1", "embeddings").collect()
+    kept = [r for r in vectors if r.embedding and all(x is not None and math.isfinite(x) for x in r.embedding)]
+    rows = np.floor(64 * np.array([r.embedding for r in kept])).astype(np.int64)
+    ids = np.array([r.vec_id for r in kept])
+    asked = ids % 20 == 0
+    q, r, scores, levels = topk.search_postings(
+        rows[asked], ids[asked], topk.Postings.of(rows), ids, 20, np.full(asked.sum(), -np.inf)
+    )
+    assert (levels < topk.LEVELS).mean() > 0.9 and len(q) < 0.02 * asked.sum() * len(ids) * 1.01
+    known = np.full(asked.sum(), 1e9)  # other blocks hold better rows for certain
+    assert not topk.search_postings(rows[asked], ids[asked], topk.Postings.of(rows), ids, 20, known)[3].any()
+
+
+def test_clashing_names_and_empty_sides(spark):
+    rows = spark.createDataFrame(
+        [(k, [k, 1], k, "x", 0.5) for k in range(6)],
+        "vec_id long, vector array<long>, size int, number string, block double",
+    )
+    found = {tuple(r) for r in topk.top_k(rows, rows.where("vec_id = 2"), 2).collect()}
+    assert found == {(2, 1, 5, 11), (2, 2, 4, 9)}
+    assert topk.top_k(rows.limit(0), rows, 2).count() == topk.top_k(rows, rows.limit(0), 2).count() == 0
