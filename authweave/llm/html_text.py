@@ -457,7 +457,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, text, n_chars, n_lines, text_sha256 of each page's visible text.
 
     One pass without a shuffle. A null or empty page has an empty text of no lines; repeated
-    rows stay repeated, null ids stay null, other columns are not looked at.
+    rows stay repeated, null ids stay null, an empty table gives no rows, and other columns,
+    whatever their names, are not looked at. A page of any length or depth is rendered whole, one
+    at a time.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

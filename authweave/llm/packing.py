@@ -289,7 +289,9 @@ def pack_documents(documents: DataFrame, path: str, end_id: int = 2, size: int =
     and make a sequence each. Shorter pieces are packed in groups of about GROUP, drawn by
     the place of the row in a written table, so a hot document or source spreads over all
     groups; a group wastes less than a sequence or so. Null texts are empty (the end id
-    alone), repeated rows are packed each, null ids stay null, an empty table gives no rows.
+    alone), repeated rows are packed each, null ids stay null, an empty table gives no rows. A
+    text of any length is encoded whole, one at a time; other columns, whatever their names, are
+    not looked at.
     """
     cut = stored(tokenize(documents, path, end_id, size), "pieces")
     short = F.col("length") < size

@@ -228,7 +228,9 @@ def digest_documents(documents: DataFrame, path: str) -> DataFrame:
     """Per document: number of ids, and digests of the ids and of the text decoded from them.
 
     One pass without a shuffle. Null texts are empty: no ids, digests of the empty string.
-    Null ids stay null, repeated rows stay repeated, other columns are not looked at.
+    Null ids stay null, repeated rows stay repeated, an empty table gives no rows, and other
+    columns, whatever their names, are not looked at. A text of any length is encoded whole, one at
+    a time.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
