@@ -9,7 +9,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
     """Bounds the bytes of a batch that goes to Python, where the session has no lower bound."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
