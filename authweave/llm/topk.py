@@ -17,6 +17,7 @@ QUERIES = 4096  # queries one task carries through its blocks
 BATCH = 256  # of them that have accumulators at a time
 LEVELS = 8  # quantised impacts
 RESCORED = 0.02  # share of a block's rows that may be open when they are scored exactly
+PROOF = 0.15  # share of a norm that unprocessed components may have when a proof is first tried
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -130,7 +131,10 @@ def _search_batch(asked, norm, own, index, ids, k, floor, active, levels) -> tup
     for level in range(LEVELS):
         index.add(level, weights, total)
         levels[active] += 1
-        ended, rest = level == LEVELS - 1, index.rest[level]
+        rest = index.rest[level]
+        ended = level == LEVELS - 1 or not rest.any()  # nothing is left: accumulators are scores
+        if not ended and rest.max() > PROOF * index.norm.max():
+            continue
         mine = own[active][:, None] == ids[None, :]
         seen = np.where(mine, -np.inf, total.T.astype(np.float64 if dtype is object else dtype))
         if not ended and len(ids) >= k:  # exact scores of the leaders so far
