@@ -28,6 +28,7 @@ COSTS = (64, 1024, 1 << 17, 1 << 24, 1 << 31)  # estimated candidates from each
 TAKEN = 6  # bytes of each token's hash that are sent and compared in the verification
 MEMBERS = 2000  # sets that one copy of a center's set is compared with
 GROWTH = 8  # times as many partners of a set are tried in the next round
+SIGN_BITS = 9  # first bits of a token's hash that place it in the signature of its set: 512 places
 
 
 class Shingles:
@@ -70,6 +71,15 @@ class Shingles:
         np.cumsum(mix(self.token ^ np.uint64(salt)), out=sums[1:])
         return mix(sums[self.start + self.size] - sums[self.start] + self.size.astype(np.uint64))
 
+    def signatures(self) -> list[bytes]:
+        """Per set and place of the signature, a bit: whether the number of its tokens there is odd."""
+        places, number = np.unique((self.doc << SIGN_BITS) | (self.token >> np.uint64(64 - SIGN_BITS)).astype(np.int64), return_counts=True)
+        odd = places[number % 2 == 1]
+        made = np.zeros((len(self.size), (1 << SIGN_BITS) // 8), np.uint8)
+        at = odd & ((1 << SIGN_BITS) - 1)
+        np.bitwise_or.at(made, (odd >> SIGN_BITS, at >> 3), (1 << (at & 7)).astype(np.uint8))
+        return [row.tobytes() for row in made]
+
     def nodes(self, shared: np.ndarray, bits: int) -> np.ndarray:
         """One number per set: `bits` of the first name or, where other sets have that too, of both."""
         name = self.name >> np.uint64(64 - bits)
@@ -83,12 +93,12 @@ def _runs(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, Shingles]]:
 
 
 def names_and_counts(documents: DataFrame, words: int, bits: int) -> DataFrame:
-    """A row per document (doc_id, names of its set, n), and rows (part, counts) of how often the
-    tokens of a task's documents fell on each counter: all of them, or place and number."""
+    """A row per document (doc_id, names of its set, n, signature), and rows (part, counts) of how often
+    the tokens of a task's documents fell on each counter: all of them, or place and number."""
 
     schema = pa.schema([
         ("doc_id", pa.string()), ("node", pa.int64()), ("second", pa.int64()), ("n", pa.int64()),
-        ("part", pa.int64()), ("counts", pa.binary()),
+        ("signature", pa.binary()), ("part", pa.int64()), ("counts", pa.binary()),
     ])
     none = np.zeros(0, np.uint64)
 
@@ -102,8 +112,8 @@ def names_and_counts(documents: DataFrame, words: int, bits: int) -> DataFrame:
                 size = len(made.size)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, size), pa.array(made.nodes(none, bits)),
-                    pa.array(made.second.view(np.int64)), pa.array(made.size.astype(np.int64)), pa.nulls(size, pa.int64()),
-                    pa.nulls(size, pa.binary()),
+                    pa.array(made.second.view(np.int64)), pa.array(made.size.astype(np.int64)),
+                    pa.array(made.signatures(), pa.binary()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()),
                 ], schema=schema)
         for part in range(COUNTERS // PART):
             here = counts[part * PART:(part + 1) * PART]
@@ -112,11 +122,11 @@ def names_and_counts(documents: DataFrame, words: int, bits: int) -> DataFrame:
                 continue
             if len(some) < PART // 2:
                 here = np.stack([some.astype(np.uint32), here[some]])
-            row = dict.fromkeys(("doc_id", "node", "second", "n"), [None])
+            row = dict.fromkeys(("doc_id", "node", "second", "n", "signature"), [None])
             row |= {"part": [part], "counts": [here.tobytes()]}
             yield pa.RecordBatch.from_pydict(row, schema=schema)
 
-    columns = "doc_id string, node long, second long, n long, part long, counts binary"
+    columns = "doc_id string, node long, second long, n long, signature binary, part long, counts binary"
     return stored(_texts(documents).mapInArrow(run, columns), "shingle-names")
 
 
@@ -128,17 +138,17 @@ def shared_names(rows: DataFrame) -> np.ndarray:
 
 
 def renamed(rows: DataFrame, shared: np.ndarray) -> DataFrame:
-    """The rows (doc_id, node, n) with names that no two different sets have."""
+    """The rows (doc_id, node, n, signature) with names that no two different sets have."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             name, second = (frame[c].to_numpy(np.int64).view(np.uint64) for c in ("node", "second"))
             node = np.where(np.isin(name, shared), mix(name ^ mix(second)), name).view(np.int64)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "node": node, "n": frame["n"]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "node": node, "n": frame["n"], "signature": frame["signature"]})
 
     if not len(shared):
-        return rows.select("doc_id", "node", "n")
-    return rows.mapInPandas(run, "doc_id string, node long, n long")
+        return rows.select("doc_id", "node", "n", "signature")
+    return rows.mapInPandas(run, "doc_id string, node long, n long, signature binary")
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -177,6 +187,37 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
+def near_enough(n: np.ndarray, one: np.ndarray, k: np.ndarray, two: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and k tokens with these signatures (a row of 64-bit words each) can be similar enough.
+
+    Each place where two signatures differ stands for a token at least that only one of the sets
+    holds, and similar ones hold at most n + k - 2 c of those, c being the overlap they need.
+    """
+    both = n.astype(np.int64) + k
+    needed = -(-percent * both // (100 + percent))
+    return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) <= both - 2 * needed
+
+
+def _words_of(signatures) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint64).reshape(-1, (1 << SIGN_BITS) // 64)
+
+
+def likely(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b and other columns) that their signatures do not rule out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            one, two = _words_of(frame["sign_a"]), _words_of(frame["sign_b"])
+            kept = near_enough(frame["n_a"].to_numpy(), one, frame["n_b"].to_numpy(), two, percent)
+            yield frame.loc[kept, pairs_columns]
+
+    pairs_columns, schema = pairs.columns, pairs.schema
+    for side in ("a", "b"):
+        names = again(signed).withColumnsRenamed({"node": side, "n": f"n_{side}", "signature": f"sign_{side}"})
+        pairs = pairs.join(names, side)
+    return pairs.mapInPandas(run, schema)
+
+
 def prefixes(made: Shingles, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(places of the prefix tokens, matches asked of each document).
 
@@ -328,7 +369,8 @@ def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.Data
     """Pairs of the short posting lists, counted; entries of the long lists, their stars and
     chains; (token, star center) of lists that other parts hold some of, which count as long.
 
-    In a long list each set is paired with the smallest name, and with the next ones by size.
+    In a long list each set is paired with the smallest name, and with the next ones by size, where
+    a pair can be similar enough and be met at the token's places.
     """
     entries, starts, lengths = _lists(entries)
     dealt = salts(entries["token"][starts], levels) > 1
@@ -353,14 +395,19 @@ def meet(entries: np.ndarray, percent: int, levels: np.ndarray) -> tuple[pd.Data
     for k in long:
         part = entries[starts[k]:starts[k] + lengths[k]]
         member[starts[k]:starts[k] + lengths[k]] = True
-        stars.append(np.stack([part["node"], np.full(len(part), part["node"].min())]))
-        chains += [np.stack([part["node"][:-step], part["node"][step:]]) for step in range(1, CHAIN + 1)]
+        at = int(part["node"].argmin())
+        center = _places(part[at:at + 1])
+        fit = np.r_[_fits(_places(part[:at]), center, percent), False, _fits(center, _places(part[at + 1:]), percent)]
+        stars.append(np.stack([part["node"][fit], np.full(fit.sum(), part["node"][at])]))
+        for step in range(1, CHAIN + 1):
+            fit = _fits(_places(part[:-step]), _places(part[step:]), percent)
+            chains.append(np.stack([part["node"][:-step][fit], part["node"][step:][fit]]))
         if dealt[k]:
-            centers.append([part["token"].view(np.int64)[0], part["node"].min()])
+            centers.append([part["token"].view(np.int64)[0], part["node"][at]])
     star = np.concatenate(stars, axis=1) if stars else np.zeros((2, 0), np.int64)
     center = np.array(centers, np.int64).reshape(-1, 2).T
     chain = np.concatenate(chains, axis=1) if chains else np.zeros((2, 0), np.int64)
-    return _counted(a, b, asked), entries[member], star[:, star[0] != star[1]], center, chain
+    return _counted(a, b, asked), entries[member], star, center, chain
 
 
 def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
@@ -386,9 +433,11 @@ def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
     return stored(index.groupBy("part").applyInPandas(run, schema), "candidates")
 
 
-def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
+def crossing(long: DataFrame, reached: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs of long lists whose sets are not connected yet, with partial counts.
 
+    Pairs that their signatures rule out are not made.
+
     A list is cut by bands of set sizes, and a band into blocks of about BLOCK entries; a
     component of more entries than that has blocks of its own. Blocks are joined block with
     block, in the same band and with the next one, but not within one component. A block of
@@ -410,6 +459,7 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     def cross(one: pd.DataFrame, two: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Pairs of a smaller set of `one` and a larger set of `two`, some rows at a time."""
         a, b = ({c: side[c].to_numpy() for c in side.columns} for side in (one, two))
+        signs = [_words_of(side["signature"]) for side in (one, two)]
         for start in range(0, len(one), max(1, PAIRS_HELD // len(two))):
             rows = slice(start, start + max(1, PAIRS_HELD // len(two)))
             n, node = a["n"][rows, None], a["node"][rows, None]
@@ -418,6 +468,8 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
             i += start
             fit = _fits((a["n"][i], a["at"][i], a["m"][i]), (b["n"][j], b["at"][j], b["m"][j]), percent)
             i, j = i[fit], j[fit]
+            fit = near_enough(a["n"][i], signs[0][i], b["n"][j], signs[1][j], percent)
+            i, j = i[fit], j[fit]
             if len(i):
                 yield _counted(a["node"][i], b["node"][j], np.minimum(a["m"][i], b["m"][j]))
 
@@ -485,9 +537,10 @@ def crossing(long: DataFrame, reached: DataFrame, percent: int) -> DataFrame:
     )
     sent = meetings.agg(F.sum("sent")).first()[0] or 0
     parts = max(12, -(-sent // (ENTRIES // 5)))
-    columns = ["meeting", "smaller", "node", "n", "at", "m", "component"]
+    columns = ["meeting", "smaller", "node", "n", "at", "m", "component", "signature"]
+    met = again(rows).join(again(signed).select("node", "signature"), "node")
     sides = [
-        again(rows).where(F.lit(True) if side == "two" else F.col("low"))
+        met.where(F.lit(True) if side == "two" else F.col("low"))
         .join(again(meetings).select("meeting", F.col(side).alias("block")), "block")
         .withColumn("smaller", F.lit(side == "one")).select(*columns)
         for side in ("one", "two")
@@ -586,30 +639,33 @@ def _components_of(pairs: DataFrame, reached: DataFrame) -> DataFrame:
 
 
 def connect(documents: DataFrame, pairs: DataFrame, reached: DataFrame, words: int, percent: int, shared, bits: int) -> DataFrame:
-    """Verifies the pairs until none is left whose sets are not connected: (id, component).
+    """Verifies the pairs, but for those whose sets are connected by then: (id, component).
 
-    A round tries some partners of each set, GROWTH times as many as the last one, and
+    A round tries some partners of each set, up to GROWTH times as far as the last one, and
     what it connects is not compared any more: a large group is connected by few links before
-    all its pairs come up. Links are kept between components, once each.
+    all its pairs come up. Each pair comes up in one round. Links are kept between components,
+    once each.
     """
-    sets, tried = None, 1
-    left = stored(_components_of(pairs, reached), "open")
-    while left.limit(1).count():
-        if sets is None:
-            sets = stored(token_sets(documents, left, words, shared, bits), "token-sets")
-        place = F.row_number().over(Window.partitionBy("b").orderBy("a"))
-        ranked = stored(left.withColumn("place", place), "ranked")
-        forget(left)
-        chosen = stored(ranked.where(F.col("place") <= tried).drop("place"), "chosen")
-        links = verified(sets, chosen, percent)
-        if links.limit(1).count():
-            between = again(chosen).join(links, ["a", "b"]).select("of_a", "of_b").distinct()
-            known = reached.select(F.col("id").alias("of_a"), F.col("component").alias("of_b"))
-            reached = stored(components(known.unionByName(between), "of_a", "of_b"), "reached")
-        rest = again(ranked).where(F.col("place") > tried).select("a", "b")
-        left = stored(_components_of(rest, reached), "open")
-        forget(ranked, chosen)
-        tried *= GROWTH
+    sets, tried, before = None, 1, 0
+    left = stored(_components_of(pairs, reached).select("a", "b"), "open")
+    place = F.row_number().over(Window.partitionBy("b").orderBy("a"))
+    ranked = stored(left.withColumn("place", place), "ranked")
+    forget(left)
+    most = ranked.agg(F.max("place")).first()[0] or 0
+    while before < most:
+        due = again(ranked).where((F.col("place") > before) & (F.col("place") <= tried)).select("a", "b")
+        chosen = stored(_components_of(due, reached), "chosen")
+        if chosen.limit(1).count():
+            if sets is None:
+                sets = stored(token_sets(documents, again(ranked), words, shared, bits), "token-sets")
+            links = verified(sets, chosen, percent)
+            if links.limit(1).count():
+                between = again(chosen).join(links, ["a", "b"]).select("of_a", "of_b").distinct()
+                known = reached.select(F.col("id").alias("of_a"), F.col("component").alias("of_b"))
+                reached = stored(components(known.unionByName(between), "of_a", "of_b"), "reached")
+        forget(chosen)
+        before, tried = tried, tried * GROWTH
+    forget(ranked)
     if sets is not None:
         forget(sets)
     return reached
@@ -642,11 +698,12 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
        of very frequent tokens are dealt to several parts. A pair counts a token only where
        the sizes and the token's places in both sets leave room for the overlap it needs.
     3. A pair is a candidate when it shares as many prefix tokens as the less demanding of its
-       documents asks. Each set is first verified against its smallest candidate partner and
-       its commonest star center; what that connects needs no further comparison.
-    4. In long lists each set is tried with the sets that share most of its lists among its
-       next ones by size, so that a large group of near copies is connected before its pairs
-       are made.
+       documents asks, and when the signatures of its sets, parities of their tokens at a fixed
+       number of places, do not show that too many tokens differ.
+    4. Each set is first verified against its smallest candidate partner, its commonest star
+       center and the sets that share most of its long lists among its next ones by size, so that
+       a large group of near copies is connected before its pairs are made. What that connects
+       needs no further comparison.
     5. All other candidates that are not connected, those of the long lists included, which are
        joined in blocks, are then verified in rounds. No partner is dropped for the length of a
        list.
@@ -663,36 +720,31 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     parts = max(12, -(-total * (104 - percent) // 100 // ENTRIES))
     index = index_entries(documents, levels, words, percent, parts, shared, name_bits).repartition(parts, "part")
     found = candidates(index, levels, percent)
-    pairs = stored(
-        found.where("shared is not null").groupBy("a", "b")
-        .agg(F.sum("shared").alias("shared"), F.first("asked").alias("asked")),
-        "pairs",
-    )
-    asked = pairs.where("shared >= asked")
-    nearest = asked.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b")
+    signed = stored(rows.where("doc_id is not null and n > 0").select("node", "n", "signature").dropDuplicates(["node"]), "signed")
     centers = found.where("a is not null and b is null").select(F.col("part").alias("token"), F.col("a").alias("b"))
     joined = centers.join(centers.groupBy("token").agg(F.min("b").alias("a")), "token").where("a != b")
-    stars = (
-        found.where("b is not null and shared is null and part is null").select("a", "b", "asked")
-        .unionByName(joined.select("a", "b", F.lit(1).alias("asked")))
-        .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
-        .groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b")
+    votes = F.when(F.col("shared").isNull(), F.col("asked"))
+    met = found.where("b is not null").select(
+        "a", "b", "shared", F.when(F.col("shared").isNotNull(), F.col("asked")).alias("asked"),
+        F.when(F.col("part").isNull(), votes).alias("star"), F.when(F.col("part") == 0, votes).alias("chain"),
     )
-    first = stored(nearest.union(stars).distinct(), "first-pairs")
+    none = F.lit(None).cast("long")
+    met = met.unionByName(joined.select("a", "b", *[none.alias(c) for c in ("shared", "asked", "chain")], F.lit(1).cast("long").alias("star")))
+    met = met.groupBy("a", "b").agg(*[f(c).alias(c) for c, f in (("shared", F.sum), ("asked", F.max), ("star", F.sum), ("chain", F.sum))])
+    pairs = stored(likely(met, signed, percent), "pairs")
+    nearest = again(pairs).where("shared >= asked").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    stars = again(pairs).where("star > 0").groupBy("b").agg(F.max_by("a", F.struct("star", "a")).alias("a")).select("a", "b")
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("chain"), "a"))
+    chains = again(pairs).where("chain > 0").withColumn("place", place).where(F.col("place") <= CHAIN).select("a", "b")
+    first = stored(nearest.union(stars).union(chains).distinct(), "first-pairs")
     links = verified(token_sets(documents, first, words, shared, name_bits), first, percent)
     reached = stored(components(links, "a", "b"), "reached")
 
-    chains = (
-        found.where("b is not null and shared is null and part = 0")
-        .groupBy("a", "b").agg(F.sum("asked").alias("votes"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("votes"), "a")))
-        .where(F.col("place") <= CHAIN).select("a", "b")
-    )
-    reached = connect(documents, chains, reached, words, percent, shared, name_bits)
     long = found.where("entries is not null").select("part", "entries")
-    more = crossing(long, reached, percent) if long.limit(1).count() else None
-    counted = again(pairs) if more is None else again(pairs).unionByName(more)
-    counted = counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("asked").alias("asked"))
+    counted = again(pairs).where("shared > 0").select("a", "b", "shared", "asked")
+    if long.limit(1).count():
+        more = crossing(long, reached, signed, percent)
+        counted = counted.unionByName(more).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("asked").alias("asked"))
     rest = counted.where("shared >= asked").select("a", "b").join(again(first), ["a", "b"], "left_anti")
     reached = connect(documents, rest, reached, words, percent, shared, name_bits)
 
@@ -702,7 +754,7 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
         least.join(reached.withColumnRenamed("id", "node"), "node", "left")
         .select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     )
-    return Groups(rows, sets, shared, name_bits)
+    return Groups(rows.select("doc_id", "node", "n"), sets, shared, name_bits)
 
 
 def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 75, name_bits: int = 64) -> DataFrame:

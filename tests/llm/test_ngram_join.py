@@ -162,3 +162,41 @@ def test_a_large_group_of_near_copies(spark):
         texts.append(" ".join(text))
     rows = list(enumerate(texts + template(20, 40)))
     assert run(spark, rows) == by_hand(rows)
+
+
+def test_signatures_rule_out_only_what_is_too_different():
+    random.seed(21)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for changes in [0, 1, 2, 3, 4, 5, 8, 12, 30] * 3:
+        text = list(base[:random.choice([60, 110, 120])])
+        for _ in range(changes):
+            text[random.randrange(len(text))] = f"x{random.randrange(10**6)}"
+        texts.append(" ".join(text))
+    made = ngram_join.Shingles([t.encode() for t in [*texts, "", "a b"]], 5)
+    signs = ngram_join._words_of(made.signatures())
+    i, j = np.triu_indices(len(made.size), 1)
+    kept = ngram_join.near_enough(made.size[i], signs[i], made.size[j], signs[j], 75)
+    sets = [set(made.token[made.doc == d].tolist()) for d in range(len(made.size))]
+    alike = np.array([100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for a, b in zip(i, j, strict=True)])
+    assert kept[alike].all() and 0 < alike.sum() < kept.sum() < len(kept) * 0.7
+
+
+def entries_of(texts):
+    made = ngram_join.Shingles([t.encode() for t in texts], 5)
+    levels = np.zeros(1 << 20, np.uint8)
+    np.add.at(levels, (made.token & np.uint64((1 << 20) - 1)).astype(int), 1)
+    places, matches = ngram_join.prefixes(made, levels, 75)
+    doc = made.doc[places]
+    number = np.bincount(doc)
+    entries = np.empty(len(places), ngram_join.ENTRY)
+    entries["token"], entries["node"], entries["n"], entries["m"] = made.token[places], doc, made.size[doc], matches[doc]
+    entries["at"] = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    return entries, np.zeros(1 << 20, np.uint8)
+
+
+def test_template_documents_are_not_tried_with_each_other():
+    """Their common tokens stand too late in the sets for any two to be similar enough."""
+    entries, levels = entries_of(template(20, 60))
+    pairs, long, star, center, chain = ngram_join.meet(entries, 75, levels)
+    assert len(long) and not len(pairs) and not star.size and not chain.size
