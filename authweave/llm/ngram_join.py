@@ -28,7 +28,7 @@ COSTS = (64, 1024, 1 << 17, 1 << 24, 1 << 31)  # estimated candidates from each
 TAKEN = 6  # bytes of each token's hash that are sent and compared in the verification
 MEMBERS = 2000  # sets that one copy of a center's set is compared with
 GROWTH = 8  # times as many partners of a set are tried in the next round
-SIGN_BITS = 9  # first bits of a token's hash that place it in the signature of its set: 512 places
+SIGN_WORDS = (16, 1 << 10)  # 64-bit words of a set's signature, least and most: powers of 2
 
 
 class Shingles:
@@ -72,13 +72,19 @@ class Shingles:
         return mix(sums[self.start + self.size] - sums[self.start] + self.size.astype(np.uint64))
 
     def signatures(self) -> list[bytes]:
-        """Per set and place of the signature, a bit: whether the number of its tokens there is odd."""
-        places, number = np.unique((self.doc << SIGN_BITS) | (self.token >> np.uint64(64 - SIGN_BITS)).astype(np.int64), return_counts=True)
+        """Per set and place of its signature, a bit: whether the number of its tokens there is odd.
+
+        A signature has a place for each token, about. Places are the last bits of a hash, so that
+        one half of a signature xor the other is the signature of half the size.
+        """
+        words = np.exp2(np.ceil(np.log2(np.maximum(self.size, 1) / 64))).clip(*SIGN_WORDS).astype(np.int64)
+        start = np.cumsum(words) - words
+        place = (self.token >> np.uint64(32)).astype(np.int64) & (words[self.doc] * 64 - 1)
+        places, number = np.unique(start[self.doc] * 64 + place, return_counts=True)
         odd = places[number % 2 == 1]
-        made = np.zeros((len(self.size), (1 << SIGN_BITS) // 8), np.uint8)
-        at = odd & ((1 << SIGN_BITS) - 1)
-        np.bitwise_or.at(made, (odd >> SIGN_BITS, at >> 3), (1 << (at & 7)).astype(np.uint8))
-        return [row.tobytes() for row in made]
+        made = np.zeros(words.sum(), np.uint64)
+        np.bitwise_or.at(made, odd >> 6, np.uint64(1) << (odd & 63).astype(np.uint64))
+        return [made[at:at + held].tobytes() for at, held in zip(start.tolist(), words.tolist(), strict=True)]
 
     def nodes(self, shared: np.ndarray, bits: int) -> np.ndarray:
         """One number per set: `bits` of the first name or, where other sets have that too, of both."""
@@ -198,23 +204,45 @@ def near_enough(n: np.ndarray, one: np.ndarray, k: np.ndarray, two: np.ndarray,
     return np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64) <= both - 2 * needed
 
 
-def _words_of(signatures) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), np.uint64).reshape(-1, (1 << SIGN_BITS) // 64)
+def folded(signatures: list[bytes], words: int) -> np.ndarray:
+    """The signatures at this size, a row each; none of them is smaller."""
+    made, size = np.zeros((len(signatures), words), np.uint64), np.array([len(raw) // 8 for raw in signatures], np.int64)
+    for held in np.unique(size):
+        at = np.flatnonzero(size == held)
+        some = np.frombuffer(b"".join([signatures[k] for k in at]), np.uint64).reshape(len(at), held)
+        while some.shape[1] > words:
+            some = some[:, :some.shape[1] // 2] ^ some[:, some.shape[1] // 2:]
+        made[at] = some
+    return made
 
 
-def likely(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b and other columns) that their signatures do not rule out."""
+def signed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, signature) of the sets that a table of nodes names."""
+    found = rows.where("doc_id is not null and n > 0").join(nodes, "node", "left_semi")
+    return stored(found.select("node", "n", "signature").dropDuplicates(["node"]), "signed")
+
+
+def likely(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b and other columns) that the signatures of their sets do not rule out."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            one, two = _words_of(frame["sign_a"]), _words_of(frame["sign_b"])
-            kept = near_enough(frame["n_a"].to_numpy(), one, frame["n_b"].to_numpy(), two, percent)
-            yield frame.loc[kept, pairs_columns]
-
-    pairs_columns, schema = pairs.columns, pairs.schema
+            n, k = frame["n_a"].to_numpy(), frame["n_b"].to_numpy()
+            size = np.minimum(frame["sign_a"].map(len), frame["sign_b"].map(len)).to_numpy() // 8
+            kept = np.zeros(len(frame), bool)
+            for words in np.unique(size):
+                at = np.flatnonzero(size == words)
+                step = max(1, (1 << 21) // int(words))
+                for some in (at[first:first + step] for first in range(0, len(at), step)):
+                    one, two = (folded(frame[c].iloc[some].tolist(), int(words)) for c in ("sign_a", "sign_b"))
+                    kept[some] = near_enough(n[some], one, k[some], two, percent)
+            yield frame.loc[kept, names]
+
+    names, schema = pairs.columns, pairs.schema
+    known = signed(rows, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     for side in ("a", "b"):
-        names = again(signed).withColumnsRenamed({"node": side, "n": f"n_{side}", "signature": f"sign_{side}"})
-        pairs = pairs.join(names, side)
+        of_side = again(known).withColumnsRenamed({"node": side, "n": f"n_{side}", "signature": f"sign_{side}"})
+        pairs = pairs.join(of_side, side)
     return pairs.mapInPandas(run, schema)
 
 
@@ -433,10 +461,10 @@ def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
     return stored(index.groupBy("part").applyInPandas(run, schema), "candidates")
 
 
-def crossing(long: DataFrame, reached: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+def crossing(long: DataFrame, reached: DataFrame, named: DataFrame, percent: int) -> DataFrame:
     """Pairs of long lists whose sets are not connected yet, with partial counts.
 
-    Pairs that their signatures rule out are not made.
+    Pairs that their signatures, at the least size, rule out are not made.
 
     A list is cut by bands of set sizes, and a band into blocks of about BLOCK entries; a
     component of more entries than that has blocks of its own. Blocks are joined block with
@@ -459,7 +487,7 @@ def crossing(long: DataFrame, reached: DataFrame, signed: DataFrame, percent: in
     def cross(one: pd.DataFrame, two: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """Pairs of a smaller set of `one` and a larger set of `two`, some rows at a time."""
         a, b = ({c: side[c].to_numpy() for c in side.columns} for side in (one, two))
-        signs = [_words_of(side["signature"]) for side in (one, two)]
+        signs = [folded(side["signature"].tolist(), SIGN_WORDS[0]) for side in (one, two)]
         for start in range(0, len(one), max(1, PAIRS_HELD // len(two))):
             rows = slice(start, start + max(1, PAIRS_HELD // len(two)))
             n, node = a["n"][rows, None], a["node"][rows, None]
@@ -538,7 +566,7 @@ def crossing(long: DataFrame, reached: DataFrame, signed: DataFrame, percent: in
     sent = meetings.agg(F.sum("sent")).first()[0] or 0
     parts = max(12, -(-sent // (ENTRIES // 5)))
     columns = ["meeting", "smaller", "node", "n", "at", "m", "component", "signature"]
-    met = again(rows).join(again(signed).select("node", "signature"), "node")
+    met = again(rows).join(signed(named, again(rows).select("node").distinct()).select("node", "signature"), "node")
     sides = [
         met.where(F.lit(True) if side == "two" else F.col("low"))
         .join(again(meetings).select("meeting", F.col(side).alias("block")), "block")
@@ -720,7 +748,6 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     parts = max(12, -(-total * (104 - percent) // 100 // ENTRIES))
     index = index_entries(documents, levels, words, percent, parts, shared, name_bits).repartition(parts, "part")
     found = candidates(index, levels, percent)
-    signed = stored(rows.where("doc_id is not null and n > 0").select("node", "n", "signature").dropDuplicates(["node"]), "signed")
     centers = found.where("a is not null and b is null").select(F.col("part").alias("token"), F.col("a").alias("b"))
     joined = centers.join(centers.groupBy("token").agg(F.min("b").alias("a")), "token").where("a != b")
     votes = F.when(F.col("shared").isNull(), F.col("asked"))
@@ -731,7 +758,7 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
     none = F.lit(None).cast("long")
     met = met.unionByName(joined.select("a", "b", *[none.alias(c) for c in ("shared", "asked", "chain")], F.lit(1).cast("long").alias("star")))
     met = met.groupBy("a", "b").agg(*[f(c).alias(c) for c, f in (("shared", F.sum), ("asked", F.max), ("star", F.sum), ("chain", F.sum))])
-    pairs = stored(likely(met, signed, percent), "pairs")
+    pairs = stored(likely(stored(met, "met"), rows, percent), "pairs")
     nearest = again(pairs).where("shared >= asked").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     stars = again(pairs).where("star > 0").groupBy("b").agg(F.max_by("a", F.struct("star", "a")).alias("a")).select("a", "b")
     place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("chain"), "a"))
@@ -742,10 +769,12 @@ def grouped(documents: DataFrame, words: int, percent: int, name_bits: int = 64)
 
     long = found.where("entries is not null").select("part", "entries")
     counted = again(pairs).where("shared > 0").select("a", "b", "shared", "asked")
-    if long.limit(1).count():
-        more = crossing(long, reached, signed, percent)
+    more = crossing(long, reached, rows, percent) if long.limit(1).count() else None
+    if more is not None:
         counted = counted.unionByName(more).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("asked").alias("asked"))
     rest = counted.where("shared >= asked").select("a", "b").join(again(first), ["a", "b"], "left_anti")
+    if more is not None:
+        rest = likely(stored(rest, "rest"), rows, percent)
     reached = connect(documents, rest, reached, words, percent, shared, name_bits)
 
     known = rows.where("doc_id is not null and n > 0")

@@ -174,7 +174,7 @@ def test_signatures_rule_out_only_what_is_too_different():
             text[random.randrange(len(text))] = f"x{random.randrange(10**6)}"
         texts.append(" ".join(text))
     made = ngram_join.Shingles([t.encode() for t in [*texts, "", "a b"]], 5)
-    signs = ngram_join._words_of(made.signatures())
+    signs = ngram_join.folded(made.signatures(), ngram_join.SIGN_WORDS[0])
     i, j = np.triu_indices(len(made.size), 1)
     kept = ngram_join.near_enough(made.size[i], signs[i], made.size[j], signs[j], 75)
     sets = [set(made.token[made.doc == d].tolist()) for d in range(len(made.size))]
