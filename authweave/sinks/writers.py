@@ -10,22 +10,23 @@ from authweave.schemas import MISSING_MARK, SECONDS_PER_HOUR
 from authweave.sources.tables import BATCH, list_day_files
 
 REPLACED = "replaced"
+STAGED_PART = 6 * SECONDS_PER_HOUR  # of a staged day, kept together up to the advisory size
 
 
 def _mode(overwrite: bool) -> str:
     return "overwrite" if overwrite else "errorifexists"
 
 
-def _per_day(frame: DataFrame) -> DataFrame:
+def _per_day(frame: DataFrame, part_seconds: int = SECONDS_PER_HOUR) -> DataFrame:
     """Days side by side, a large day split over several tasks; rows in time order.
 
-    The hour as second key spreads a day even when a single task read it (a gzip file);
+    The part of the day as second key spreads a day even when a single task read it (a gzip file);
     REBALANCE lets adaptive execution join small pieces and cut large ones to the
     advisory size. A plain repartition on the day would hand a whole day to one task.
     """
-    hour = floor_div(F.col("time"), SECONDS_PER_HOUR)
-    spread = frame.withColumn("_hour", hour).hint("rebalance", "day_index", "_hour")
-    return spread.drop("_hour").sortWithinPartitions("day_index", "time")
+    part = floor_div(F.col("time"), part_seconds)
+    spread = frame.withColumn("_part", part).hint("rebalance", "day_index", "_part")
+    return spread.drop("_part").sortWithinPartitions("day_index", "time")
 
 
 def _csv(writer, path: str, header: bool) -> None:
@@ -39,8 +40,12 @@ def _csv(writer, path: str, header: bool) -> None:
 
 
 def write_staged_days(auth: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Raw rows unchanged, one gzip CSV folder per day."""
-    staged = _per_day(auth.withColumn("day_index", day_index(F.col("time"))))
+    """Raw rows unchanged, one gzip CSV folder per day.
+
+    A day has a file per part at most, unless a part passes the advisory size: hours, dealt
+    to tasks one by one, were 24 small files a day, and a stream pays a batch for every few files.
+    """
+    staged = _per_day(auth.withColumn("day_index", day_index(F.col("time"))), STAGED_PART)
     writer = (
         staged.write.mode(_mode(overwrite)).partitionBy("day_index")
         .option("compression", "gzip").option("nullValue", MISSING_MARK)

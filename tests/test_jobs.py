@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from authweave.operators import clean
 from authweave.plans import jobs
+from authweave.schemas import AUTH_SCHEMA
 from authweave.sinks import writers
 from authweave.sources import raw_logs, tables
 from authweave.streaming import clean_stream
@@ -203,6 +204,24 @@ def test_a_large_day_is_split(spark, folder, table, readers):
     assert tables.read_clean_table(spark, path).count() == 60_000
 
 
+def test_a_staged_day_is_few_files(spark, folder):
+    """However many tasks write: a stream pays a batch for every few files."""
+    line = [F.lit("x").alias(n) for n in AUTH_SCHEMA.fieldNames() if n != "time"]
+    rows = spark.range(0, 3 * DAY, 60).select(F.col("id").alias("time"), *line)
+    path = str(folder / "few-files")
+    confs = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in confs.items():
+        spark.conf.set(name, value)
+    try:
+        writers.write_staged_days(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    files = tables.list_day_files(spark, path, "*.csv.gz").groupBy("day_index").count().collect()
+    assert len(files) == 3 and all(f["count"] <= 4 for f in files)
+    assert spark.read.csv(path).count() == 3 * DAY // 60
+
+
 def test_stream_equals_batch(spark, folder, staged):
     out, state = str(folder / "streamed"), str(folder / "state")
     clean_stream.clean_new_files(spark, f"{staged}/*", out, state).awaitTermination()
