@@ -13,13 +13,14 @@ from pyspark.sql.types import StructType
 from authweave.llm.components import components
 from authweave.llm.filters import filter_of, held
 from authweave.llm.rolling import SPACES, chunks, mix, texts_of, word_hashes
-from authweave.llm.tables import again, forget, small_batches, stored
+from authweave.llm.tables import again, forget, give_back, lean, small_batches, stored
 
 CHUNK = 1 << 18  # bytes hashed at once
 COUNTERS = 1 << 22  # of the table of frequencies, whatever the input's size
 PART = 1 << 16  # counters of one row of that table
-ENTRIES = 500_000  # prefix tokens of an index part, about
+ENTRIES = 200_000  # prefix tokens of an index part, about
 PAIRS_HELD = 300_000  # pairs a task looks at, at once
+SENT = 100_000  # entries of blocks that a task of their join gets, about
 BLOCK = 1000  # entries of a long posting list that are joined with as many others at once, about
 HOT = 16  # level of frequency from which a posting list is dealt to several parts of the index
 CHAIN = 4  # next sets by size in a long posting list that a set is tried with before its pairs are made
@@ -133,7 +134,7 @@ def names_and_counts(documents: DataFrame, words: int, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(row, schema=schema)
 
     columns = "doc_id string, node long, second long, n long, signature binary, part long, counts binary"
-    return stored(_texts(documents).mapInArrow(run, columns), "shingle-names")
+    return stored(_texts(documents).mapInArrow(lean(run), columns), "shingle-names")
 
 
 def shared_names(rows: DataFrame) -> np.ndarray:
@@ -154,7 +155,7 @@ def renamed(rows: DataFrame, shared: np.ndarray) -> DataFrame:
 
     if not len(shared):
         return rows.select("doc_id", "node", "n", "signature")
-    return rows.mapInPandas(run, "doc_id string, node long, n long, signature binary")
+    return rows.mapInPandas(lean(run), "doc_id string, node long, n long, signature binary")
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def likely(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     for side in ("a", "b"):
         of_side = again(known).withColumnsRenamed({"node": side, "n": f"n_{side}", "signature": f"sign_{side}"})
         pairs = pairs.join(of_side, side)
-    return pairs.mapInPandas(run, schema)
+    return pairs.mapInPandas(lean(run), schema)
 
 
 def prefixes(made: Shingles, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -338,7 +339,7 @@ def index_entries(documents: DataFrame, levels, words: int, percent: int, parts:
         if size:
             yield flush()
 
-    return _texts(documents.where("doc_id is not null")).mapInArrow(run, "part long, entries binary")
+    return _texts(documents.where("doc_id is not null")).mapInArrow(lean(run), "part long, entries binary")
 
 
 PAIR = "a long, b long, shared long, asked long"
@@ -444,8 +445,10 @@ def candidates(index: DataFrame, levels, percent: int) -> DataFrame:
     centers (b null) of a token (part)."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         entries = np.concatenate([unpacked(raw) for raw in frame["entries"]])
         pairs, long, star, center, chain = meet(entries, percent, levels.value)
+        del entries
         star, votes = np.unique(np.sort(star, axis=0), axis=1, return_counts=True)
         stars = pd.DataFrame({"a": star[0], "b": star[1], "asked": votes})
         chain, votes = np.unique(np.sort(chain, axis=0), axis=1, return_counts=True)
@@ -520,7 +523,7 @@ def crossing(long: DataFrame, reached: DataFrame, named: DataFrame, percent: int
         if waiting:
             yield from done()
 
-    rows = long.mapInPandas(spread, "token long, node long, n long, at long, m long, band long, low boolean")
+    rows = long.mapInPandas(lean(spread), "token long, node long, n long, at long, m long, band long, low boolean")
     rows = rows.join(reached.withColumnRenamed("id", "node"), "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
@@ -564,7 +567,7 @@ def crossing(long: DataFrame, reached: DataFrame, named: DataFrame, percent: int
         "meetings",
     )
     sent = meetings.agg(F.sum("sent")).first()[0] or 0
-    parts = max(12, -(-sent // (ENTRIES // 5)))
+    parts = max(12, -(-sent // SENT))
     columns = ["meeting", "smaller", "node", "n", "at", "m", "component", "signature"]
     met = again(rows).join(signed(named, again(rows).select("node").distinct()).select("node", "signature"), "node")
     sides = [
@@ -575,7 +578,7 @@ def crossing(long: DataFrame, reached: DataFrame, named: DataFrame, percent: int
     ]
     return (
         sides[0].unionByName(sides[1]).repartition(parts, "meeting").sortWithinPartitions("meeting")
-        .mapInPandas(join_blocks, PAIR)
+        .mapInPandas(lean(join_blocks), PAIR)
     )
 
 
@@ -603,7 +606,7 @@ def token_sets(documents: DataFrame, pairs: DataFrame, words: int, shared, bits:
                     seen.clear()
                 yield pa.RecordBatch.from_pydict({"node": nodes, "tokens": sets}, schema=schema)
 
-    kept = _texts(documents.where("doc_id is not null")).mapInArrow(run, "node long, tokens binary")
+    kept = _texts(documents.where("doc_id is not null")).mapInArrow(lean(run), "node long, tokens binary")
     return kept.dropDuplicates(["node"])
 
 
@@ -655,7 +658,7 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         sets.join(routes, "node").repartition(parts, "center", "copy")
         .sortWithinPartitions("center", "copy", F.desc("leads"))
     )
-    return stored(sent.mapInArrow(similar, "a long, b long"), "similar")
+    return stored(sent.mapInArrow(lean(similar), "a long, b long"), "similar")
 
 
 def _components_of(pairs: DataFrame, reached: DataFrame) -> DataFrame:
@@ -842,4 +845,4 @@ def _with_nodes(documents: DataFrame, words: int, found: Groups) -> DataFrame:
     rows = documents.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return rows.mapInArrow(run, StructType(rows.schema.fields[:2]).add("node", "long").add("n", "long"))
+    return rows.mapInArrow(lean(run), StructType(rows.schema.fields[:2]).add("node", "long").add("n", "long"))
