@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from authweave.llm.tables import stored
+from authweave.llm.tables import stored, worker_cache
 
 GROUP = 50_000  # short pieces packed together; the groups' number grows with the input
 CACHED = 150_000  # words whose ids a task keeps; others are encoded again
@@ -112,7 +112,7 @@ def tokenize(documents: DataFrame, path: str, end_id: int, size: int) -> DataFra
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-_ENCODERS: dict[str, ByteBpe] = {}
+_ENCODERS: dict[str, ByteBpe] = worker_cache()
 
 
 def _encoder(path: str) -> ByteBpe:

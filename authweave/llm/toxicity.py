@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from authweave.llm.tables import small_batches, stored
+from authweave.llm.tables import lean, small_batches, stored
 
 SAMPLE = 20_000  # labelled rows the model is fitted on, about; scoring covers all rows
 TREES, DEPTH = 15, 3
@@ -103,7 +103,7 @@ def lexicon(labelled: DataFrame) -> dict[str, float]:
     def counted(kind: int, wanted: set[str] | None) -> DataFrame:
         return (
             texts.where(F.col("toxic") == kind).select("text")
-            .mapInPandas(counter(wanted), "unit string, texts long, n long")
+            .mapInPandas(lean(counter(wanted)), "unit string, texts long, n long")
             .groupBy("unit").agg(F.sum("texts").alias("texts"), F.sum("n").alias("n"))
         )
 
@@ -189,6 +189,9 @@ class Features:
 def with_features(rows: DataFrame, entries: dict[str, float]) -> DataFrame:
     @F.pandas_udf("array<double>")
     def dense(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from lean(scored)(texts)
+
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         made = Features(entries)
         for part in texts:
             yield pd.Series([made.of(text) for text in part])

@@ -4,7 +4,7 @@ import os
 
 import numpy as np
 
-from authweave.llm.tables import lean
+from authweave.llm.tables import lean, worker_cache
 
 MB = 1 << 20
 
@@ -14,6 +14,12 @@ def resident():
         return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
 
 
+def test_a_task_empties_the_caches_of_other_operators():
+    cache = worker_cache()
+    cache["words"] = [0] * 1000
+    assert list(lean(lambda batches: iter([len(cache)]))(iter([]))) == [0]
+
+
 def test_a_task_leaves_its_worker_without_freed_memory():
     left = []
 
