@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from authweave.llm.tables import stored, worker_cache
+from authweave.llm.tables import lean, stored, worker_cache
 
 GROUP = 50_000  # short pieces packed together; the groups' number grows with the input
 CACHED = 150_000  # words whose ids a task keeps; others are encoded again
@@ -108,13 +108,17 @@ def tokenize(documents: DataFrame, path: str, end_id: int, size: int) -> DataFra
 
     found = documents.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).mapInPandas(cut, PIECES.replace("doc_id long", "doc_id string"))
+    ).mapInPandas(lean(cut, _encoders), PIECES.replace("doc_id long", "doc_id string"))
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 _ENCODERS: dict[str, ByteBpe] = worker_cache()
 
 
+def _encoders() -> dict[str, ByteBpe]:
+    return _ENCODERS
+
+
 def _encoder(path: str) -> ByteBpe:
     """A worker process keeps its encoder, and the words it knows, for later tasks."""
     if path not in _ENCODERS:

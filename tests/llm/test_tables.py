@@ -17,7 +17,8 @@ def resident():
 def test_a_task_empties_the_caches_of_other_operators():
     cache = worker_cache()
     cache["words"] = [0] * 1000
-    assert list(lean(lambda batches: iter([len(cache)]))(iter([]))) == [0]
+    kept = list(lean(lambda batches: iter([len(cache)]), lambda: cache)(iter([])))
+    assert kept == [1] and list(lean(lambda batches: iter([len(cache)]))(iter([]))) == [0]
 
 
 def test_a_task_leaves_its_worker_without_freed_memory():
