@@ -39,14 +39,17 @@ def test_a_task_leaves_its_worker_without_freed_memory():
 
 def test_settings_hold_for_a_while(spark):
     scan, batch = "spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(scan), spark.conf.get(batch)
+    before, own = (spark.conf.get(scan), spark.conf.get(batch)), spark.conf.get(batch, None)
     spark.conf.set(batch, "1000")
     try:
         with small_reads(spark, 5000, 2000):
             assert (spark.conf.get(scan), spark.conf.get(batch)) == ("5000", "1000")
         assert (spark.conf.get(scan), spark.conf.get(batch)) == (before[0], "1000")
     finally:
-        spark.conf.unset(batch)
+        if own is None:
+            spark.conf.unset(batch)
+        else:
+            spark.conf.set(batch, own)
     assert (spark.conf.get(scan), spark.conf.get(batch)) == before
 
 
